@@ -220,34 +220,48 @@ def master_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return screener, fundamentals, technical, options
 
 
+def fundamental_texts(kind: str) -> list[str]:
+    """Forty vendor texts of a kind, '-' and '' among them."""
+    number = [f"{n * 37 % 900 + 1}.{n * 53 % 100:02d}" for n in range(38)]
+    if kind == "percent":
+        texts = [f"{'-' if i % 3 == 0 else ''}{n}%" for i, n in enumerate(number)]
+    elif kind == "magnitude":
+        texts = [n + "MB"[i % 2] for i, n in enumerate(number)]
+    elif kind == "volume":
+        texts = [n + "KMB"[i % 3] for i, n in enumerate(number)]
+    elif kind == "date":
+        months = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
+        texts = [f"{months[i % 12]} {i % 28 + 1}, {2020 + i % 6}" for i in range(38)]
+    elif kind == "payout":
+        texts = [f"{n} ({i % 9}.25%)" for i, n in enumerate(number)]
+    elif kind == "flag":
+        texts = ["EQ", "", "F"] * 12 + ["EQ", ""]
+    elif kind == "option":
+        texts = ["Yes / Yes", "No / Yes"] * 19
+    else:
+        texts = number
+    return [*texts, "-", ""]
+
+
+def fundamental_source_kind(name: str, kind: str) -> str | None:
+    """Which texts a source column takes; None when the column is derived."""
+    if kind.startswith("yield:"):
+        return None
+    if kind == "text":
+        return "payout" if name.startswith("dividend") else "option" if name == "option_short" else "words"
+    return kind
+
+
 def fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vendor text columns per customer, by kind."""
     key = F.col("c_custkey")
     columns = []
     for i, (name, kind) in enumerate(FUNDAMENTAL_KINDS.items()):
-        n = key * 7 + i * 13
-        decimal = F.concat((n % 900 + 1).cast("string"), F.lit("."), F.lpad((n % 100).cast("string"), 2, "0"))
-        absent = F.when(n % 17 == 0, "-").when(n % 19 == 0, "")
-        if kind == "flag":
-            text = F.when(n % 2 == 0, "EQ").otherwise("")
-        elif kind == "number":
-            text = absent.otherwise(decimal)
-        elif kind == "percent":
-            text = absent.otherwise(F.concat(F.lit("-"), decimal, F.lit("%")))
-        elif kind in ("magnitude", "volume"):
-            units = ["M", "B"] if kind == "magnitude" else ["K", "M", "B"]
-            text = absent.otherwise(F.concat(decimal, pick(units, n)))
-        elif kind == "date":
-            day = F.date_add(F.lit("2025-01-01").cast("date"), (n % 365).cast("int"))
-            text = absent.otherwise(F.date_format(day, "MMM dd, yyyy"))
-        elif name.startswith("dividend"):
-            text = absent.otherwise(F.concat(decimal, F.lit(" ("), (n % 9).cast("string"), F.lit(".25%)")))
-        elif name == "option_short":
-            text = F.when(n % 3 == 0, "Yes / Yes").otherwise("No / Yes")
-        else:
-            text = F.concat(F.lit(f"{name} "), n.cast("string"))
-        if not kind.startswith("yield:"):
-            columns.append(text.alias(name))
+        source = fundamental_source_kind(name, kind)
+        if source == "words":
+            columns.append(F.concat(F.lit(f"{name} "), key.cast("string")).alias(name))
+        elif source:
+            columns.append(pick(fundamental_texts(source), key + i).alias(name))
     return table(spark, sf_dir, "customer").select(*columns)
 
 
