@@ -22,11 +22,17 @@ def replace_all_text(text: Column | str, old: str, new: str = "") -> Column:
     return F.replace(_col(text), F.lit(old), F.lit(new))
 
 
+def capital(letter: Column) -> Column:
+    """Upper case of one letter, always one letter ('ß' is 'ẞ', not 'SS')."""
+    upper = F.upper(letter)
+    return F.when(F.length(upper) > F.length(letter), F.translate(letter, "ß", "ẞ")).otherwise(upper)
+
+
 def title_case(text: Column | str) -> Column:
     """Lower-case, then capitalise each space-separated word."""
     words = F.split(F.lower(_col(text)), " ")
-    capital = F.transform(words, lambda w: F.concat(F.upper(F.substring(w, 1, 1)), F.substr(w, F.lit(2))))
-    return F.array_join(capital, " ")
+    titled = F.transform(words, lambda w: F.concat(capital(F.substring(w, 1, 1)), F.substr(w, F.lit(2))))
+    return F.array_join(titled, " ")
 
 
 def blank_to_null(text: Column | str, longest_blank: int) -> Column:
