@@ -38,7 +38,7 @@ def pick(values: list[str], index: Column) -> Column:
 
 def half(number: Column, by: int) -> Column:
     """Whole quotient."""
-    return F.floor(number / by).cast("bigint")
+    return F.floor(number / by)
 
 
 def _contract_columns() -> dict[str, Column]:
@@ -47,15 +47,15 @@ def _contract_columns() -> dict[str, Column]:
     symbol = F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
     kind = part % 2
     strike = (half(part, 2) % 5) * 5 + 50
-    expiry = F.date_add(F.lit("2002-03-15").cast("date"), ((half(part, 10) % 2) * 7).cast("int"))
+    week = half(part, 10)
     letter = F.when(kind == 0, "C").otherwise("P")
-    code = F.lpad((strike * 1000).cast("string"), 8, "0")
+    code = F.concat(F.lit("000"), (strike * 1000).cast("string"))
     return {
         "underlying_symbol": symbol,
         "option_type": F.when(kind == 0, "call").otherwise("put"),
         "strike": strike,
-        "expiry_date": expiry,
-        "option_chain_id": F.concat(symbol, F.date_format(expiry, "yyMMdd"), letter, code),
+        "expiry": pick(["2002-03-15", "2002-03-22"], week),
+        "option_chain_id": F.concat(symbol, pick(["020315", "020322"], week), letter, code),
         "contract_no": part % 20,
     }
 
@@ -90,7 +90,7 @@ def option_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
         "option_chain_id",
         "option_type",
         "strike",
-        F.date_format("expiry_date", "yyyy-MM-dd").alias("expiry"),
+        "expiry",
         side.alias("side"),
         pick(CONDITIONS, F.col("l_orderkey")).alias("upstream_condition_detail"),
         F.col("l_quantity").cast("bigint").alias("size"),

@@ -19,6 +19,12 @@ LAKE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.compression.codec": "snappy",
+    # Plans of hundreds of columns are built in Python; do not record a call
+    # site for every expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # The JVM interprets methods above 8000 bytes. Wide products exceed that
+    # when fused into one method; they run faster as several.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
