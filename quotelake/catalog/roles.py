@@ -6,6 +6,8 @@ table take part; the values the feed needs are computed from the row's own.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,146 +43,130 @@ def half(number: Column, by: int) -> Column:
     return F.floor(number / by)
 
 
-def _contract_columns() -> dict[str, Column]:
-    """Twenty contracts per symbol: call/put, five strikes, two expiries."""
-    part = F.col("l_partkey")
-    symbol = F.concat(F.lit("S"), F.col("l_suppkey").cast("string"))
-    kind = part % 2
-    strike = (half(part, 2) % 5) * 5 + 50
-    week = half(part, 10)
-    letter = F.when(kind == 0, "C").otherwise("P")
-    code = F.concat(F.lit("000"), (strike * 1000).cast("string"))
-    return {
-        "underlying_symbol": symbol,
-        "option_type": F.when(kind == 0, "call").otherwise("put"),
-        "strike": strike,
-        "expiry": pick(["2002-03-15", "2002-03-22"], week),
-        "option_chain_id": F.concat(symbol, pick(["020315", "020322"], week), letter, code),
-        "contract_no": part % 20,
-    }
+def sql_list(values: list[str]) -> str:
+    return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
-def _interest() -> Column:
-    return (F.col("l_suppkey") * 131 + F.col("contract_no") * 977) % 2500
+def sql_pick(values: list[str], index: str) -> str:
+    return f"element_at({sql_list(values)}, CAST(({index}) % {len(values)} AS INT) + 1)"
 
 
-def option_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.col("l_linenumber")
-    side = (
-        F.when(F.col("l_returnflag") == "A", "ask")
-        .when(F.col("l_returnflag") == "R", "bid")
-        .when(line == 7, F.lit(None))
-        .when(line == 6, "no_side")
-        .otherwise("mid")
+def _contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with a contract each: twenty per symbol (call/put, five
+    strikes, two expiries)."""
+    rows = table(spark, sf_dir, "lineitem").selectExpr(
+        "*",
+        "concat('S', l_suppkey) AS underlying_symbol",
+        "if(l_partkey % 2 = 0, 'call', 'put') AS option_type",
+        "(l_partkey div 2 % 5) * 5 + 50 AS strike",
+        f"{sql_pick(['2002-03-15', '2002-03-22'], 'l_partkey div 10')} AS expiry",
+        f"{sql_pick(['020315', '020322'], 'l_partkey div 10')} AS expiry_code",
+        "l_partkey % 20 AS contract_no",
     )
-    missing = line == 5
+    return rows.selectExpr(
+        "*",
+        "concat(underlying_symbol, expiry_code, if(option_type = 'call', 'C', 'P'), '000', strike * 1000) AS option_chain_id",
+        "(l_suppkey * 131 + contract_no * 977) % 2500 AS interest",
+    )
+
+
+def option_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     greeks = {
-        "implied_volatility": F.col("l_discount") + 0.2,
-        "delta": F.col("l_tax") * 5 - 0.2,
-        "gamma": F.col("l_discount") / 10,
-        "vega": F.col("l_tax"),
-        "theta": -F.col("l_tax") / 2,
-        "rho": F.col("l_discount") * F.col("l_tax"),
-        "theo": F.col("l_extendedprice") / F.col("l_quantity") * 0.0098,
+        "implied_volatility": "l_discount + 0.2D",
+        "delta": "l_tax * 5 - 0.2D",
+        "gamma": "l_discount / 10",
+        "vega": "l_tax",
+        "theta": "-l_tax / 2",
+        "rho": "l_discount * l_tax",
+        "theo": "l_extendedprice / l_quantity * 0.0098D",
     }
-    rows = table(spark, sf_dir, "lineitem").withColumns(_contract_columns())
-    return rows.select(
-        F.concat(F.year("l_shipdate").cast("string"), F.lit("0101")).alias("file_version_date"),
+    return _contracts(spark, sf_dir).selectExpr(
+        "concat(year(l_shipdate), '0101') AS file_version_date",
         "underlying_symbol",
         "option_chain_id",
         "option_type",
         "strike",
         "expiry",
-        side.alias("side"),
-        pick(CONDITIONS, F.col("l_orderkey")).alias("upstream_condition_detail"),
-        F.col("l_quantity").cast("bigint").alias("size"),
-        F.floor("l_extendedprice").cast("bigint").alias("premium"),
-        (F.floor(F.col("l_extendedprice") / F.col("l_quantity")) / 100).alias("price"),
-        _interest().alias("open_interest"),
-        *[F.when(missing, F.lit(None)).otherwise(v).alias(n) for n, v in greeks.items()],
+        "CASE WHEN l_returnflag = 'A' THEN 'ask' WHEN l_returnflag = 'R' THEN 'bid' WHEN l_linenumber = 7 THEN NULL "
+        "WHEN l_linenumber = 6 THEN 'no_side' ELSE 'mid' END AS side",
+        f"{sql_pick(CONDITIONS, 'l_orderkey')} AS upstream_condition_detail",
+        "CAST(l_quantity AS BIGINT) AS size",
+        "floor(l_extendedprice) AS premium",
+        "floor(l_extendedprice / l_quantity) / 100D AS price",
+        "interest AS open_interest",
+        *[f"if(l_linenumber = 5, NULL, {value}) AS {name}" for name, value in greeks.items()],
     )
 
 
 def oi_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text row per contract and year that traded at least 60 contracts."""
-    rows = table(spark, sf_dir, "lineitem").withColumns(_contract_columns())
-    day = F.concat(F.year("l_shipdate").cast("string"), F.lit("0101"))
-    keys = ["underlying_symbol", "option_chain_id", "strike", "contract_no", "l_suppkey"]
+    keys = ["underlying_symbol", "option_chain_id", "strike", "contract_no", "interest"]
     grouped = (
-        rows.withColumn("file_version_date", day)
+        _contracts(spark, sf_dir)
+        .selectExpr(*keys, "l_linestatus", "l_quantity", "concat(year(l_shipdate), '0101') AS file_version_date")
         .groupBy("file_version_date", *keys)
         .agg(
-            F.sum(F.when(F.col("l_linestatus") == "O", F.col("l_quantity")).otherwise(0.0)).cast("bigint").alias("now"),
-            F.sum(F.when(F.col("l_linestatus") == "F", F.col("l_quantity")).otherwise(0.0)).cast("bigint").alias("then"),
+            F.expr("CAST(sum(if(l_linestatus = 'O', l_quantity, 0D)) AS BIGINT)").alias("now"),
+            F.expr("CAST(sum(if(l_linestatus = 'F', l_quantity, 0D)) AS BIGINT)").alias("then"),
         )
-        .where(F.col("now") + F.col("then") >= 60)
+        .where("now + then >= 60")
     )
-    number = F.col("contract_no")
-    dte = F.when(number == 3, "12.7").when(number == 4, "").otherwise(number.cast("string"))
-    prior = _interest() + F.col("then") - 60
-    return grouped.select(
+    return grouped.selectExpr(
         "file_version_date",
-        F.col("option_chain_id").alias("option_symbol"),
+        "option_chain_id AS option_symbol",
         "underlying_symbol",
-        F.col("strike").cast("string").alias("strike"),
-        dte.alias("dte"),
-        F.col("now").cast("string").alias("curr_vol"),
-        F.col("then").cast("string").alias("prev_vol"),
-        F.format_number(_interest(), 0).alias("curr_oi"),
-        F.format_number(prior, 0).alias("last_oi"),
-        (_interest() - prior).cast("string").alias("oi_diff_plain"),
+        "CAST(strike AS STRING) AS strike",
+        "CASE contract_no WHEN 3 THEN '12.7' WHEN 4 THEN '' ELSE CAST(contract_no AS STRING) END AS dte",
+        "CAST(now AS STRING) AS curr_vol",
+        "CAST(then AS STRING) AS prev_vol",
+        "format_number(interest, 0) AS curr_oi",
+        "format_number(interest + then - 60, 0) AS last_oi",
+        "CAST(60 - then AS STRING) AS oi_diff_plain",
     )
 
 
 def option_screener(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One text row per symbol and year, measured from its trades."""
-    trades = option_trades(spark, sf_dir).withColumn(
-        "supp", F.substr("underlying_symbol", F.lit(2)).cast("bigint")
-    )
-    aggregates = {}
+    sums = {}
     for kind in ("call", "put"):
-        of_kind = F.col("option_type") == kind
-        aggregates[f"{kind}_volume"] = F.sum(F.when(of_kind, F.col("size")).otherwise(0))
+        sums[f"{kind}_volume"] = f"if(option_type = '{kind}', size, 0)"
+        sums[f"{kind}_premium"] = f"if(option_type = '{kind}', premium, 0)"
+        sums[f"{kind}_open_interest"] = f"if(option_type = '{kind}', open_interest, 0)"
         for side in ("ask", "bid"):
-            at = of_kind & (F.col("side") == side)
-            aggregates[f"{kind}_volume_{side}_side"] = F.sum(F.when(at, F.col("size")).otherwise(0))
-            aggregates[f"{kind}_{side}_paid"] = F.sum(F.when(at, F.col("premium")).otherwise(0))
-        aggregates[f"{kind}_premium"] = F.sum(F.when(of_kind, F.col("premium")).otherwise(0))
-        aggregates[f"{kind}_open_interest"] = F.sum(F.when(of_kind, F.col("open_interest")).otherwise(0))
-    g = trades.groupBy("file_version_date", "underlying_symbol", "supp").agg(
-        *[v.alias(n) for n, v in aggregates.items()]
+            at = f"option_type = '{kind}' AND side <=> '{side}'"
+            sums[f"{kind}_volume_{side}_side"] = f"if({at}, size, 0)"
+            sums[f"{kind}_{side}_paid"] = f"if({at}, premium, 0)"
+    trades = option_trades(spark, sf_dir).selectExpr("*", "CAST(substr(underlying_symbol, 2) AS BIGINT) AS supp")
+    grouped = trades.groupBy("file_version_date", "underlying_symbol", "supp").agg(
+        *[F.expr(f"sum({value})").alias(name) for name, value in sums.items()]
     )
-    c = F.col
     text = {
-        "put_call_ratio": F.when(c("supp") % 3 == 0, F.lit(0.0)).otherwise(c("put_volume") / (c("call_volume") + 1)),
-        "total_open_interest": c("call_open_interest") + c("put_open_interest"),
-        "bullish_premium": c("call_ask_paid") + c("put_bid_paid"),
-        "bearish_premium": c("call_bid_paid") + c("put_ask_paid"),
-        "avg30_volume": c("supp") * 10.5,
-        "volatility": 0.2 + (c("supp") % 7) / 16,
-        "iv30d": 0.1 + (c("supp") % 5) / 8,
-        "iv30d_1m": (c("supp") % 4) / 4,
-        "iv_rank": (c("supp") % 100) / 8,
+        "put_call_ratio": "if(supp % 3 = 0, 0D, put_volume / (call_volume + 1))",
+        "total_open_interest": "call_open_interest + put_open_interest",
+        "bullish_premium": "call_ask_paid + put_bid_paid",
+        "bearish_premium": "call_bid_paid + put_ask_paid",
+        "avg30_volume": "supp * 10.5D",
+        "volatility": "0.2D + supp % 7 / 16D",
+        "iv30d": "0.1D + supp % 5 / 8D",
+        "iv30d_1m": "supp % 4 / 4D",
+        "iv_rank": "supp % 100 / 8D",
     }
     for kind in ("call", "put"):
-        volume, interest = c(f"{kind}_volume"), c(f"{kind}_open_interest")
-        text[f"net_{kind}_premium"] = c(f"{kind}_ask_paid") - c(f"{kind}_bid_paid")
-        text[f"prev_{kind}_oi"] = interest - interest % 100
-        text[f"avg_3_day_{kind}_volume"] = volume / (1 + c("supp") % 2)
-        text[f"avg_7_day_{kind}_volume"] = volume / (1 + c("supp") % 3)
-        text[f"avg_30_day_{kind}_volume"] = volume / (1 + c("supp") % 4)
-        text[f"avg_30_day_{kind}_oi"] = interest / (1 + c("supp") % 3)
-    plain = [f"{k}_volume{s}" for k in ("call", "put") for s in ("", "_ask_side", "_bid_side")]
-    plain += [f"{k}_{m}" for k in ("call", "put") for m in ("premium", "open_interest")]
-    return g.select(
-        c("underlying_symbol").alias("ticker"),
+        for plain in ("volume", "volume_ask_side", "volume_bid_side", "premium", "open_interest"):
+            text[f"{kind}_{plain}"] = f"{kind}_{plain}"
+        text[f"net_{kind}_premium"] = f"{kind}_ask_paid - {kind}_bid_paid"
+        text[f"prev_{kind}_oi"] = f"{kind}_open_interest - {kind}_open_interest % 100"
+        for days, parts in ((3, 2), (7, 3), (30, 4)):
+            text[f"avg_{days}_day_{kind}_volume"] = f"{kind}_volume / (1 + supp % {parts})"
+        text[f"avg_30_day_{kind}_oi"] = f"{kind}_open_interest / (1 + supp % 3)"
+    return grouped.selectExpr(
+        "underlying_symbol AS ticker",
         "file_version_date",
-        *[c(p).cast("string").alias(p) for p in plain],
-        *[v.cast("string").alias(n) for n, v in text.items()],
-        pick(OPTION_SECTORS, c("supp")).alias("sector"),
-        F.concat(F.lit("SYMBOL NUMBER "), c("supp").cast("string")).alias("full_name"),
-        F.when(c("supp") % 9 == 0, "ETF").otherwise("Common Stock").alias("issue_type"),
-        F.when(c("supp") % 11 == 0, "t").otherwise("f").alias("is_index"),
+        *[f"CAST({value} AS STRING) AS {name}" for name, value in text.items()],
+        f"{sql_pick(OPTION_SECTORS, 'supp')} AS sector",
+        "concat('SYMBOL NUMBER ', supp) AS full_name",
+        "if(supp % 9 = 0, 'ETF', 'Common Stock') AS issue_type",
+        "if(supp % 11 = 0, 't', 'f') AS is_index",
     )
 
 
@@ -371,38 +357,29 @@ def bars(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def flow_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line item as a print of the last 60 days before ``AS_OF``."""
-    today = F.lit(AS_OF).cast("timestamp_ntz").cast("date")
-    rows = table(spark, sf_dir, "lineitem").withColumns(_contract_columns())
-    age = (F.datediff(today, F.col("l_shipdate").cast("date")) % 60).cast("int")
-    rows = rows.withColumns(
-        {
-            "day": F.date_sub(today, age),
-            "exp": F.date_add(today, ((F.col("contract_no") % 5) * 7 - 3).cast("int")),
-            "cents": F.floor(F.col("l_extendedprice") / F.col("l_quantity")).cast("bigint"),
-        }
+    today = f"DATE '{AS_OF[:10]}'"
+    first = date.fromisoformat(AS_OF[:10]) - timedelta(days=3)
+    expiries = [(first + timedelta(days=7 * week)).strftime("%m/%d/%Y") for week in range(5)]
+    rows = _contracts(spark, sf_dir).selectExpr(
+        "*", f"date_sub({today}, datediff({today}, CAST(l_shipdate AS DATE)) % 60) AS day", "l_orderkey + l_linenumber AS number"
     )
-    supp, line = F.col("l_suppkey"), F.col("l_linenumber")
-    number = F.col("l_orderkey") + line
-    side = F.when(number % 23 == 0, F.lit(None)).otherwise(pick(FLOW_SIDES, number))
-    interest = (supp * 131 + F.col("contract_no") * 977 + F.dayofyear("day")) % 300
-    money = "decimal(10,2)"
-    return rows.select(
-        F.date_format("day", "MM/dd/yyyy").alias("flow_imp_dt"),
-        F.concat(F.col("l_orderkey").cast("string"), F.lit(":"), line.cast("string")).alias("exec_tm"),
-        F.col("underlying_symbol").alias("tick_symb"),
-        F.date_format("exp", "MM/dd/yyyy").alias("opts_exp"),
-        F.col("strike").cast("string").alias("opts_strk"),
-        F.upper("option_type").alias("opts_typ"),
-        (F.col("strike") + (F.col("l_orderkey") % 5) - 2).cast("string").alias("tick_spot"),
-        pick(TRANSACTIONS, line).alias("trans_typ"),
-        (F.col("cents") / 100).cast(money).cast("string").alias("opts_price"),
-        F.col("l_discount").cast(money).cast("string").alias("opts_iv"),
-        F.col("l_quantity").cast(money).alias("opts_vol"),
-        F.lit(None).cast("string").alias("er_date"),
-        F.concat(F.lit("Industry "), (supp % 8).cast("string")).alias("tick_indstry"),
-        F.when(supp % 5 == 0, "True").otherwise("False").alias("etf_flg"),
-        side.alias("dtls_side"),
-        interest.cast(money).alias("opts_oi"),
+    return rows.selectExpr(
+        "date_format(day, 'MM/dd/yyyy') AS flow_imp_dt",
+        "concat(l_orderkey, ':', l_linenumber) AS exec_tm",
+        "underlying_symbol AS tick_symb",
+        f"{sql_pick(expiries, 'contract_no')} AS opts_exp",
+        "CAST(strike AS STRING) AS opts_strk",
+        "upper(option_type) AS opts_typ",
+        "CAST(strike + l_orderkey % 5 - 2 AS STRING) AS tick_spot",
+        f"{sql_pick(TRANSACTIONS, 'l_linenumber')} AS trans_typ",
+        "CAST(floor(l_extendedprice / l_quantity) / 100D AS STRING) AS opts_price",
+        "CAST(CAST(l_discount AS DECIMAL(10,2)) AS STRING) AS opts_iv",
+        "CAST(l_quantity AS DECIMAL(10,2)) AS opts_vol",
+        "CAST(NULL AS STRING) AS er_date",
+        "concat('Industry ', l_suppkey % 8) AS tick_indstry",
+        "if(l_suppkey % 5 = 0, 'True', 'False') AS etf_flg",
+        f"if(number % 23 = 0, NULL, {sql_pick(FLOW_SIDES, 'number')}) AS dtls_side",
+        "CAST((l_suppkey * 131 + contract_no * 977 + dayofyear(day)) % 300 AS DECIMAL(10,2)) AS opts_oi",
     )
 
 

@@ -11,6 +11,7 @@ from quotelake.functions.dates import (
     week_end,
 )
 from quotelake.functions.numbers import (
+    half_away,
     round_scaled,
     round_stable,
     safe_ratio,
@@ -38,6 +39,7 @@ __all__ = [
     "eastern_time",
     "epoch_millis_utc",
     "first_replace",
+    "half_away",
     "replace_all_text",
     "round_scaled",
     "round_stable",

@@ -20,9 +20,14 @@ def compact_date_int(text: Column | str) -> Column:
     return compact_date(_col(text).try_cast("date")).try_cast("int")
 
 
-def calendar_text_date(text: Column | str, pattern: str = "MM/dd/yyyy") -> Column:
-    """Date from calendar text such as '01/31/2021'."""
-    return F.to_date(_col(text), pattern)
+def calendar_text_date(text: Column | str) -> Column:
+    """Date from 'MM/DD/YYYY' text; other text fails the job.
+
+    Cutting the fixed-width text costs a fraction of a pattern parse.
+    """
+    text = _col(text)
+    year, month, day = (F.substring(text, start, size).cast("int") for start, size in ((7, 4), (1, 2), (4, 2)))
+    return F.make_date(year, month, day)
 
 
 def days_between(later: Column | str, earlier: Column | str) -> Column:

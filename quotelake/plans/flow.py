@@ -11,6 +11,7 @@ from quotelake.functions import (
     calendar_text_date,
     days_between,
     first_replace,
+    half_away,
     replace_all_text,
     round_stable,
     week_end,
@@ -92,9 +93,14 @@ def flow_prints_clean(prints: DataFrame, as_of: datetime | Column, after_close:
     ).distinct()
 
 
-def _share(part: Column, whole: Column) -> Column:
+def _hundredths(amount: str) -> Column:
+    """A two-digit decimal as a whole number, which sums fast and exactly."""
+    return (F.col(amount) * 100).cast("bigint")
+
+
+def _share(part: str, whole: str) -> Column:
     """Share rounded to 4 digits, exact halves up; 0 without a whole."""
-    ratio = part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0))
+    ratio = F.col(part).cast("double") / F.nullif(F.col(whole).cast("double"), F.lit(0.0))
     return F.coalesce(round_stable(ratio, 4), F.lit(0.0))
 
 
@@ -104,16 +110,18 @@ def flow_contract_stats(clean: DataFrame) -> DataFrame:
     The prints are reduced to one row per contract, day, side and moneyness
     first. What is left of a contract is bounded by the look-back period, so
     the window sums over it are small even for a contract that holds a third of
-    all prints; they share one placement by contract. Totals per symbol and
-    day span many contracts and are aggregated instead.
+    all prints. The windows go from the finest group to the contract, each a
+    prefix of the one before, so one placement and one sort serve them all.
+    Totals per symbol and day span many contracts and are aggregated instead.
     """
     descriptive = ["er_date", "etf_flg", "dtls_side", "bull_side", "tick_indstry", "opts_oi"]
-    premium = F.col("opts_price") * F.col("opts_vol") * SHARES_PER_CONTRACT
     iv = F.col("opts_iv").cast(MONEY)
+    # price x volume x 100, in hundredths.
+    premium = _hundredths("opts_price") * _hundredths("opts_vol") * SHARES_PER_CONTRACT / 100
     leaves = clean.groupBy(*CONTRACT_DAY, *descriptive, "moneyness").agg(
-        F.sum("opts_vol").alias("vol"),
-        F.sum(premium).alias("prem"),
-        F.sum(iv).alias("iv_sum"),
+        F.sum(_hundredths("opts_vol")).alias("vol"),
+        F.sum(premium.cast("bigint")).alias("prem"),
+        F.sum((iv * 100).cast("bigint")).alias("iv_sum"),
         F.count(iv).alias("iv_n"),
     )
     kind = F.col("opts_typ")
@@ -127,35 +135,39 @@ def flow_contract_stats(clean: DataFrame) -> DataFrame:
         },
     ).repartition(*CONTRACT)
 
-    def over(value: Column, *by: str) -> Column:
-        return F.sum(value).over(Window.partitionBy(*by))
-
-    vol, prem = F.col("vol"), F.col("prem")
-    by_side = [*CONTRACT_DAY, "dtls_side"]
+    contract_day = [*CONTRACT, "flow_imp_dt"]
+    by_side = [*contract_day, "dtls_side"]
     by_money = [*by_side, "moneyness"]
-    columns = {
-        "opts_prem_imp_dt": over(prem, *CONTRACT_DAY),
-        "opts_vol_imp_dt": over(vol, *CONTRACT_DAY),
-        "opts_prem_side_imp_dt": over(prem, *by_side),
-        "opts_vol_side_imp_dt": over(vol, *by_side),
-        "opts_prem_mny_imp_dt": over(prem, *by_money),
-        "opts_vol_mny_imp_dt": over(vol, *by_money),
-        "opts_iv_imp_dt": round_stable(
-            over(F.col("iv_sum"), *by_side).cast("double") / F.nullif(over(F.col("iv_n"), *by_side), F.lit(0)), 4
-        ),
-    }
-    for scope, by in {"tsei": CONTRACT_DAY, "tse": CONTRACT}.items():
-        for measure, value in {"vol": vol, "prem": prem}.items():
-            whole = over(value, *by)
-            for name, letter in SIDES.items():
-                part = over(F.when(F.col("dtls_side").contains(letter), value), *by)
-                columns[f"{name}_{measure}_{scope}"] = F.coalesce(part, F.lit(0))
-                columns[f"{name}_{measure}_{scope}_perc"] = _share(part, whole)
-    return (
-        leaves.withColumns(columns)
-        .select(*CONTRACT_DAY, *descriptive, "call_vol_i", "put_vol_i", "tot_vol_i", *columns)
-        .distinct()
-    )
+    measures = ("vol", "prem")
+
+    def sums(rows: DataFrame, by: list[str], named: dict[str, Column]) -> DataFrame:
+        group = Window.partitionBy(*by)
+        return rows.withColumns({name: F.sum(value).over(group) for name, value in named.items()})
+
+    def side_sums(scope: str) -> dict[str, Column]:
+        return {
+            f"{name}_{measure}_{scope}": F.when(F.col("dtls_side").contains(letter), F.col(measure))
+            for measure in measures
+            for name, letter in SIDES.items()
+        }
+
+    rows = sums(leaves, by_money, {f"opts_{m}_mny_imp_dt": F.col(m) for m in measures})
+    rows = sums(rows, by_side, {f"opts_{m}_side_imp_dt": F.col(m) for m in measures} | {"__iv": F.col("iv_sum"), "__n": F.col("iv_n")})
+    rows = sums(rows, contract_day, {f"opts_{m}_imp_dt": F.col(m) for m in measures} | side_sums("tsei"))
+    rows = sums(rows, CONTRACT, {f"__{m}_tse": F.col(m) for m in measures} | side_sums("tse"))
+
+    whole = {("tsei", m): f"opts_{m}_imp_dt" for m in measures} | {("tse", m): f"__{m}_tse" for m in measures}
+    amounts = ["call_vol_i", "put_vol_i", "tot_vol_i"]
+    amounts += [f"opts_{m}{g}_imp_dt" for g in ("", "_side", "_mny") for m in measures]
+    parts = [(scope, m, f"{side}_{m}_{scope}") for scope, m in whole for side in SIDES]
+    return rows.select(
+        *CONTRACT_DAY,
+        *descriptive,
+        *[(F.col(a) / 100.0).alias(a) for a in amounts],
+        round_stable(F.col("__iv") / 100.0 / F.nullif(F.col("__n").cast("double"), F.lit(0.0)), 4).alias("opts_iv_imp_dt"),
+        *[(F.coalesce(F.col(name), F.lit(0)) / 100.0).alias(name) for _, _, name in parts],
+        *[_share(name, whole[scope, m]).alias(f"{name}_perc") for scope, m, name in parts],
+    ).distinct()
 
 
 def open_interest_history(prints: DataFrame, as_of: datetime | Column, after_close: bool = False) -> DataFrame:
@@ -268,10 +280,10 @@ def flow_signals(stats: DataFrame, history: DataFrame) -> DataFrame:
     ties = ["dtls_side", "bull_side", "opts_oi", "prev_oi", "nextday_oi", "opts_vol_mny_imp_dt", "opts_prem_mny_imp_dt"]
     ties += ["er_date", "etf_flg", "tick_indstry"]
     largest_first = [F.col("opts_vol_side_imp_dt").desc(), *[F.col(c).asc_nulls_last() for c in ties]]
-    reachable = F.col("opts_vol_imp_dt") + F.col("opts_oi")
+    reachable = F.col("opts_vol_imp_dt") + F.col("opts_oi").cast("double")
     closed = (F.col("nextday_oi") < reachable) & (F.row_number().over(day.orderBy(*largest_first)) == 1)
     rounded = {
-        c: F.round(F.col(c), 0)
+        c: half_away(F.col(c))
         for c in stats.columns
         if c.endswith(("_tsei", "_tse"))
     }
@@ -279,7 +291,7 @@ def flow_signals(stats: DataFrame, history: DataFrame) -> DataFrame:
         {
             "call_vol_i_perc": call_share,
             "unusual_flg": unusual,
-            "delta_chng_vol": F.when(closed, reachable - F.col("nextday_oi")).otherwise(F.lit(0)),
+            "delta_chng_vol": F.when(closed, reachable - F.col("nextday_oi").cast("double")).otherwise(F.lit(0.0)),
             **rounded,
         }
     ).drop("call_vol_i", "put_vol_i", "tot_vol_i").distinct()
@@ -297,6 +309,9 @@ def flow_stats(
     week end is date arithmetic, so no calendar table is joined.
     """
     moment = _as_of(as_of)
+    # A print without symbol or expiry is dropped by the joins below; said
+    # here, every branch reads the prints the same way and shares the work.
+    prints = prints.where(F.col("tick_symb").isNotNull() & F.col("opts_exp").isNotNull())
     clean = flow_prints_clean(prints, moment, after_close)
     signals = flow_signals(flow_contract_stats(clean), open_interest_history(prints, moment, after_close))
     about = _summary_columns(summary, moment)
@@ -328,8 +343,8 @@ def flow_stats(
         F.dayofweek(flow_date).alias("flow_day_nbr"),
         "exp_wk_nbr",
         "exp_wk_rownbr",
-        F.when(bullish, F.col("opts_vol_side_imp_dt")).otherwise(F.lit(0)).alias("bull_side_i_vol"),
-        F.when(bullish, F.col("opts_prem_side_imp_dt")).otherwise(F.lit(0)).alias("bull_side_i_prem"),
+        F.when(bullish, F.col("opts_vol_side_imp_dt")).otherwise(F.lit(0.0)).alias("bull_side_i_vol"),
+        F.when(bullish, F.col("opts_prem_side_imp_dt")).otherwise(F.lit(0.0)).alias("bull_side_i_prem"),
         F.when(flow_date == newest, "Y").otherwise("N").alias("ltstflowdt"),
     ).distinct()
 
