@@ -12,7 +12,7 @@ from quotelake.operators.joins import attach
 
 # Value ranges per power of two. Range numbers follow the order of the values,
 # so counting whole ranges and then ranking inside one is exact.
-RANGES_PER_OCTAVE = 64
+RANGES_PER_OCTAVE = 16384
 _OCTAVES = 1100  # more than the exponents of a double
 
 

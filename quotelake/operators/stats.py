@@ -34,31 +34,29 @@ def zscore(
     by: Sequence[str],
     digits: int = 2,
     small_groups: bool = False,
+    sample: Column | None = None,
 ) -> DataFrame:
     """Add ``(x - mean) / sample deviation`` per group for each ``cols`` entry.
 
     ``cols`` maps output names to input columns. A group of one row, or of
     equal values, gives NULL. ``small_groups`` uses one window instead of the
     join: right when the group size is bounded by what the rows mean (the
-    strikes listed for one expiry).
+    strikes listed for one expiry). With ``sample`` only the rows that satisfy
+    it count towards mean and deviation.
     """
+    members = {src: F.col(src) if sample is None else F.when(sample, F.col(src)) for src in cols.values()}
+    means = {out: F.avg(members[src]) for out, src in cols.items()}
+    deviations = {out: F.stddev_samp(members[src]) for out, src in cols.items()}
     if small_groups:
         group = Window.partitionBy(*by)
         return df.withColumns(
             {
-                out: _z(
-                    F.col(src).cast("double"),
-                    F.avg(src).over(group),
-                    F.stddev_samp(src).over(group),
-                    digits,
-                )
+                out: _z(F.col(src).cast("double"), means[out].over(group), deviations[out].over(group), digits)
                 for out, src in cols.items()
             }
         )
-    aggregates = {}
-    for out, src in cols.items():
-        aggregates[f"__mean_{out}"] = F.avg(src)
-        aggregates[f"__dev_{out}"] = F.stddev_samp(src)
+    aggregates = {f"__mean_{out}": mean for out, mean in means.items()}
+    aggregates |= {f"__dev_{out}": deviation for out, deviation in deviations.items()}
     scored = attach_group_stats(df, by, aggregates).withColumns(
         {
             out: _z(F.col(src).cast("double"), F.col(f"__mean_{out}"), F.col(f"__dev_{out}"), digits)

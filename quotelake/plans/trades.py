@@ -219,7 +219,8 @@ STRIKE_GROUPS = {
 # Output suffix -> measure of the cube.
 STRIKE_MEASURES = {"trades": "trade_count", "vol": "total_contracts", "prem": "total_premium"}
 STRIKE_COLUMNS = [f"{group}_strike_{suffix}" for group in STRIKE_GROUPS for suffix in STRIKE_MEASURES]
-STRIKE = [DAY, "underlying_symbol", "strike", "expiry"]
+# Expiry before strike: the strikes of an expiry then share its sort order.
+STRIKE = [DAY, "underlying_symbol", "expiry", "strike"]
 
 
 def _type_is(name: str | None) -> Column:
@@ -228,9 +229,10 @@ def _type_is(name: str | None) -> Column:
 
 
 def _strike_spec() -> dict:
+    groups = {name: (F.col("bull_bear_flg") == flag) & _type_is(kind) for name, (flag, kind) in STRIKE_GROUPS.items()}
     return {
-        f"{group}_strike_{suffix}": (F.sum, (F.col("bull_bear_flg") == flag) & _type_is(kind), measure)
-        for group, (flag, kind) in STRIKE_GROUPS.items()
+        f"{group}_strike_{suffix}": (F.sum, rows, measure)
+        for group, rows in groups.items()
         for suffix, measure in STRIKE_MEASURES.items()
     }
 
@@ -240,35 +242,40 @@ def strike_details(cube: DataFrame) -> DataFrame:
     return conditional_pivot(cube, STRIKE, _strike_spec())
 
 
-def _contract_spec() -> dict:
-    def pick(side: str, kind: str | None, measure: str):
-        return F.max, (F.col("side") == side) & _type_is(kind), measure
+# Measure of the cube -> transaction type -> columns for total, ask and bid.
+CONTRACT_COLUMNS = {
+    "trade_count": {None: ("total_trades", "trades_at_ask", "trades_at_bid")},
+    "total_contracts": {
+        None: ("total_vol", "ask_vol", "bid_vol"),
+        "sweep": ("total_sweep_vol", "sweep_ask_vol", "sweep_bid_vol"),
+        "multileg": ("total_ml_vol", "ml_ask_vol", "ml_bid_vol"),
+    },
+    "total_premium": {
+        None: ("total_premium", "total_premium_at_ask", "total_premium_at_bid"),
+        "sweep": ("total_sweep_premium", "sweep_ask_premium", "sweep_bid_premium"),
+        "multileg": ("total_ml_premium", "ml_ask_premium", "ml_bid_premium"),
+    },
+}
+# Column of the total row -> measure of the cube.
+TOTAL_COLUMNS = {
+    "min_price": "min_price",
+    "max_price": "max_price",
+    "total_avg_price": "wtd_avg_price",
+    "total_avg_delta": "wtd_avg_delta",
+    "total_avg_gamma": "wtd_avg_gamma",
+}
 
-    spec = {
-        "total_trades": pick("total", None, "trade_count"),
-        "trades_at_ask": pick("ask", None, "trade_count"),
-        "trades_at_bid": pick("bid", None, "trade_count"),
-    }
-    names = {
-        ("vol", None): ("total_vol", "ask_vol", "bid_vol"),
-        ("vol", "sweep"): ("total_sweep_vol", "sweep_ask_vol", "sweep_bid_vol"),
-        ("vol", "multileg"): ("total_ml_vol", "ml_ask_vol", "ml_bid_vol"),
-        ("premium", None): ("total_premium", "total_premium_at_ask", "total_premium_at_bid"),
-        ("premium", "sweep"): ("total_sweep_premium", "sweep_ask_premium", "sweep_bid_premium"),
-        ("premium", "multileg"): ("total_ml_premium", "ml_ask_premium", "ml_bid_premium"),
-    }
-    measure = {"vol": "total_contracts", "premium": "total_premium"}
-    for (what, kind), columns in names.items():
-        for side, column in zip(("total", "ask", "bid"), columns):
-            spec[column] = pick(side, kind, measure[what])
-    for column, source in {
-        "min_price": "min_price",
-        "max_price": "max_price",
-        "total_avg_price": "wtd_avg_price",
-        "total_avg_delta": "wtd_avg_delta",
-        "total_avg_gamma": "wtd_avg_gamma",
-    }.items():
-        spec[column] = pick("total", None, source)
+
+def _contract_spec() -> dict:
+    kinds = {kind: _type_is(kind) for kind in (None, "sweep", "multileg")}
+    groups = {(s, k): (F.col("side") == s) & is_kind for k, is_kind in kinds.items() for s in ("total", "ask", "bid")}
+    spec = {}
+    for measure, by_kind in CONTRACT_COLUMNS.items():
+        for kind, names in by_kind.items():
+            for side, name in zip(("total", "ask", "bid"), names):
+                spec[name] = (F.max, groups[side, kind], measure)
+    for name, measure in TOTAL_COLUMNS.items():
+        spec[name] = (F.max, groups["total", None], measure)
     return spec
 
 
@@ -292,10 +299,11 @@ def chain_analytics(cube: DataFrame, base: DataFrame) -> DataFrame:
     strike's totals are then window sums over its few contracts, so the cube is
     neither read again nor joined to its own derivatives.
     """
+    pivot = _contract_spec()
     contracts = conditional_pivot(
         cube.where(F.col("strike").isNotNull() & F.col("expiry").isNotNull() & F.col("underlying_symbol").isNotNull()),
         CONTRACT,
-        {**_contract_spec(), **_strike_spec()},
+        {**pivot, **_strike_spec()},
     )
     unusual = F.when((F.col("unusual_diff_vol") > 1) | (F.col("unusual_curr_vol") > 2), "Y").otherwise("N")
     facts = base.groupBy(DAY, F.col("option_symbol").alias(CHAIN)).agg(
@@ -313,7 +321,7 @@ def chain_analytics(cube: DataFrame, base: DataFrame) -> DataFrame:
         *CONTRACT,
         *BASE_COLUMNS,
         "unusual_vol_flg",
-        *_contract_spec(),
+        *pivot,
         *STRIKE_COLUMNS[:bear],
         "net_strike_prem",
         *STRIKE_COLUMNS[bear:],
@@ -354,12 +362,8 @@ def chain_zscores(analytics: DataFrame) -> DataFrame:
     expiry = [DAY, "underlying_symbol", "expiry"]
     one_per_strike = F.row_number().over(Window.partitionBy(*STRIKE).orderBy(CHAIN)) == 1
     rows = analytics.where(F.col("option_type").isNotNull()).withColumn("__first", one_per_strike)
-    rows = rows.withColumns({f"__{c}": F.when(F.col("__first"), F.col(c)) for c in STRIKE_ZSCORES.values()})
+    rows = zscore(rows, STRIKE_ZSCORES, expiry, small_groups=True, sample=F.col("__first"))
     rows = zscore(rows, CONTRACT_ZSCORES, [DAY, "underlying_symbol", "option_type", "expiry"], small_groups=True)
-    rows = zscore(rows, {out: f"__{src}" for out, src in STRIKE_ZSCORES.items()}, expiry, small_groups=True)
-    # The score sits on the strike's first contract; hand it to the others.
-    per_strike = Window.partitionBy(*STRIKE)
-    rows = rows.withColumns({out: F.max(out).over(per_strike) for out in STRIKE_ZSCORES})
     return rows.select(*analytics.columns, *CONTRACT_ZSCORES, *STRIKE_ZSCORES)
 
 
