@@ -160,14 +160,16 @@ def flow_contract_stats(clean: DataFrame) -> DataFrame:
     amounts = ["call_vol_i", "put_vol_i", "tot_vol_i"]
     amounts += [f"opts_{m}{g}_imp_dt" for g in ("", "_side", "_mny") for m in measures]
     parts = [(scope, m, f"{side}_{m}_{scope}") for scope, m in whole for side in SIDES]
-    return rows.select(
+    # Rows that differ in moneyness alone and agree in their sums are one row.
+    sums_only = [*amounts, "__iv", "__n", "__vol_tse", "__prem_tse", *[name for _, _, name in parts]]
+    return rows.select(*CONTRACT_DAY, *descriptive, *sums_only).distinct().select(
         *CONTRACT_DAY,
         *descriptive,
         *[(F.col(a) / 100.0).alias(a) for a in amounts],
         round_stable(F.col("__iv") / 100.0 / F.nullif(F.col("__n").cast("double"), F.lit(0.0)), 4).alias("opts_iv_imp_dt"),
         *[(F.coalesce(F.col(name), F.lit(0)) / 100.0).alias(name) for _, _, name in parts],
         *[_share(name, whole[scope, m]).alias(f"{name}_perc") for scope, m, name in parts],
-    ).distinct()
+    )
 
 
 def open_interest_history(prints: DataFrame, as_of: datetime | Column, after_close: bool = False) -> DataFrame:
@@ -267,6 +269,10 @@ def _summary_columns(summary: DataFrame, as_of: Column) -> DataFrame:
 
 def flow_signals(stats: DataFrame, history: DataFrame) -> DataFrame:
     """Contract statistics with open-interest history and the derived flags."""
+    return _signals(stats, history).distinct()
+
+
+def _signals(stats: DataFrame, history: DataFrame) -> DataFrame:
     oi = history.select(*CONTRACT_DAY, "prev_oi", "nextday_oi", "last_oi").distinct()
     rows = stats.join(oi, CONTRACT_DAY, "left")
     total, calls, puts = F.col("tot_vol_i"), F.col("call_vol_i"), F.col("put_vol_i")
@@ -294,7 +300,7 @@ def flow_signals(stats: DataFrame, history: DataFrame) -> DataFrame:
             "delta_chng_vol": F.when(closed, reachable - F.col("nextday_oi").cast("double")).otherwise(F.lit(0.0)),
             **rounded,
         }
-    ).drop("call_vol_i", "put_vol_i", "tot_vol_i").distinct()
+    ).drop("call_vol_i", "put_vol_i", "tot_vol_i")
 
 
 def flow_stats(
@@ -313,11 +319,10 @@ def flow_stats(
     # here, every branch reads the prints the same way and shares the work.
     prints = prints.where(F.col("tick_symb").isNotNull() & F.col("opts_exp").isNotNull())
     clean = flow_prints_clean(prints, moment, after_close)
-    signals = flow_signals(flow_contract_stats(clean), open_interest_history(prints, moment, after_close))
-    about = _summary_columns(summary, moment)
+    about = _summary_columns(summary, moment).distinct()
 
     # Expiry weeks and the newest flow date come from two or three columns of
-    # the prints themselves, so the aggregation above is not run again.
+    # the prints themselves, so the aggregation below is not run again.
     single_leg = keep_matching(
         _recent(prints, moment, after_close).where(~F.col("trans_typ").contains("ML")), about, ["tick_symb"]
     )
@@ -329,16 +334,20 @@ def flow_stats(
         .withColumn("exp_wk_nbr", (F.floor(days_between(expiry_week, this_week) / 7) + 1).cast("int"))
         .withColumn("exp_wk_rownbr", F.dense_rank().over(Window.partitionBy("tick_symb").orderBy("exp_wk_nbr")))
     )
-    rows = signals.join(about, "tick_symb").join(listed, ["tick_symb", "opts_exp"])
     newest = single_leg.agg(F.max("flow_date")).scalar()
+
+    # What the report shows of the signals is made distinct while the rows lie
+    # by contract and day; the columns joined afterwards follow from those.
+    signals = _signals(flow_contract_stats(clean), open_interest_history(prints, moment, after_close))
+    side = F.when(F.col("dtls_side") == "A", "Ask").when(F.col("dtls_side") == "B", "Bid").otherwise("Mid")
+    shown = signals.drop("er_date", "tick_indstry").withColumn("dtls_side", side).distinct()
+    rows = shown.join(about, "tick_symb").join(listed, ["tick_symb", "opts_exp"])
     flow_date = calendar_text_date("flow_imp_dt")
     bullish = F.col("bull_side") == "Bullish"
-    side = F.when(F.col("dtls_side") == "A", "Ask").when(F.col("dtls_side") == "B", "Bid").otherwise("Mid")
     return rows.select(
         F.when(F.col("etf_flg") == "True", "ETFs").otherwise(F.col("__sector")).alias("sector"),
         *[c for c in about.columns if c != "__sector"],
-        *[c for c in signals.columns if c not in ("tick_symb", "dtls_side", "er_date", "tick_indstry")],
-        side.alias("dtls_side"),
+        *[c for c in shown.columns if c != "tick_symb"],
         F.upper(F.date_format(flow_date, "EEE")).alias("flow_day"),
         F.dayofweek(flow_date).alias("flow_day_nbr"),
         "exp_wk_nbr",
@@ -346,5 +355,4 @@ def flow_stats(
         F.when(bullish, F.col("opts_vol_side_imp_dt")).otherwise(F.lit(0.0)).alias("bull_side_i_vol"),
         F.when(bullish, F.col("opts_prem_side_imp_dt")).otherwise(F.lit(0.0)).alias("bull_side_i_prem"),
         F.when(flow_date == newest, "Y").otherwise("N").alias("ltstflowdt"),
-    ).distinct()
-
+    )
