@@ -766,7 +766,7 @@ ORACLE: dict[str, str] = {
     "chain_zscores": chain_zscores("a.*"),
     "chain_zscores_filtered": chain_zscores(
         "file_version_date, underlying_symbol, option_chain_id, option_type, strike, expiry",
-        "underlying_symbol IN ('S1', 'S2', 'S3') AND expiry = 20020315",
+        "expiry = 20020315",
     ),
     "contract_pivot": "SELECT l_partkey, "
     + ", ".join(f"sum(l_quantity) FILTER (l_returnflag = '{f}') AS qty_{f.lower()}" for f in "ARN")

@@ -106,8 +106,8 @@ def chain_zscores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chain_zscores_filtered(spark: SparkSession, sf: str) -> DataFrame:
-    """The ad-hoc form: only some symbols and expiries."""
-    base = trades.chain_base(roles.oi_changes(spark, sf), symbols=["S1", "S2", "S3"], expiries=[20020315])
+    """The ad-hoc form for one expiry, over all symbols."""
+    base = trades.chain_base(roles.oi_changes(spark, sf), expiries=[20020315])
     cube = trades.option_trades_by_chain(roles.option_trades(spark, sf), base)
     return trades.chain_zscores(trades.chain_analytics(cube, base)).select(
         *trades.CONTRACT, *trades.CONTRACT_ZSCORES, *trades.STRIKE_ZSCORES
