@@ -5,7 +5,9 @@ import math
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from quotelake.catalog.oracle import ORACLE
+from quotelake.catalog.queries import QUERIES
 from tests.conftest import SF
 
 TABLES = (
@@ -38,13 +40,13 @@ def canonical(columns, data):
 
 
 def test_every_query_has_a_twin():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLE) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
-    df = queries()[name](spark, SF)
-    expected = duck.sql(oracle_sql()[name])
+    df = QUERIES[name](spark, SF)
+    expected = duck.sql(ORACLE[name])
     assert sorted(df.columns) == sorted(expected.columns)
     found = canonical(df.columns, [tuple(r) for r in df.collect()])
     assert found and found == canonical(expected.columns, expected.fetchall())
