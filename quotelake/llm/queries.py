@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from quotelake.llm.chat import format_chats
 from quotelake.llm.common import table
+from quotelake.llm.decontamination import decontaminate
 from quotelake.llm.exact_dedup import exact_dedup
+from quotelake.llm.packing import pack_documents
 from quotelake.llm.sharding import balanced_shards
+from quotelake.llm.token_store import token_digest
+
+BYTE_BPE = "byte_bpe_50k.json"
 
 
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,10 +30,25 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
+def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_digest(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op3_sharding": op3_sharding,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_packing": op5_packing,
+    "op7_token_store": op7_token_store,
+    "op8_decontamination": op8_decontamination,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
