@@ -11,6 +11,7 @@ from quotelake.llm.chat import format_chats
 from quotelake.llm.common import table
 from quotelake.llm.decontamination import decontaminate
 from quotelake.llm.exact_dedup import exact_dedup
+from quotelake.llm.ngram_join import similar_documents
 from quotelake.llm.packing import pack_documents
 from quotelake.llm.sharding import balanced_shards
 from quotelake.llm.token_store import token_digest
@@ -22,6 +23,10 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return format_chats(table(spark, sf_dir, "conversations"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balanced_shards(table(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_ngram_join": op2_ngram_join,
     "op3_sharding": op3_sharding,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_packing": op5_packing,
