@@ -14,6 +14,7 @@ from quotelake.llm.exact_dedup import exact_dedup
 from quotelake.llm.ngram_join import similar_documents
 from quotelake.llm.packing import pack_documents
 from quotelake.llm.sharding import balanced_shards
+from quotelake.llm.suffix_dedup import remove_repeats
 from quotelake.llm.token_store import token_digest
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -47,6 +48,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"), length=400)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_ngram_join": op2_ngram_join,
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_packing": op5_packing,
     "op7_token_store": op7_token_store,
     "op8_decontamination": op8_decontamination,
+    "op9_suffix_dedup": op9_suffix_dedup,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
