@@ -1,31 +1,86 @@
-"""From raw documents to packed sequences: stages written and reread in turn."""
+"""From raw documents to packed sequences: stages written and reread in turn.
+
+Documents without a language go; of equal texts the one with the largest
+doc_id stays; of documents that five-word shingles link at a similarity of 0.8
+or more, the smallest doc_id stays; contaminated documents go; what is left is
+packed into sequences.
+
+Rows that share a doc_id but not a text are documents of their own up to the
+third stage, where they stay or go together.
+"""
 
 from __future__ import annotations
 
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from quotelake.llm.common import table
+from quotelake.llm.decontamination import keep_uncontaminated
 from quotelake.llm.exact_dedup import exact_dedup
+from quotelake.llm.language_id import keep_identified
+from quotelake.llm.ngram_join import similar_documents
+from quotelake.llm.packing import pack_documents
 from quotelake.session import shared_folder
 
+TOKENIZER = "byte_bpe_50k.json"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is known."""
+    return keep_identified(docs)
+
+
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each set of texts that are equal but for the case of A-Z."""
+    found = exact_dedup(docs).where("kept").select(
+        F.col("doc_id").alias("__keep"), F.col("text_sha256").alias("__sha256")
+    )
+    normal = F.translate(F.coalesce(docs["text"], F.lit("")), UPPER, LOWER)
+    digested = docs.withColumn("__text_sha256", F.sha2(normal, 256))
+    same = (digested["__text_sha256"] == found["__sha256"]) & digested["doc_id"].eqNullSafe(found["__keep"])
+    kept = digested.join(found, same, "left_semi")
+    # The row that stays may itself be repeated.
+    return kept.dropDuplicates(["__text_sha256"]).select(*docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that shingles link."""
+    groups = similar_documents(docs, words=5, percent=80)
+    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__keep"))
+    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__keep"]), "left_semi")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of which less than a twentieth is benchmark passages."""
+    return keep_uncontaminated(docs, table(spark, sf_dir, "benchmark"))
+
 
-def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each set of equal texts stays: the largest doc_id."""
-    found = exact_dedup(docs).where("kept").select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_semi")
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents in sequences."""
+    return pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("exact_dedup", drop_copies)]
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("language_id", language_id),
+    ("exact_copies", exact_copies),
+    ("near_copies", near_copies),
+    ("decontamination", decontamination),
+    ("packing", packing),
+]
 
+#: A trained network decides in the first stage, which SQL cannot express.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written before the next stage reads it."""
     folder = shared_folder(spark, "pipeline")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         path = os.path.join(folder, name)
         stage(spark, docs, sf_dir).write.parquet(path)

@@ -186,46 +186,55 @@ def remove_marked(text: bytes, marks: bytearray) -> bytes:
 _built: dict[bytes, Automaton] = {}
 
 
-def _judge(shared, window: int, hit_share: int, cleaned: bool):
-    def automata() -> Iterator[Automaton]:
-        items = shared.value
-        if sum(len(t) for _, t in items) <= 4 * BLOCK_WORDS:
-            # One block: kept by the worker process for its next task.
-            digest = hashlib.sha256(repr((window, items)).encode()).digest()
-            if digest not in _built:
-                _built.clear()
-                _built[digest] = Automaton([(n, words_of(t)) for n, t in items], window)
-            yield _built[digest]
-        else:
-            for block in _blocks(items):
-                yield Automaton(block, window)
+def _automata(items: Sequence[tuple[str | None, bytes]], window: int) -> Iterator[Automaton]:
+    if sum(len(t) for _, t in items) <= 4 * BLOCK_WORDS:
+        # One block: kept by the worker process for its next task.
+        digest = hashlib.sha256(repr((window, items)).encode()).digest()
+        if digest not in _built:
+            _built.clear()
+            _built[digest] = Automaton([(n, words_of(t)) for n, t in items], window)
+        yield _built[digest]
+    else:
+        for block in _blocks(items):
+            yield Automaton(block, window)
+
+
+def _hits(
+    texts: Sequence[bytes], items: Sequence[tuple[str | None, bytes]], window: int
+) -> tuple[list[bytearray], list[set[str | None]]]:
+    """By text: a mark for every word, and the items hit."""
+    words = [words_of(t) for t in texts]
+    marks = [bytearray(len(w)) for w in words]
+    found: list[set[str | None]] = [set() for _ in words]
+    for automaton in _automata(items, window):
+        for each in zip(words, marks, found, strict=True):
+            automaton.scan(*each)
+    return marks, found
+
+
+def _contaminated(marks: bytearray, hit_share: int) -> bool:
+    hits = marks.count(1)
+    return hits > 0 and hit_share * hits >= len(marks)
+
 
+def _judge(shared, window: int, hit_share: int, cleaned: bool):
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in regroup(batches, "text", BATCH_BYTES):
             texts = texts_of(batch.column("text"))
-            words = [words_of(t) for t in texts]
-            marks = [bytearray(len(w)) for w in words]
-            found: list[set[str | None]] = [set() for _ in words]
-            for automaton in automata():
-                for each in zip(words, marks, found, strict=True):
-                    automaton.scan(*each)
+            marks, found = _hits(texts, shared.value, window)
             names = [sorted(n for n in f if n is not None) for f in found]
-            sizes, hits = [len(w) for w in words], [m.count(1) for m in marks]
+            clean = [None] * len(texts)
+            if cleaned:
+                clean = [remove_marked(t, m).decode() for t, m in zip(texts, marks, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(hits, pa.int64()),
+                    pa.array(map(len, marks), pa.int64()),
+                    pa.array([m.count(1) for m in marks], pa.int64()),
                     pa.array(map(len, names), pa.int64()),
                     pa.array([hashlib.sha256(",".join(n).encode()).hexdigest() for n in names], pa.string()),
-                    pa.array([h > 0 and hit_share * h >= n for h, n in zip(hits, sizes, strict=True)], pa.bool_()),
-                    pa.array(
-                        [
-                            (remove_marked(t, m) if h else t).decode() if cleaned else None
-                            for t, m, h in zip(texts, marks, hits, strict=True)
-                        ],
-                        pa.string(),
-                    ),
+                    pa.array([_contaminated(m, hit_share) for m in marks], pa.bool_()),
+                    pa.array(clean, pa.string()),
                 ],
                 [c.split()[0] for c in SCHEMA.split(", ")],
             )
@@ -233,6 +242,18 @@ def _judge(shared, window: int, hit_share: int, cleaned: bool):
     return judge
 
 
+def _items(benchmark: DataFrame):
+    """The benchmark's texts as a broadcast, once their size is known to be bounded."""
+    items = benchmark.select(F.col("item_id").cast("string"), F.encode("text", "UTF-8").alias("text")).where(
+        F.octet_length("text") > 0
+    )
+    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size > MAX_ITEM_BYTES:
+        raise ValueError(f"benchmark texts have {size} bytes, at most {MAX_ITEM_BYTES} are sent to tasks")
+    held = sorted(((r[0], bytes(r[1])) for r in items.collect()), key=lambda r: (r[0] or "", r[1]))
+    return benchmark.sparkSession.sparkContext.broadcast(held)
+
+
 def decontaminate(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, hit_share: int = 20, cleaned: bool = False
 ) -> DataFrame:
@@ -242,13 +263,19 @@ def decontaminate(
     ``hit_share`` of its words. With ``cleaned`` a column ``clean`` holds the
     text without the words inside hits.
     """
-    items = benchmark.select(F.col("item_id").cast("string"), F.encode("text", "UTF-8").alias("text")).where(
-        F.octet_length("text") > 0
-    )
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if size > MAX_ITEM_BYTES:
-        raise ValueError(f"benchmark texts have {size} bytes, at most {MAX_ITEM_BYTES} are sent to tasks")
-    held = sorted(((r[0], bytes(r[1])) for r in items.collect()), key=lambda r: (r[0] or "", r[1]))
-    shared = docs.sparkSession.sparkContext.broadcast(held)
-    out = docs.select("doc_id", "text").mapInArrow(_judge(shared, window, hit_share, cleaned), SCHEMA)
+    out = docs.select("doc_id", "text").mapInArrow(_judge(_items(benchmark), window, hit_share, cleaned), SCHEMA)
     return out if cleaned else out.drop("clean")
+
+
+def keep_uncontaminated(
+    docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, hit_share: int = 20
+) -> DataFrame:
+    """The rows, all columns, that are not contaminated."""
+    shared = _items(benchmark)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in regroup(batches, "text", BATCH_BYTES):
+            marks, _ = _hits(texts_of(batch.column("text")), shared.value, window)
+            yield batch.filter(pa.array([not _contaminated(m, hit_share) for m in marks], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)

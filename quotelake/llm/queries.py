@@ -11,8 +11,10 @@ from quotelake.llm.chat import format_chats
 from quotelake.llm.common import table
 from quotelake.llm.decontamination import decontaminate
 from quotelake.llm.exact_dedup import exact_dedup
+from quotelake.llm.language_id import predict_languages
 from quotelake.llm.ngram_join import similar_documents
 from quotelake.llm.packing import pack_documents
+from quotelake.llm.quality import score_quality
 from quotelake.llm.sharding import balanced_shards
 from quotelake.llm.suffix_dedup import remove_repeats
 from quotelake.llm.token_store import token_digest
@@ -40,6 +42,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_digest(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_BPE))
 
@@ -48,6 +54,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_languages(table(spark, sf_dir, "documents"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), length=400)
 
@@ -58,9 +68,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_packing": op5_packing,
+    "op6_quality": op6_quality,
     "op7_token_store": op7_token_store,
     "op8_decontamination": op8_decontamination,
     "op9_suffix_dedup": op9_suffix_dedup,
+    "op10_language_id": op10_language_id,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
