@@ -22,12 +22,22 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     second evaluation could number or split differently.
     """
     spark = df.sparkSession
-    path = os.path.join(shared_folder(spark, purpose))
+    path = shared_folder(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver found it (installed, shipped or a folder)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    _importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
