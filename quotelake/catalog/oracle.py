@@ -118,7 +118,7 @@ OI = f"""oi_feed AS (
          (l_suppkey * 131 + cno * 977) % 2500 AS oi,
          coalesce(sum(l_quantity) FILTER (l_linestatus = 'O'), 0)::BIGINT AS vol_now,
          coalesce(sum(l_quantity) FILTER (l_linestatus = 'F'), 0)::BIGINT AS vol_then
-  FROM contracts GROUP BY ALL HAVING sum(l_quantity) >= 60)"""
+  FROM contracts GROUP BY ALL)"""
 BASE = f"""base AS (
   SELECT day AS file_version_date, chain AS option_symbol, sym AS underlying_symbol, strike::DOUBLE AS strike,
          strftime(exp, '%Y%m%d')::INT AS expiry, CASE kind WHEN 'call' THEN 'C' ELSE 'P' END AS option_typ,
@@ -492,27 +492,26 @@ ANALYST = with_(
 )
 
 EARNINGS = with_(
-    """reported AS (SELECT 'C' || o_custkey AS s, floor(o_totalprice) AS sales, o_orderdate AS d FROM orders
-       WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')""",
-    """upcoming AS (SELECT 'C' || o_custkey AS s, floor(o_totalprice) AS sales, o_orderdate AS d FROM orders
-       WHERE o_orderstatus = 'O' AND o_orderpriority = '5-LOW')""",
+    """sums AS (SELECT 'C' || o_custkey AS s, strftime(o_orderdate, '%Y%m01') AS day, o_orderstatus = 'O' AS is_open,
+         sum(floor(o_totalprice)) AS sales, max(o_orderdate) AS d FROM orders GROUP BY ALL)""",
+    "reported AS (SELECT * FROM sums WHERE NOT is_open)",
+    "upcoming AS (SELECT * FROM sums WHERE is_open)",
     final="""SELECT coalesce(r.s, u.s) AS "Symbol", NULL::VARCHAR AS "ActualNetIncome", NULL::VARCHAR AS "ActualEPS",
       NULL::VARCHAR AS "EstimatedNetIncome", year(r.d) || 'Q' || quarter(r.d) AS "FiscalPeriod",
       NULL::VARCHAR AS "EstimatedEPS", strftime(r.d, '%Y-%m-%d') AS "EarningsDate", NULL::VARCHAR AS "EstimatedSales",
       r.sales::BIGINT::VARCHAR AS "ActualSales", strftime(u.d, '%Y-%m-%d') AS "Upcoming_EarningsDate",
       CASE WHEN u.s IS NOT NULL THEN 'confirmed' END AS "Upcoming_EarningsType",
       u.sales::BIGINT::VARCHAR AS "Upcoming_EstimatedSales", NULL::VARCHAR AS "Upcoming_EstimatedNetIncome",
-      NULL::VARCHAR AS "Upcoming_EstimatedEPS"
-      FROM reported r FULL JOIN upcoming u ON r.s = u.s""",
+      NULL::VARCHAR AS "Upcoming_EstimatedEPS", coalesce(r.day, u.day) AS file_version_date
+      FROM reported r FULL JOIN upcoming u ON r.s = u.s AND r.day = u.day""",
 )
 
 TECHNICAL = with_(
     """files AS (
       SELECT event_id, user_id, strftime(ts, '%Y%m%d') AS day,
              CASE WHEN event_id % 7 <> 0 THEN strftime(ts, '%Y-%m-%d') END AS header, props->>'$.k' AS k,
-             CASE event_type WHEN 'view' THEN 'large' WHEN 'click' THEN 'mid' WHEN 'error' THEN 'small'
-                             WHEN 'purchase' THEN 'etf' END AS cap
-      FROM events WHERE event_type <> 'signup')""",
+             CASE event_id % 4 WHEN 0 THEN 'large' WHEN 1 THEN 'mid' WHEN 2 THEN 'small' ELSE 'etf' END AS cap
+      FROM events)""",
     """rows_of AS (
       SELECT day, header, cap, 'U' || user_id AS symbol, k AS sctr, NULL AS vol FROM files
       UNION ALL SELECT day, header, cap, 'E' || event_id, NULL, '1' FROM files)""",
@@ -787,8 +786,8 @@ ORACLE: dict[str, str] = {
           FROM customer LEFT JOIN counts ON o_custkey = c_custkey""",
     ),
     "customer_percentiles_present": with_(
-        f"""counts AS (SELECT o_custkey, {rst("sum(o_totalprice)", 2)} AS spent FROM orders
-                       WHERE o_orderstatus = 'F' GROUP BY 1)""",
+        f"""counts AS (SELECT o_custkey, {rst("sum(o_totalprice) FILTER (o_orderstatus = 'F')", 2)} AS spent FROM orders
+                       GROUP BY 1 HAVING count(*) FILTER (o_orderstatus = 'F') > 0)""",
         f"""ranked AS (SELECT c_custkey AS k, {rs("percent_rank() OVER (PARTITION BY c_mktsegment ORDER BY spent)", 4)} AS spent_pct
                        FROM customer JOIN counts ON o_custkey = c_custkey)""",
         final="SELECT c_custkey, c_mktsegment, spent_pct FROM customer LEFT JOIN ranked ON k = c_custkey",
@@ -909,5 +908,28 @@ ORACLE: dict[str, str] = {
     "incremental_rerun": DAILY,
     "stream_ingest": DAILY,
     "csv_ingest": """SELECT strftime(ts, '%Y%m%d') AS file_version_date, count(*) AS rows_read, 0::BIGINT AS first_id,
-        sum(event_id)::BIGINT AS ids, max(length(props))::INT AS longest_props FROM events GROUP BY 1""",
+        true AS dense, sum(event_id)::BIGINT AS ids, max(length(props))::INT AS longest_props FROM events GROUP BY 1""",
+    "csv_layout_drift": """SELECT strftime(ts, '%Y%m%d') AS file_version_date, count(*) AS rows_read,
+        sum(event_id)::BIGINT AS ids, sum(user_id)::BIGINT AS users,
+        count(*) FILTER (day(ts) % 2 = 1) AS typed, count(*) AS row_ids FROM events GROUP BY 1""",
+    "csv_stage_renamed": """SELECT event_id::VARCHAR AS event_id, CASE WHEN event_id % 3 <> 0 THEN event_type ELSE '' END
+        AS event_type, strftime(ts, '%Y%m%d') AS file_version_date FROM events""",
+    "json_stage": """SELECT strftime(ts, '%Y%m%d') AS file_version_date, count(*) AS rows_read,
+        sum(event_id)::BIGINT AS ids, count(*) - 1 AS last_number, count(*) AS numbers, 0 AS absent_length
+        FROM events GROUP BY 1""",
+    "earnings_feed": EARNINGS,
+    "bars_feed": """SELECT strftime(ts, '%Y%m%d') AS file_version_date, count(*) AS bars,
+        sum(event_id)::DOUBLE AS open, sum(event_id + 4)::DOUBLE AS volume FROM events GROUP BY 1""",
+    "rerun_to_empty": """SELECT strftime(ts, '%Y%m%d') AS file_version_date, event_type, count(*) AS events,
+        sum(user_id)::BIGINT AS users_sum FROM events
+        WHERE ts::DATE < (SELECT max(ts)::DATE FROM events) GROUP BY 1, 2""",
+    "empty_date_once": """SELECT run::INT AS run, (CASE run WHEN 1 THEN n ELSE 0 END)::INT AS dates, n - 1 AS staged_dates
+        FROM range(1, 4) r(run), (SELECT count(DISTINCT ts::DATE) AS n FROM events)""",
+    "stream_two_files_one_date": """SELECT strftime(ts, '%Y%m%d') AS file_version_date, event_type,
+        count(*) AS events, sum(user_id)::BIGINT AS users_sum FROM events GROUP BY 1, 2""",
+    "append_gzip": """SELECT c_name AS name, c_nationkey AS nation, 'c' AS source FROM customer
+        UNION ALL SELECT s_name, s_nationkey, 's' FROM supplier""",
+    "quarter_days": """SELECT d::DATE AS day, count(o_orderkey) AS orders
+        FROM generate_series(DATE '1992-01-01', DATE '1992-03-31', INTERVAL 1 DAY) g(d)
+        LEFT JOIN orders ON o_orderdate::DATE = d::DATE GROUP BY 1""",
 }

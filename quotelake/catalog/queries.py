@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,10 +17,12 @@ from quotelake.functions import (
     try_bigint,
 )
 from quotelake.operators import (
+    add_literal,
     attribute_pivot,
     conditional_pivot,
     date_dimension,
     date_windows,
+    day_series,
     first_record,
     full_outer_merge,
     latest_flag,
@@ -31,17 +33,20 @@ from quotelake.operators import (
     value_neighbours,
     zscore,
 )
-from quotelake.plans import feeds, flow, fundamentals, master, screener, summary, trades
+from quotelake.plans import feeds, flow, fundamentals, ingest, master, screener, summary, trades
 from quotelake.plans.jobs import PartitionedJob, refresh_table
 from quotelake.session import shared_folder
 from quotelake.sources import (
+    append_table,
     latest_partition,
+    list_partitions,
     pending_partitions,
     read_csv_strings,
     read_partitioned,
     with_dense_row_id,
     with_row_id,
     write_partitions,
+    write_table,
 )
 from quotelake.sources.files import header_rows
 from quotelake.streaming import stream_partitions
@@ -65,21 +70,24 @@ def doubles(df: DataFrame) -> DataFrame:
 
 
 def trade_cube(spark: SparkSession, sf: str) -> DataFrame:
-    return trades.option_trade_cube(roles.option_trades(spark, sf)).drop("__gid")
+    return trades.option_trade_cube(roles.option_trades(spark, sf))
 
 
 def trade_cube_strict(spark: SparkSession, sf: str) -> DataFrame:
-    return trades.option_trade_cube(roles.option_trades(spark, sf), strict=True).drop("__gid")
+    return trades.option_trade_cube(roles.option_trades(spark, sf), strict=True)
 
 
 def cube_distinct(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct orders under CUBE: not additive, so Spark's own grouping sets."""
-    table(spark, sf, "lineitem").createOrReplaceTempView("cube_distinct_lines")
+    keys = ["l_suppkey", "l_returnflag", "l_linestatus", "l_orderkey"]
+    # Reduced to distinct orders with a row count before the sets multiply them.
+    leaves = table(spark, sf, "lineitem").groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    leaves.createOrReplaceTempView("cube_distinct_leaves")
     return spark.sql(
         """
         SELECT l_suppkey, l_returnflag, l_linestatus,
-               count(DISTINCT l_orderkey) AS orders, count(*) AS rows_seen
-        FROM cube_distinct_lines
+               count(DISTINCT l_orderkey) AS orders, sum(n) AS rows_seen
+        FROM cube_distinct_leaves
         GROUP BY l_suppkey, CUBE(l_returnflag, l_linestatus)
         """
     )
@@ -119,8 +127,9 @@ def contract_pivot(spark: SparkSession, sf: str) -> DataFrame:
     flag, value = F.col("l_returnflag"), F.col("l_quantity")
     spec = {f"qty_{f.lower()}": (F.sum, flag == f, value) for f in ("A", "R", "N")}
     spec |= {f"top_{f.lower()}": (F.max, flag == f, "l_extendedprice") for f in ("A", "R", "N")}
-    spec["any_open"] = (F.max, F.lit(True), F.when(F.col("l_linestatus") == "O", "Y").otherwise("N"))
-    return conditional_pivot(table(spark, sf, "lineitem"), ["l_partkey"], spec)
+    spec["any_open"] = (F.bool_or, F.lit(True), F.col("l_linestatus") == "O")
+    pivoted = conditional_pivot(table(spark, sf, "lineitem"), ["l_partkey"], spec)
+    return pivoted.withColumn("any_open", F.when(F.col("any_open"), "Y").otherwise("N"))
 
 
 # --- screener and score --------------------------------------------------
@@ -161,8 +170,9 @@ def customer_percentiles(spark: SparkSession, sf: str) -> DataFrame:
 
 def customer_percentiles_present(spark: SparkSession, sf: str) -> DataFrame:
     """The same without the customers that lack the metric."""
-    orders = table(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
-    counts = orders.groupBy("o_custkey").agg(F.sum("o_totalprice").alias("spent"))
+    counts = table(spark, sf, "orders").groupBy("o_custkey").agg(
+        F.sum(F.when(F.col("o_orderstatus") == "F", F.col("o_totalprice"))).alias("spent")
+    )
     counts = counts.withColumn("spent", round_stable("spent", 2))
     rows = table(spark, sf, "customer").join(counts, F.col("c_custkey") == F.col("o_custkey"), "left")
     ranked = peer_percentile(
@@ -236,13 +246,9 @@ def earnings_calendar(spark: SparkSession, sf: str) -> DataFrame:
 def technical_rank(spark: SparkSession, sf: str) -> DataFrame:
     files = roles.technical_files(spark, sf)
     row = T.StructType([T.StructField(c, T.StringType()) for c in ("symbol", "SCTR", "vol", "name")])
-    frames = {
-        cap: header_rows(
-            files.where(F.col("event_type") == event), "value", row, keep=["file_version_date"]
-        )
-        for event, cap in roles.CLASS_OF_EVENT.items()
-    }
-    return feeds.technical_rank(frames)
+    rows = header_rows(files, "value", row, keep=["file_version_date", "class"])
+    headers = files.select("file_version_date", F.get_json_object("value", "$[0].date").alias("date"))
+    return feeds.rank_rows(rows, headers)
 
 
 def intraday_bars(spark: SparkSession, sf: str) -> DataFrame:
@@ -453,19 +459,202 @@ def csv_ingest(spark: SparkSession, sf: str) -> DataFrame:
     events = table(spark, sf, "events").select("event_id", "event_type", "props", day)
     events.hint("rebalance", "dt").write.option("header", True).option("escape", '"').partitionBy("dt").csv(f"{base}/in")
     read = read_csv_strings(spark, f"{base}/in", null_as_empty=True, date_col=None)
-    numbered = with_dense_row_id(read)
+    numbered = with_dense_row_id(read.withColumn("file", F.col("_metadata.file_name")))
     dated = numbered.withColumn("file_version_date", F.replace(F.col("dt").cast("string"), F.lit("-"), F.lit("")))
     write_partitions(dated, f"{base}/raw")
-    return (
+    files = (
         read_partitioned(spark, f"{base}/raw")
-        .groupBy("file_version_date")
+        .groupBy("file_version_date", "file")
         .agg(
-            F.count(F.lit(1)).alias("rows_read"),
+            F.count(F.lit(1)).alias("n"),
+            (F.max("rowid") + 1).alias("top"),
+            F.countDistinct("rowid").alias("ids_in_file"),
             F.min("rowid").alias("first_id"),
             F.sum(try_bigint("event_id")).alias("ids"),
             F.max(F.length("props")).alias("longest_props"),
         )
     )
+    return files.groupBy("file_version_date").agg(
+        F.sum("n").alias("rows_read"),
+        F.min("first_id").alias("first_id"),
+        F.bool_and((F.col("top") == F.col("n")) & (F.col("ids_in_file") == F.col("n"))).alias("dense"),
+        F.sum("ids").alias("ids"),
+        F.max("longest_props").alias("longest_props"),
+    )
+
+
+def _deliver(rows: DataFrame, folder: str, kind: str) -> None:
+    """Write one vendor file per date, named by it: ``value`` is its text, or all columns of a CSV."""
+    spark = rows.sparkSession
+    draft = shared_folder(spark, "draft")
+    writer = rows.repartition("file_version_date").write.partitionBy("file_version_date")
+    if kind == "csv":
+        writer.option("header", True).option("escape", '"').csv(draft)
+    else:
+        writer.text(draft)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(draft).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path(folder))
+    for date in list_partitions(spark, draft):
+        for file in fs.globStatus(path(f"{draft}/file_version_date={date}/part-*")):
+            fs.rename(file.getPath(), path(f"{folder}/feed_{date}.{kind}"))
+
+
+def _json_files(rows: DataFrame, item: Column, head: Column | None = None, envelope: str = "{}") -> DataFrame:
+    """One JSON array per date, as vendors deliver it; ``head`` goes first."""
+    before, after = envelope.split("{}")
+    listed = rows.groupBy("file_version_date").agg(
+        F.concat_ws(",", F.sort_array(F.collect_list(item))).alias("items"),
+        *([F.min(head).alias("head")] if head is not None else []),
+    )
+    parts = [F.col("head"), F.lit(",")] if head is not None else []
+    return listed.select(
+        "file_version_date", F.concat(F.lit(f"{before}["), *parts, "items", F.lit(f"]{after}")).alias("value")
+    )
+
+
+def csv_layout_drift(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily CSV files of two layouts, built in one run."""
+    base = shared_folder(spark, "drift")
+    rows = _day_rows(spark, sf)
+    odd = F.col("file_version_date").cast("int") % 2 == 1
+    _deliver(rows.where(odd).select("event_id", "event_type", "user_id", "file_version_date"), f"{base}/in", "csv")
+    _deliver(rows.where(~odd).select("user_id", "event_id", "file_version_date"), f"{base}/in", "csv")
+    ingest.build_raw(spark, f"{base}/in", f"{base}/raw")
+    return read_partitioned(spark, f"{base}/raw").groupBy("file_version_date").agg(
+        F.count(F.lit(1)).alias("rows_read"),
+        F.sum(try_bigint("event_id")).alias("ids"),
+        F.sum(try_bigint("user_id")).alias("users"),
+        F.count("event_type").alias("typed"),
+        F.countDistinct("rowid").alias("row_ids"),
+    )
+
+
+def csv_stage_renamed(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily CSV files to a stage of renamed text; what is absent is ''."""
+    base = shared_folder(spark, "renamed")
+    rows = _day_rows(spark, sf).select(
+        F.col("event_id").alias("Event Id"),
+        F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("Event Type"),
+        "file_version_date",
+    )
+    _deliver(rows, f"{base}/in", "csv")
+    names = {"Event Id": "event_id", "Event Type": "event_type"}
+    ingest.stage_csv(spark, f"{base}/in", f"{base}/stage", names)
+    return read_partitioned(spark, f"{base}/stage").select("event_id", "event_type", "file_version_date")
+
+
+def json_stage(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily JSON files to text in the declared schema, numbered per file, in two runs."""
+    base = shared_folder(spark, "json")
+    rows = _day_rows(spark, sf)
+    item = F.to_json(F.struct(F.col("event_id").cast("string").alias("id"), F.col("event_type").alias("kind")))
+    early = F.col("file_version_date") < "20240115"
+    for delivery in (early, ~early):
+        _deliver(_json_files(rows.where(delivery), item), f"{base}/in", "json")
+        ingest.stage_json(spark, f"{base}/in", f"{base}/stage", ["id", "kind", "absent"])
+    return read_partitioned(spark, f"{base}/stage").groupBy("file_version_date").agg(
+        F.count(F.lit(1)).alias("rows_read"),
+        F.sum(try_bigint("id")).alias("ids"),
+        F.max("autonum").alias("last_number"),
+        F.countDistinct("autonum").alias("numbers"),
+        F.max(F.length("absent")).alias("absent_length"),
+    )
+
+
+def earnings_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """Reported and upcoming JSON files by month, staged in two runs."""
+    base = shared_folder(spark, "earnings")
+    early = F.col("file_version_date") < "19950101"
+    for delivery in (early, ~early):
+        for name, rows in zip(("reported", "upcoming"), roles.earnings(spark, sf), strict=True):
+            chosen = rows.where(delivery)
+            item = F.to_json(F.struct(*[c for c in rows.columns if c != "file_version_date"]))
+            _deliver(_json_files(chosen, item), f"{base}/{name}", "json")
+        # A month may have upcoming earnings only: its reported file is then empty.
+        months = roles.earnings(spark, sf)[1].where(delivery).select("file_version_date").distinct()
+        known = roles.earnings(spark, sf)[0].select("file_version_date").distinct()
+        none = months.join(known, "file_version_date", "left_anti").withColumn("value", F.lit("[]"))
+        _deliver(none, f"{base}/reported", "json")
+        ingest.stage_earnings(spark, f"{base}/reported", f"{base}/upcoming", f"{base}/stage")
+    staged = read_partitioned(spark, f"{base}/stage")
+    return staged.na.replace("", None).select(*feeds.REPORTED_EARNINGS, *[
+        c for c in feeds.UPCOMING_EARNINGS.values() if c != "Symbol"
+    ], "file_version_date")
+
+
+def bars_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """Price bars of a day inside one envelope, staged."""
+    base = shared_folder(spark, "bars")
+    rows = _day_rows(spark, sf)
+    bar = F.to_json(F.struct(
+        (F.col("event_id") * 60_000).alias("t"), *[(F.col("event_id") + i).cast("double").alias(f) for i, f in enumerate("ohlcv")]
+    ))
+    _deliver(_json_files(rows, bar, envelope='{"results":{}}'), f"{base}/in", "json")
+    ingest.stage_bars(spark, f"{base}/in", f"{base}/stage")
+    return read_partitioned(spark, f"{base}/stage").groupBy("file_version_date").agg(
+        F.count(F.lit(1)).alias("bars"), F.sum("open").alias("open"), F.sum("volume").alias("volume")
+    )
+
+
+def rerun_to_empty(spark: SparkSession, sf: str) -> DataFrame:
+    """A rerun that finds no rows for the newest date removes what it had."""
+    base = shared_folder(spark, "empty")
+    write_partitions(_day_rows(spark, sf), f"{base}/raw")
+    newest = latest_partition(spark, f"{base}/raw")
+    PartitionedJob({"events": f"{base}/raw"}, _daily_types, f"{base}/stage").run(spark)
+    gone = PartitionedJob(
+        {"events": f"{base}/raw"}, lambda events: _daily_types(events).where("events < 0"), f"{base}/stage"
+    )
+    gone.run(spark, rerun=[newest])
+    return read_partitioned(spark, f"{base}/stage")
+
+
+def empty_date_once(spark: SparkSession, sf: str) -> DataFrame:
+    """A date without result rows is processed once: dates taken by each of three runs."""
+    base = shared_folder(spark, "once")
+    write_partitions(_day_rows(spark, sf), f"{base}/raw")
+    oldest = min(list_partitions(spark, f"{base}/raw"))
+    job = PartitionedJob(
+        {"events": f"{base}/raw"},
+        lambda events: _daily_types(events).where(F.col("file_version_date") != oldest),
+        f"{base}/stage",
+    )
+    taken = [(run, len(job.run(spark))) for run in (1, 2, 3)]
+    runs = spark.createDataFrame(taken, "run int, dates int")
+    days = read_partitioned(spark, f"{base}/stage").agg(F.countDistinct("file_version_date").alias("staged_dates"))
+    return runs.crossJoin(days)
+
+
+def stream_two_files_one_date(spark: SparkSession, sf: str) -> DataFrame:
+    """Every date arrives in two deliveries, each drained by its own run of the stream."""
+    base = shared_folder(spark, "twice")
+    rows = _day_rows(spark, sf)
+    half = F.col("event_id") % 2 == 0
+    for delivery in (half, ~half):
+        rows.where(delivery).hint("rebalance", "file_version_date").write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
+        stream_partitions(stream, f"{base}/raw", f"{base}/checkpoint", with_row_id)
+    return _daily_types(read_partitioned(spark, f"{base}/raw"))
+
+
+def append_gzip(spark: SparkSession, sf: str) -> DataFrame:
+    """A table replaced, then appended to, both gzip, each part with a literal source."""
+    target = shared_folder(spark, "append")
+    parts = table(spark, sf, "customer"), table(spark, sf, "supplier")
+    for (prefix, frame), write in zip(zip("cs", parts, strict=True), (write_table, append_table), strict=True):
+        names = frame.select(F.col(f"{prefix}_name").alias("name"), F.col(f"{prefix}_nationkey").alias("nation"))
+        write(add_literal(names, source=prefix), target, "gzip")
+    return spark.read.parquet(target)
+
+
+def quarter_days(spark: SparkSession, sf: str) -> DataFrame:
+    """Every day of the first quarter that has orders, with its orders."""
+    orders = table(spark, sf, "orders")
+    days = day_series(spark, "1992-01-01", 91)
+    counts = orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("orders"))
+    return days.join(counts, "day", "left").select("day", F.coalesce("orders", F.lit(0)).alias("orders"))
 
 
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
@@ -542,6 +731,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         incremental_rerun,
         csv_ingest,
         stream_ingest,
+        csv_layout_drift,
+        csv_stage_renamed,
+        json_stage,
+        earnings_feed,
+        bars_feed,
+        rerun_to_empty,
+        empty_date_once,
+        stream_two_files_one_date,
+        append_gzip,
+        quarter_days,
         master_refresh,
     )
 }

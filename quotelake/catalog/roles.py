@@ -99,7 +99,7 @@ def option_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def oi_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One text row per contract and year that traded at least 60 contracts."""
+    """One text row per contract and year."""
     keys = ["underlying_symbol", "option_chain_id", "strike", "contract_no", "interest"]
     grouped = (
         _contracts(spark, sf_dir)
@@ -109,7 +109,6 @@ def oi_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.expr("CAST(sum(if(l_linestatus = 'O', l_quantity, 0D)) AS BIGINT)").alias("now"),
             F.expr("CAST(sum(if(l_linestatus = 'F', l_quantity, 0D)) AS BIGINT)").alias("then"),
         )
-        .where("now + then >= 60")
     )
     return grouped.selectExpr(
         "file_version_date",
@@ -298,29 +297,31 @@ def analyst_feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
 
 
 def earnings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Urgent fulfilled orders as reported, low-priority open ones as upcoming."""
-    orders = table(spark, sf_dir, "orders")
-    symbol = F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("Symbol")
-    day = F.date_format("o_orderdate", "yyyy-MM-dd")
-    reported = orders.where((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "1-URGENT")).select(
-        symbol,
-        F.floor("o_totalprice").cast("string").alias("ActualSales"),
-        day.alias("EarningsDate"),
-        F.concat(F.year("o_orderdate").cast("string"), F.lit("Q"), F.quarter("o_orderdate").cast("string")).alias(
-            "FiscalPeriod"
-        ),
+    """Per customer and month: open orders as upcoming earnings, all others as reported."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("Symbol"),
+        F.date_format("o_orderdate", "yyyyMM01").alias("file_version_date"),
+        (F.col("o_orderstatus") == "O").alias("open"),
+        F.floor("o_totalprice").alias("sales"),
+        F.to_date("o_orderdate").alias("day"),
+        "o_orderkey",
     )
-    upcoming = orders.where((F.col("o_orderstatus") == "O") & (F.col("o_orderpriority") == "5-LOW")).select(
-        symbol,
-        day.alias("EarningsDate"),
-        F.lit("confirmed").alias("EarningsType"),
-        F.floor("o_totalprice").cast("string").alias("EstimatedSales"),
-        F.col("o_orderkey").cast("string").alias("Unmapped"),
+    sums = orders.groupBy("Symbol", "file_version_date", "open").agg(
+        F.sum("sales").cast("bigint").cast("string").alias("sales"),
+        F.max("day").alias("day"),
+        F.max("o_orderkey").cast("string").alias("Unmapped"),
+    )
+    keys, day = ["Symbol", "file_version_date"], F.date_format("day", "yyyy-MM-dd").alias("EarningsDate")
+    period = F.concat(F.year("day").cast("string"), F.lit("Q"), F.quarter("day").cast("string")).alias("FiscalPeriod")
+    reported = sums.where(~F.col("open")).select(*keys, F.col("sales").alias("ActualSales"), day, period)
+    upcoming = sums.where("open").select(
+        *keys, day, F.lit("confirmed").alias("EarningsType"), F.col("sales").alias("EstimatedSales"), "Unmapped"
     )
     return reported, upcoming
 
 
-CLASS_OF_EVENT = {"view": "largecap", "click": "midcap", "error": "smallcap", "purchase": "etf"}
+# Capitalisation class by event_id modulo 4.
+CLASSES = ["largecap", "midcap", "smallcap", "etf"]
 
 
 def technical_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -334,7 +335,7 @@ def technical_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = F.concat(F.lit('{"symbol":"E'), F.col("event_id").cast("string"), F.lit('","vol":"1"}'))
     return table(spark, sf_dir, "events").select(
         F.date_format("ts", "yyyyMMdd").alias("file_version_date"),
-        "event_type",
+        F.element_at(F.lit(CLASSES), (F.col("event_id") % 4 + 1).cast("int")).alias("class"),
         F.concat(F.lit("["), header, F.lit(","), row, F.lit(","), second, F.lit("]")).alias("value"),
     )
 

@@ -29,11 +29,16 @@ def keep_matching(df: DataFrame, other: DataFrame, keys: Sequence[str]) -> DataF
     return df.join(other.select(*keys), list(keys), "left_semi")
 
 
-def full_outer_merge(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Full outer join on one key, the key taken from whichever side has it."""
-    lk, rk = left[key], right[key]
-    return left.join(right, lk == rk, "full_outer").select(
-        F.coalesce(lk, rk).alias(key),
-        *[left[c] for c in left.columns if c != key],
-        *[right[c] for c in right.columns if c != key],
+def full_outer_merge(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> DataFrame:
+    """Full outer join, the keys taken from whichever side has the row."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    # Own names for the right keys: both sides may come from one table.
+    right = right.withColumnsRenamed({k: f"__right_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [F.col(k) == F.col(f"__right_{k}") for k in keys])
+    rest = {c: f"__right_{c}" for c in right.columns if c in left.columns}
+    joined = left.join(right.withColumnsRenamed(rest), on, "full_outer")
+    return joined.select(
+        *[F.coalesce(k, f"__right_{k}").alias(k) for k in keys],
+        *[c for c in left.columns if c not in keys],
+        *[F.col(rest.get(c, c)).alias(c) for c in right.columns if not c.startswith("__right_")],
     )

@@ -30,6 +30,15 @@ def attribute_pivot(df: DataFrame, key: str, attribute: str, value: str, names:
 
     Columns are matched by attribute name, so a key that lacks one gets NULL
     there and nothing shifts. The names are given, which spares the extra pass
-    that would discover them.
+    that would discover them. Of several values of an attribute the greatest
+    stays. A key's pairs are collected (a hash aggregate; a maximum of text would
+    sort all rows), which is bounded by its attributes.
     """
-    return df.groupBy(key).pivot(attribute, list(names)).agg(F.max(value))
+    known = F.when(F.col(attribute).isin(list(names)), F.struct(attribute, value)).alias("__pair")
+    held = df.select(key, known)
+    pairs = held.groupBy(key).agg(F.collect_set("__pair").alias("__pairs"))
+
+    def greatest(name: str) -> Column:
+        return F.array_max(F.filter("__pairs", lambda pair: pair[attribute] == name))[value].alias(name)
+
+    return pairs.select(key, *[greatest(name) for name in names])

@@ -11,6 +11,8 @@ from pyspark.sql import types as T
 from quotelake.functions import eastern_offset_text, eastern_time, epoch_millis_utc
 from quotelake.operators import conform, full_outer_merge, stack_frames
 
+DAY = "file_version_date"
+
 # The feeds' field names.
 RESEARCH_SCORES = {
     "tipRanksScore": "tipRanksScore",
@@ -104,20 +106,21 @@ def analyst_scores(consensus: DataFrame, research: DataFrame) -> DataFrame:
 
 
 def earnings_calendar(reported: DataFrame, upcoming: DataFrame, key: str = "Symbol") -> DataFrame:
-    """Reported earnings full-joined with upcoming ones by symbol.
+    """Reported earnings full-joined with upcoming ones by symbol and, where the sides have it, date.
 
     Either side may lack optional columns; the symbol is required.
     """
     for side in (reported, upcoming):
         if key not in side.columns:
             raise ValueError(f"earnings without {key}")
-    left = conform(reported, REPORTED_EARNINGS)
+    day = [DAY] if DAY in reported.columns and DAY in upcoming.columns else []
+    left = conform(reported, [*REPORTED_EARNINGS, *day])
     right = conform(
-        conform(upcoming, list(UPCOMING_EARNINGS), keep_available_only=True).withColumnsRenamed(UPCOMING_EARNINGS),
-        list(UPCOMING_EARNINGS.values()),
+        conform(upcoming, [*UPCOMING_EARNINGS, *day], keep_available_only=True).withColumnsRenamed(UPCOMING_EARNINGS),
+        [*UPCOMING_EARNINGS.values(), *day],
     )
-    merged = full_outer_merge(left, right, key)
-    return merged.select(*REPORTED_EARNINGS, *[c for c in UPCOMING_EARNINGS.values() if c != key])
+    merged = full_outer_merge(left, right, [key, *day])
+    return merged.select(*REPORTED_EARNINGS, *[c for c in UPCOMING_EARNINGS.values() if c != key], *day)
 
 
 def technical_rank(frames: Mapping[str, DataFrame], columns: Sequence[str] = TECHNICAL_COLUMNS) -> DataFrame:
@@ -125,14 +128,18 @@ def technical_rank(frames: Mapping[str, DataFrame], columns: Sequence[str] = TEC
 
     A class without a header date takes the date of the others on that day.
     """
-    tagged = [df.withColumn("marketcaptype", F.lit(CAP_CLASSES[name])) for name, df in frames.items()]
-    stacked = conform(stack_frames(tagged), columns)
-    header = stacked.groupBy("file_version_date").agg(F.min("date").alias("__header"))
-    return (
-        stacked.join(header, "file_version_date", "left")
-        .withColumn("date", F.coalesce("date", "__header"))
-        .select(*columns)
-    )
+    stacked = stack_frames([df.withColumn("class", F.lit(name)) for name, df in frames.items()])
+    return rank_rows(stacked, stacked.select(DAY, "date"), columns)
+
+
+def rank_rows(rows: DataFrame, headers: DataFrame, columns: Sequence[str] = TECHNICAL_COLUMNS) -> DataFrame:
+    """Rows of all classes (column ``class``); ``headers`` has each file's day and header date."""
+    labels = F.create_map(*[F.lit(x) for pair in CAP_CLASSES.items() for x in pair])
+    # Header dates are dates: their minimum needs no sorting.
+    first = headers.groupBy(DAY).agg(F.min(F.to_date("date", "yyyy-MM-dd")).alias("__header"))
+    joined = rows.withColumn("marketcaptype", labels[F.col("class")]).join(first, DAY, "left")
+    header = F.date_format("__header", "yyyy-MM-dd")
+    return conform(joined.withColumn("date", F.coalesce("date", header)), columns)
 
 
 def session_flag(local, opening=SESSION_OPEN, closing=SESSION_CLOSE):

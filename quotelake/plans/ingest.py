@@ -2,43 +2,42 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quotelake.operators import conform
-from quotelake.sources.files import read_csv_strings, read_json_strings, with_dense_row_id, with_row_id
-from quotelake.sources.lake import PARTITION, list_partitions, write_partitions
+from quotelake.plans import feeds
+from quotelake.plans.jobs import FileFeedJob
+from quotelake.sources.files import (
+    read_csv_by_header,
+    read_envelope_rows,
+    read_header_rows,
+    read_json_envelope,
+    read_json_strings,
+    with_dense_row_id,
+    with_row_id,
+)
 from quotelake.sources.schemas import string_schema
 
 # The vendor CSV feeds of the raw zone.
 RAW_FEEDS = ["darkpool", "hotchains", "oichanges", "optiontrades", "optionscreener"]
 
 
-def _new_dates(
-    spark: SparkSession,
-    df: DataFrame,
-    target: str,
-    rerun: Sequence[str],
-) -> DataFrame:
-    """Rows of dates the target lacks, or exactly the ``rerun`` dates.
+def build_raw(
+    spark: SparkSession, paths: str | Sequence[str], target: str, rerun: Sequence[str] = (), multiline: bool = False
+) -> list[str]:
+    """CSV to text Parquet with a unique row id, one partition per file date."""
 
-    The dates come from file names; the filter sits on that name, so Spark
-    skips the other files without parsing them.
-    """
-    date = F.col(PARTITION)
-    rows = df.where(date.isNotNull())
-    if rerun:
-        return rows.where(date.isin(list(rerun)))
-    done = list_partitions(spark, target)
-    return rows.where(~date.isin(done)) if done else rows
+    def read(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+        return read_csv_by_header(spark, files, multiline=multiline)
 
+    return FileFeedJob({"rows": (paths, read)}, lambda rows: with_row_id(rows), target).run(spark, rerun)
 
-def build_raw(spark: SparkSession, paths: str | Sequence[str], target: str, rerun: Sequence[str] = ()) -> None:
-    """CSV to text Parquet with a unique row id, one partition per file date."""
-    rows = _new_dates(spark, read_csv_strings(spark, paths), target, rerun)
-    write_partitions(with_row_id(rows), target)
+
+def build_raw_feeds(spark: SparkSession, landing: str, raw: str, rerun: Sequence[str] = ()) -> dict[str, list[str]]:
+    """Every vendor feed below ``landing`` to its table below ``raw``."""
+    return {feed: build_raw(spark, f"{landing}/{feed}", f"{raw}/{feed}", rerun) for feed in RAW_FEEDS}
 
 
 def stage_csv(
@@ -47,10 +46,13 @@ def stage_csv(
     target: str,
     renames: Mapping[str, str],
     rerun: Sequence[str] = (),
-) -> None:
+) -> list[str]:
     """CSV to renamed text Parquet; absent fields are ''."""
-    rows = _new_dates(spark, read_csv_strings(spark, paths, null_as_empty=True), target, rerun)
-    write_partitions(conform(rows, rename=renames), target)
+
+    def read(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+        return read_csv_by_header(spark, files, null_as_empty=True)
+
+    return FileFeedJob({"rows": (paths, read)}, lambda rows: conform(rows, rename=renames), target).run(spark, rerun)
 
 
 def stage_json(
@@ -59,12 +61,77 @@ def stage_json(
     target: str,
     fields: Sequence[str | Mapping[str, object]],
     rerun: Sequence[str] = (),
-) -> None:
-    """JSON to text Parquet in the declared schema, numbered per file."""
-    rows = with_dense_row_id(read_json_strings(spark, paths, string_schema(fields)), "autonum")
-    write_partitions(_new_dates(spark, rows, target, rerun), target)
+) -> list[str]:
+    """JSON to text Parquet in the declared schema, numbered per file.
+
+    Only files of pending dates are read, so the numbering sees no others.
+    """
+
+    def read(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+        return with_dense_row_id(read_json_strings(spark, files, string_schema(fields)), "autonum")
+
+    return FileFeedJob({"rows": (paths, read)}, lambda rows: rows, target).run(spark, rerun)
+
+
+def stage_earnings(
+    spark: SparkSession, reported: str | Sequence[str], upcoming: str | Sequence[str], target: str, rerun: Sequence[str] = ()
+) -> list[str]:
+    """Reported and upcoming earnings files of a date to one table."""
+
+    def read(names: Sequence[str]):
+        return lambda spark, files: read_json_strings(spark, files, string_schema(names))
+
+    def merge(left: DataFrame, right: DataFrame | None) -> DataFrame:
+        if right is None:
+            right = left.select("Symbol", feeds.DAY).limit(0)
+        return feeds.earnings_calendar(left, right)
+
+    sources = {
+        "left": (reported, read(feeds.REPORTED_EARNINGS)),
+        "right": (upcoming, read(list(feeds.UPCOMING_EARNINGS))),
+    }
+    return FileFeedJob(sources, merge, target).run(spark, rerun)
+
+
+def stage_analyst_scores(
+    spark: SparkSession, consensus: str | Sequence[str], research: str | Sequence[str], target: str, rerun: Sequence[str] = ()
+) -> list[str]:
+    """Analyst consensus and research scores; a date without research waits for it."""
+
+    def read(schema):
+        return lambda spark, files: read_json_envelope(spark, files, schema, feeds.DAY)
+
+    def score(left: DataFrame, right: DataFrame | None) -> DataFrame:
+        if right is None:
+            raise FileNotFoundError("no research file of these dates")
+        return feeds.analyst_scores(left, right)
+
+    sources = {"left": (consensus, read(feeds.ANALYST_SCHEMA)), "right": (research, read(feeds.RESEARCH_SCHEMA))}
+    return FileFeedJob(sources, score, target).run(spark, rerun)
+
+
+def stage_technical_rank(
+    spark: SparkSession, paths: Mapping[str, str | Sequence[str]], target: str, rerun: Sequence[str] = ()
+) -> list[str]:
+    """Header-plus-rows files of each capitalisation class (``largecap``, ...)."""
+    row = string_schema([c for c in feeds.TECHNICAL_COLUMNS if c not in ("date", "marketcaptype", feeds.DAY)])
+
+    def read(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+        return read_header_rows(spark, files, row)
+
+    def stack(**frames: DataFrame | None) -> DataFrame:
+        return feeds.technical_rank({name: f for name, f in frames.items() if f is not None})
+
+    return FileFeedJob({name: (p, read) for name, p in paths.items()}, stack, target).run(spark, rerun)
+
+
+def stage_bars(spark: SparkSession, paths: str | Sequence[str], target: str, rerun: Sequence[str] = ()) -> list[str]:
+    """Price bars inside ``results`` envelopes."""
+    bar = feeds.BARS_SCHEMA["results"].dataType.elementType
 
+    def read(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+        return read_envelope_rows(spark, files, "results", bar)
 
-def stage_frame(df: DataFrame, target: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> None:
-    """Replace the partitions a frame holds."""
-    write_partitions(transform(df) if transform else df, target)
+    return FileFeedJob(
+        {"rows": (paths, read)}, lambda rows: feeds.intraday_bars(rows, keep=[feeds.DAY]), target
+    ).run(spark, rerun)

@@ -8,13 +8,15 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quotelake.sources.files import dated_files
 from quotelake.sources.lake import (
     PARTITION,
     list_partitions,
     pending_values,
+    processed_values,
     read_partitioned,
     record_processed,
-    write_partitions,
+    replace_partitions,
     write_table,
 )
 
@@ -22,16 +24,17 @@ log = logging.getLogger(__name__)
 
 
 @dataclass
-class PartitionedJob:
-    """Apply a DataFrame function to the partitions a target does not have yet.
+class _DatedJob:
+    """Dates that are pending go through one Spark job.
 
-    ``sources`` maps argument names of ``transform`` to table paths; the first
-    one decides which partitions exist. All pending partitions go through one
-    Spark job, so there is no loop over dates. Only when that job fails are the
-    partitions run one by one: those that fail are logged and skipped.
+    Only when that fails are the dates halved until the bad ones are found;
+    those are logged and skipped. A date counts as done once it is in the
+    ledger, with or without result rows (or, for targets older than their
+    ledger, once it has a folder). A date that is written anew and has no rows
+    any more loses its old ones.
     """
 
-    sources: Mapping[str, str]
+    sources: Mapping[str, object]
     transform: Callable[..., DataFrame]
     target: str
     partition_col: str = PARTITION
@@ -39,53 +42,82 @@ class PartitionedJob:
     compression: str = "snappy"
     sort_by: Sequence[str] = ()
     failed: list[str] = field(default_factory=list)
+    writes: int = 0
 
-    def _done(self, spark: SparkSession) -> list[str]:
-        if self.ledger is None:
-            return list_partitions(spark, self.target, self.partition_col)
-        jvm = spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.ledger)
-        if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-            return []
-        # One short row per date ever processed.
-        return [r[0] for r in spark.read.parquet(self.ledger).select(self.partition_col).distinct().collect()]
+    def _available(self, spark: SparkSession) -> Sequence[str]:
+        raise NotImplementedError
+
+    def _load(self, spark: SparkSession, name: str, values: Sequence[str]) -> DataFrame:
+        raise NotImplementedError
+
+    @property
+    def _ledger(self) -> str:
+        # Readers of the table pass over names that begin so.
+        return self.ledger or f"{self.target}/_processed"
 
     def _write(self, spark: SparkSession, values: Sequence[str]) -> None:
-        frames = {
-            name: read_partitioned(spark, path, self.partition_col, values) for name, path in self.sources.items()
-        }
-        write_partitions(
-            self.transform(**frames), self.target, self.partition_col, self.compression, sort_by=self.sort_by
-        )
-        if self.ledger is not None:
-            record_processed(spark, self.ledger, values, self.partition_col)
+        self.writes += 1
+        frames = {name: self._load(spark, name, values) for name in self.sources}
+        result = self.transform(**frames)
+        replace_partitions(result, self.target, values, self.partition_col, self.compression, self.sort_by)
+        record_processed(spark, self._ledger, values, self.partition_col)
 
-    def run(self, spark: SparkSession, rerun: Sequence[str] = ()) -> list[str]:
-        """Process what is pending (or ``rerun``); returns the values written."""
-        self.failed = []
-        first = next(iter(self.sources.values()))
-        available = list_partitions(spark, first, self.partition_col)
-        todo = pending_values(available, self._done(spark), rerun)
-        if not todo:
-            return []
+    def _attempt(self, spark: SparkSession, values: list[str]) -> list[str]:
         try:
-            self._write(spark, todo)
-            return todo
+            self._write(spark, values)
+            return values
         except Exception as error:  # noqa: BLE001 - a bad date must not stop the others
-            if len(todo) == 1:
-                log.error("partition %s failed: %s", todo[0], error)
-                self.failed = todo
+            if len(values) == 1:
+                log.error("partition %s failed: %s", values[0], error)
+                self.failed += values
                 return []
-            log.warning("%d partitions failed together, running them one by one", len(todo))
-        written = []
-        for value in todo:
-            try:
-                self._write(spark, [value])
-                written.append(value)
-            except Exception as error:  # noqa: BLE001
-                log.error("partition %s failed: %s", value, error)
-                self.failed.append(value)
-        return written
+            log.warning("%d partitions failed together, halving them", len(values))
+        half = len(values) // 2
+        return self._attempt(spark, values[:half]) + self._attempt(spark, values[half:])
+
+    def run(self, spark: SparkSession, rerun: Sequence[str] = ()) -> list[str]:
+        """Process what is pending (or ``rerun``); returns the values processed."""
+        self.failed, self.writes = [], 0
+        done = processed_values(spark, self._ledger, self.partition_col)
+        if self.ledger is None:
+            done |= set(list_partitions(spark, self.target, self.partition_col))
+        todo = pending_values(self._available(spark), done, rerun)
+        return self._attempt(spark, todo) if todo else []
+
+
+@dataclass
+class PartitionedJob(_DatedJob):
+    """Apply a DataFrame function to the partitions a target does not have yet.
+
+    ``sources`` maps argument names of ``transform`` to table paths; the first
+    one decides which partitions exist. Only pending folders are read.
+    """
+
+    def _available(self, spark: SparkSession) -> Sequence[str]:
+        return list_partitions(spark, next(iter(self.sources.values())), self.partition_col)
+
+    def _load(self, spark: SparkSession, name: str, values: Sequence[str]) -> DataFrame:
+        return read_partitioned(spark, self.sources[name], self.partition_col, values)
+
+
+@dataclass
+class FileFeedJob(_DatedJob):
+    """The same for vendor files whose names end in their date.
+
+    ``sources`` maps argument names of ``transform`` to (paths, reader); a
+    reader takes (spark, files) and returns a frame with the date column. A
+    date is pending when the first source has a file of it. Only files of
+    pending dates are opened.
+    """
+
+    def _available(self, spark: SparkSession) -> Sequence[str]:
+        self._files = {name: dated_files(spark, paths) for name, (paths, _) in self.sources.items()}
+        return list(next(iter(self._files.values())))
+
+    def _load(self, spark: SparkSession, name: str, values: Sequence[str]) -> DataFrame | None:
+        """None where a further source has no file of these dates."""
+        files = [f for value in values for f in self._files[name].get(value, [])]
+        return self.sources[name][1](spark, files) if files else None
 
 
 def refresh_table(sources: Mapping[str, DataFrame], transform: Callable[..., DataFrame], target: str) -> None:

@@ -152,7 +152,7 @@ def option_trade_cube(trades: DataFrame, min_size: int = MIN_CHAIN_SIZE, strict:
             .drop("__liquid")
         )
 
-    return _cube(_typed_trades(trades, True, F.col("expiry")), liquid, strict)
+    return _cube(_typed_trades(trades, True, F.col("expiry")), liquid, strict).drop("__gid")
 
 
 def chain_base(
@@ -305,9 +305,10 @@ def chain_analytics(cube: DataFrame, base: DataFrame) -> DataFrame:
         CONTRACT,
         {**pivot, **_strike_spec()},
     )
-    unusual = F.when((F.col("unusual_diff_vol") > 1) | (F.col("unusual_curr_vol") > 2), "Y").otherwise("N")
+    # NULL is not unusual; a flag of numbers, since text has no hash aggregate.
+    unusual = F.coalesce((F.col("unusual_diff_vol") > 1) | (F.col("unusual_curr_vol") > 2), F.lit(False))
     facts = base.groupBy(DAY, F.col("option_symbol").alias(CHAIN)).agg(
-        *[F.max(c).alias(c) for c in BASE_COLUMNS], F.max(unusual).alias("unusual_vol_flg")
+        *[F.max(c).alias(c) for c in BASE_COLUMNS], F.when(F.bool_or(unusual), "Y").otherwise("N").alias("unusual_vol_flg")
     )
     per_strike = Window.partitionBy(*STRIKE)
     joined = (

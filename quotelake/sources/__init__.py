@@ -1,7 +1,10 @@
 """Reading vendor files and lake tables, and writing them."""
 
 from quotelake.sources.files import (
+    csv_headers,
+    dated_files,
     file_date,
+    read_csv_by_header,
     read_csv_strings,
     read_envelope_rows,
     read_header_rows,
@@ -12,12 +15,15 @@ from quotelake.sources.files import (
 )
 from quotelake.sources.lake import (
     append_table,
+    drop_partitions,
     latest_partition,
     list_partitions,
     pending_partitions,
     pending_values,
+    processed_values,
     read_partitioned,
     record_processed,
+    replace_partitions,
     write_partitions,
     write_table,
 )
@@ -25,11 +31,16 @@ from quotelake.sources.schemas import read_rename_map, string_schema
 
 __all__ = [
     "append_table",
+    "csv_headers",
+    "dated_files",
+    "drop_partitions",
     "file_date",
     "latest_partition",
     "list_partitions",
     "pending_partitions",
     "pending_values",
+    "processed_values",
+    "read_csv_by_header",
     "read_csv_strings",
     "read_envelope_rows",
     "read_header_rows",
@@ -38,6 +49,7 @@ __all__ = [
     "read_partitioned",
     "read_rename_map",
     "record_processed",
+    "replace_partitions",
     "string_schema",
     "with_dense_row_id",
     "with_row_id",

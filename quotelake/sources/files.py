@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import csv
+import re
+from collections import defaultdict
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,6 +26,66 @@ def file_date(pattern: str = FILE_DATE) -> Column:
     return F.when(digits != "", digits)
 
 
+def dated_files(
+    spark: SparkSession, paths: str | Sequence[str], pattern: str = FILE_DATE
+) -> dict[str, list[str]]:
+    """Files by the date in their names, from a listing; a file without a date is left out."""
+    found: dict[str, list[str]] = defaultdict(list)
+    for file in spark.read.format("binaryFile").load(_paths(paths)).inputFiles():
+        date = re.search(pattern, unquote(file))
+        if date:
+            found["".join(date.groups())].append(unquote(file))
+    return dict(found)
+
+
+def csv_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, tuple[str, ...]]:
+    """The column names that each file's own first line has."""
+    lines = spark.read.text(_paths(paths)).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("id"),
+        "value",
+    )
+    lines = lines.where("block = 0")
+    # Ids rise within a split, so the least one of a file's first split is its first line.
+    firsts = lines.groupBy("file").agg(F.min("id").alias("id"))
+    # One row per file.
+    rows = lines.join(firsts, ["file", "id"]).select("file", "value").collect()
+    return {unquote(r["file"]): tuple(next(csv.reader([r["value"].lstrip("\ufeff")]))) for r in rows}
+
+
+def read_csv_by_header(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    null_as_empty: bool = False,
+    date_col: str | None = "file_version_date",
+    multiline: bool = False,
+) -> DataFrame | None:
+    """CSV files of any layouts as text, each read by its own header.
+
+    Files of one layout are read together, layouts are united by name. A
+    row that does not fit its header fails the read; a line break inside quotes
+    is such a row unless ``multiline`` is on, which reads each file in one
+    task. None where there is no file with a header.
+    """
+    layouts: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for file, header in csv_headers(spark, paths).items():
+        layouts[header].append(file)
+    frames = []
+    for header, files in sorted(layouts.items()):
+        if len(set(header)) < len(header):
+            raise ValueError(f"columns repeat in the header of {files[0]}: {', '.join(header)}")
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
+        reader = spark.read.schema(schema).option("header", True).option("quote", '"').option("escape", '"')
+        reader = reader.option("enforceSchema", False).option("mode", "FAILFAST").option("encoding", "UTF-8")
+        frame = reader.option("columnPruning", False).option("multiLine", multiline).csv(files)
+        frames.append(frame.select("*", file_date().alias(date_col)) if date_col else frame)
+    if not frames:
+        return None
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return df.na.fill("", subset=[c for c in df.columns if c != date_col]) if null_as_empty else df
+
+
 def _paths(paths: str | Sequence[str]) -> str | list[str]:
     return paths if isinstance(paths, str) else list(paths)
 

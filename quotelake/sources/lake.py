@@ -21,9 +21,15 @@ def read_partitioned(
     The partition value is text ('20250131'), also where the session would
     guess a number.
     """
-    df = spark.read.option("basePath", path).parquet(path)
+    folders = [path]
+    if values is not None:
+        values = list(values)
+        there = set(list_partitions(spark, path, partition_col))
+        # Only the folders asked for are listed; none of them there: an empty frame of the table.
+        folders = [f"{path}/{partition_col}={v}" for v in values if v in there] or [path]
+    df = spark.read.option("basePath", path).parquet(*folders)
     df = df.withColumn(partition_col, F.col(partition_col).cast("string"))
-    return df if values is None else df.where(F.col(partition_col).isin(list(values)))
+    return df if values is None else df.where(F.col(partition_col).isin(values))
 
 
 def list_partitions(spark: SparkSession, path: str, partition_col: str = PARTITION) -> list[str]:
@@ -82,6 +88,49 @@ def write_partitions(
     writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", compression)
     writer.partitionBy(col).parquet(path)
 
+def drop_partitions(spark: SparkSession, path: str, values: Iterable[str], col: str = PARTITION) -> None:
+    """Remove the folders of values, where there are any."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for value in values:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(root, f"{col}={value}"), True)
+
+
+def replace_partitions(
+    df: DataFrame,
+    path: str,
+    values: Iterable[str],
+    col: str = PARTITION,
+    compression: str = "snappy",
+    sort_by: Sequence[str] = (),
+) -> None:
+    """Write ``values`` anew; those that have no rows in ``df`` lose their old ones.
+
+    A folder that was written has other files than before.
+    """
+    spark, values = df.sparkSession, list(values)
+    before = {v: _file_names(spark, f"{path}/{col}={v}") for v in values}
+    write_partitions(df, path, col, compression, sort_by=sort_by)
+    stale = [v for v, names in before.items() if names and names == _file_names(spark, f"{path}/{col}={v}")]
+    drop_partitions(spark, path, stale, col)
+
+
+def _file_names(spark: SparkSession, folder: str) -> set[str]:
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {s.getPath().getName() for s in fs.listStatus(path)} if fs.exists(path) else set()
+
+
+def processed_values(spark: SparkSession, ledger: str, col: str = PARTITION) -> set[str]:
+    """What a ledger holds: one short row per date ever processed."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(ledger)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return set()
+    return {r[0] for r in spark.read.parquet(ledger).select(col).distinct().collect()}
+
 
 def write_table(df: DataFrame, path: str, compression: str = "snappy") -> None:
     """Replace an unpartitioned table."""

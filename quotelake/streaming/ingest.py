@@ -1,8 +1,10 @@
 """The incremental ingest as a file stream.
 
 The stream's checkpoint takes the place of the list of processed dates: each
-run takes the files it has not seen, then stops. Writing a batch replaces the
-partitions it holds, so a batch repeated after a failure changes nothing.
+run takes the files it has not seen, then stops. Rows carry the number of
+their batch. A batch rewrites the dates it touches with its own rows and those
+that earlier batches brought, so a date may arrive in several files, and a
+batch repeated after a failure changes nothing.
 """
 
 from __future__ import annotations
@@ -10,10 +12,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotelake.sources.files import file_date, with_row_id
-from quotelake.sources.lake import PARTITION, write_partitions
+from quotelake.sources.lake import PARTITION, list_partitions, read_partitioned, write_partitions
+
+BATCH = "ingest_batch"
 
 
 def stream_partitions(
@@ -25,11 +30,19 @@ def stream_partitions(
 ) -> None:
     """Drain a streaming frame into a partitioned table and stop."""
 
-    def replace(batch: DataFrame, _batch_id: int) -> None:
-        write_partitions(transform(batch) if transform else batch, target, col)
+    def add(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = (transform(batch) if transform else batch).withColumn(BATCH, F.lit(batch_id))
+        # One short row per date of the batch.
+        dates = {str(r[0]) for r in rows.select(col).distinct().collect()}
+        known = sorted(dates & set(list_partitions(spark, target, col)))
+        if known:
+            earlier = read_partitioned(spark, target, col, known).where(F.col(BATCH) != batch_id)
+            rows = rows.unionByName(earlier.select(rows.columns))
+        write_partitions(rows, target, col)
 
     query = (
-        rows.writeStream.foreachBatch(replace)
+        rows.writeStream.foreachBatch(add)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -38,13 +51,15 @@ def stream_partitions(
 
 
 def stream_csv_to_raw(spark: SparkSession, folder: str, schema: T.StructType, target: str, checkpoint: str) -> None:
-    """New CSV files of ``folder`` to the raw table. A date is one file, so a
-    corrected file that arrives later replaces the date."""
+    """New CSV files of ``folder`` to the raw table, each date in as many files as
+    arrive. The layout must be that of ``schema``: another header fails."""
     files = (
         spark.readStream.schema(schema)
         .option("header", True)
         .option("quote", '"')
         .option("escape", '"')
+        .option("enforceSchema", False)
+        .option("mode", "FAILFAST")
         .csv(folder)
     )
     dated = files.select("*", file_date().alias(PARTITION))
