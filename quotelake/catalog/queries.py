@@ -571,17 +571,14 @@ def earnings_feed(spark: SparkSession, sf: str) -> DataFrame:
         for name, rows in zip(("reported", "upcoming"), roles.earnings(spark, sf), strict=True):
             chosen = rows.where(delivery)
             item = F.to_json(F.struct(*[c for c in rows.columns if c != "file_version_date"]))
-            _deliver(_json_files(chosen, item), f"{base}/{name}", "json")
+            _deliver(_json_files(chosen, item, envelope='{"earningsDates":{}}'), f"{base}/{name}", "json")
         # A month may have upcoming earnings only: its reported file is then empty.
         months = roles.earnings(spark, sf)[1].where(delivery).select("file_version_date").distinct()
         known = roles.earnings(spark, sf)[0].select("file_version_date").distinct()
-        none = months.join(known, "file_version_date", "left_anti").withColumn("value", F.lit("[]"))
+        none = months.join(known, "file_version_date", "left_anti").withColumn("value", F.lit('{"earningsDates":[]}'))
         _deliver(none, f"{base}/reported", "json")
         ingest.stage_earnings(spark, f"{base}/reported", f"{base}/upcoming", f"{base}/stage")
-    staged = read_partitioned(spark, f"{base}/stage")
-    return staged.na.replace("", None).select(*feeds.REPORTED_EARNINGS, *[
-        c for c in feeds.UPCOMING_EARNINGS.values() if c != "Symbol"
-    ], "file_version_date")
+    return read_partitioned(spark, f"{base}/stage")
 
 
 def bars_feed(spark: SparkSession, sf: str) -> DataFrame:

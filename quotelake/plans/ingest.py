@@ -79,7 +79,7 @@ def stage_earnings(
     """Reported and upcoming earnings files of a date to one table."""
 
     def read(names: Sequence[str]):
-        return lambda spark, files: read_json_strings(spark, files, string_schema(names))
+        return lambda spark, files: read_envelope_rows(spark, files, "earningsDates", string_schema(names))
 
     def merge(left: DataFrame, right: DataFrame | None) -> DataFrame:
         if right is None:
@@ -101,13 +101,9 @@ def stage_analyst_scores(
     def read(schema):
         return lambda spark, files: read_json_envelope(spark, files, schema, feeds.DAY)
 
-    def score(left: DataFrame, right: DataFrame | None) -> DataFrame:
-        if right is None:
-            raise FileNotFoundError("no research file of these dates")
-        return feeds.analyst_scores(left, right)
-
     sources = {"left": (consensus, read(feeds.ANALYST_SCHEMA)), "right": (research, read(feeds.RESEARCH_SCHEMA))}
-    return FileFeedJob(sources, score, target).run(spark, rerun)
+    job = FileFeedJob(sources, lambda left, right: feeds.analyst_scores(left, right), target, required=["right"])
+    return job.run(spark, rerun)
 
 
 def stage_technical_rank(

@@ -106,13 +106,16 @@ class FileFeedJob(_DatedJob):
 
     ``sources`` maps argument names of ``transform`` to (paths, reader); a
     reader takes (spark, files) and returns a frame with the date column. A
-    date is pending when the first source has a file of it. Only files of
-    pending dates are opened.
+    date is pending when the first source and every ``required`` one has a file
+    of it. Only files of pending dates are opened.
     """
 
+    required: Sequence[str] = ()
+
     def _available(self, spark: SparkSession) -> Sequence[str]:
         self._files = {name: dated_files(spark, paths) for name, (paths, _) in self.sources.items()}
-        return list(next(iter(self._files.values())))
+        first = next(iter(self._files.values()))
+        return [date for date in first if all(date in self._files[name] for name in self.required)]
 
     def _load(self, spark: SparkSession, name: str, values: Sequence[str]) -> DataFrame | None:
         """None where a further source has no file of these dates."""

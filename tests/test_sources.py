@@ -2,6 +2,7 @@ import json
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quotelake import sources as src
 from quotelake.plans import feeds, ingest
@@ -98,7 +99,7 @@ def test_earnings_envelope(spark, tmp_path):
     right = src.read_envelope_rows(spark, u, "earningsDates", src.string_schema(list(feeds.UPCOMING_EARNINGS)))
     assert one(left.where("Symbol = 'A'"))["file_version_date"] == "20250101"
     got = {x["Symbol"]: x for x in rows(feeds.earnings_calendar(left, right))}
-    assert set(got) == {"A", "B", "C"} and len(got["A"]) == 14
+    assert set(got) == {"A", "B", "C"} and len(got["A"]) == 15
     assert got["A"]["ActualEPS"] == "1.5" and got["A"]["Upcoming_EarningsDate"] is None
     assert got["B"]["Upcoming_EarningsDate"] == "d2" and got["B"]["EarningsDate"] is None
     with pytest.raises(ValueError, match="without Symbol"):
@@ -198,3 +199,85 @@ def test_stream_takes_only_new_files(spark, tmp_path):
     stream_csv_to_raw(spark, landing, schema, target, checkpoint)
     got = rows(src.read_partitioned(spark, target), "sym")
     assert [(r["sym"], r["file_version_date"]) for r in got] == [("A", "20250102"), ("B", "20250103")]
+
+
+def test_files_are_read_by_their_own_header(spark, tmp_path):
+    write(tmp_path / "in/feed_20250101.csv", "sym,price\nA,1\n")
+    write(tmp_path / "in/feed_20250102.csv", 'price,sym,"no, te"\n2,B,x\n')
+    write(tmp_path / "in/feed_20250103.csv", "")
+    ingest.build_raw(spark, str(tmp_path / "in"), str(tmp_path / "raw"))
+    found = rows(src.read_partitioned(spark, str(tmp_path / "raw")), "sym")
+    assert [(r["sym"], r["price"], r["no, te"], r["file_version_date"]) for r in found] == [
+        ("A", "1", None, "20250101"),
+        ("B", "2", "x", "20250102"),
+    ]
+
+
+def test_rows_that_do_not_fit_fail_loudly(spark, tmp_path):
+    write(tmp_path / "in/feed_20250101.csv", 'sym,note\nA,"two\nlines"\n')
+    write(tmp_path / "in/feed_20250102.csv", "sym,note\nB,one\n")
+    target = str(tmp_path / "raw")
+    assert ingest.build_raw(spark, str(tmp_path / "in"), target) == ["20250102"]
+    assert ingest.build_raw(spark, str(tmp_path / "in"), target, multiline=True) == ["20250101"]
+    assert {r["note"] for r in rows(src.read_partitioned(spark, target))} == {"two\nlines", "one"}
+    write(tmp_path / "twice/feed_20250101.csv", "a,a\n1,2\n")
+    assert ingest.build_raw(spark, str(tmp_path / "twice"), str(tmp_path / "raw2")) == []
+
+
+def test_a_bad_date_costs_few_writes(spark, tmp_path):
+    days = [f"2025010{i}" for i in range(1, 9)]
+    data = spark.createDataFrame([(d, "x" if d == days[5] else "1") for d in days], "file_version_date string, v string")
+    src.write_partitions(data, str(tmp_path / "raw"))
+    job = PartitionedJob(
+        {"rows": str(tmp_path / "raw")}, lambda rows: rows.withColumn("v", F.col("v").cast("int")), str(tmp_path / "stage")
+    )
+    assert job.run(spark) == [d for d in days if d != days[5]]
+    assert job.failed == [days[5]] and job.writes <= 7
+    assert job.run(spark) == []
+
+
+def test_json_stage_opens_pending_files_only(spark, tmp_path):
+    for day in ("20250101", "20250102"):
+        write(tmp_path / f"in/feed_{day}.json", '[{"id":"%s"},{"id":"b"}]' % day)
+    target = str(tmp_path / "stage")
+    assert len(ingest.stage_json(spark, str(tmp_path / "in"), target, ["id"])) == 2
+    write(tmp_path / "in/feed_20250101.json", "not json at all")
+    write(tmp_path / "in/feed_20250103.json", '[{"id":"c"}]')
+    assert ingest.stage_json(spark, str(tmp_path / "in"), target, ["id"]) == ["20250103"]
+    assert {(r["id"], r["autonum"]) for r in rows(src.read_partitioned(spark, target))} == {
+        ("20250101", 0), ("20250102", 0), ("b", 1), ("c", 0),
+    }
+
+
+def test_feeds_are_staged_by_date(spark, tmp_path):
+    write(tmp_path / "r/e_20250101.json", '{"earningsDates":[{"Symbol":"A","ActualEPS":"1"}]}')
+    write(tmp_path / "r/e_20250102.json", '{"earningsDates":[{"Symbol":"A","ActualEPS":"2"}]}')
+    write(tmp_path / "u/e_20250101.json", '{"earningsDates":[{"Symbol":"A","EarningsDate":"2025-02-01"},{"Symbol":"B"}]}')
+    target = str(tmp_path / "earnings")
+    assert ingest.stage_earnings(spark, str(tmp_path / "r"), str(tmp_path / "u"), target) == ["20250101", "20250102"]
+    found = {(r["Symbol"], r["file_version_date"], r["ActualEPS"], r["Upcoming_EarningsDate"]) for r in rows(src.read_partitioned(spark, target))}
+    assert found == {
+        ("A", "20250101", "1", "2025-02-01"), ("B", "20250101", None, None), ("A", "20250102", "2", None)
+    }
+    write(tmp_path / "c/t_20250101.json", '[{"ticker":"A","analystConsensus":{"consensus":"buy","distribution":{"buy":3}}}]')
+    write(tmp_path / "c/t_20250102.json", '[{"ticker":"A"}]')
+    write(tmp_path / "s/t_20250101.json", '[{"ticker":"A","research":{"tipRanksScore":7}}]')
+    scores = str(tmp_path / "scores")
+    assert ingest.stage_analyst_scores(spark, str(tmp_path / "c"), str(tmp_path / "s"), scores) == ["20250101"]
+    assert one(src.read_partitioned(spark, scores))["tipRanksScore"] == 7
+    write(tmp_path / "large/x_20250101.json", '[{"date":"2025-01-01"},{"symbol":"L","SCTR":"9"}]')
+    write(tmp_path / "etf/x_20250101.json", '[{},{"symbol":"F"}]')
+    ranks = str(tmp_path / "ranks")
+    classes = {"largecap": str(tmp_path / "large"), "etf": str(tmp_path / "etf")}
+    assert ingest.stage_technical_rank(spark, classes, ranks) == ["20250101"]
+    assert {(r["symbol"], r["date"], r["marketcaptype"]) for r in rows(src.read_partitioned(spark, ranks))} == {
+        ("L", "2025-01-01", "large"), ("F", "2025-01-01", "etf"),
+    }
+
+
+def test_stream_keeps_every_file_of_a_date(spark, tmp_path):
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("sym", "price")])
+    for name, row in (("a", "A,1"), ("b", "B,2")):
+        write(tmp_path / f"in/{name}_2025-01-02.csv", f"sym,price\n{row}\n")
+        stream_csv_to_raw(spark, str(tmp_path / "in"), schema, str(tmp_path / "raw"), str(tmp_path / "check"))
+    assert {r["sym"] for r in rows(src.read_partitioned(spark, str(tmp_path / "raw")))} == {"A", "B"}
