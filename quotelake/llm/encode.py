@@ -2,30 +2,28 @@
 
 A cut before a space that follows a non-space never lies inside a token, so a
 text is encoded piece by piece: a space-separated word has the same ids
-wherever it stands. Pieces that a task process has met are looked up; only new
-ones go to the tokenizers library. The ids are those of one call per text.
+wherever it stands. Pieces that a task process has met are looked up; the new
+ones of a batch go to the tokenizers library together. The ids are those of
+one call per text.
 """
 
 from __future__ import annotations
 
 import functools
+import os
 from array import array
 from collections.abc import Sequence
 
-import numpy as np
-import regex
-from tokenizers import Tokenizer
+# A task has one core; read by the library at its first call.
+os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+
+import numpy as np  # noqa: E402
+import regex  # noqa: E402
+from tokenizers import Tokenizer  # noqa: E402
 
-# Fixed value: the pattern by which byte-level BPE splits text beforehand.
-PRETOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-# Splitting by pattern is kept to characters on which every Unicode version agrees.
-SETTLED = regex.compile("[\t\n\r\x20-\x7e\xa1-ɏ]*")
 # Spaces of any kind (and the controls that some call spaces), then what is up to the next.
 UNITS = regex.compile(r"[\s\x1c-\x1f]*[^\s\x1c-\x1f]+|[\s\x1c-\x1f]+")
-# A word and the marks after it are two tokens' worth: the word has an entry of its own.
-WORD_AND_MARKS = regex.compile(r" (\p{L}+)([^\s\p{L}\p{N}]+)")
-MAX_WORDS = 700_000
-MAX_PIECES = 50_000
+MAX_UNITS = 700_000
 MAX_IDS = 8_000_000
 
 
@@ -47,43 +45,20 @@ class CachedEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.vocab = self.tokenizer.get_vocab_size()
-        self.pieces: dict[str, list[int]] = {}
         self._reset()
 
     def _reset(self) -> None:
         self.words = _Words(self, " ")
         self.heads = _Words(self, "\n")
+        self.new: list[str] = []
         self.ids = array("I")
         self.starts = array("q")
         self.sizes = array("q")
 
-    def _piece(self, piece: str) -> list[int]:
-        if len(piece) > 12:
-            return self.tokenizer.encode(piece, add_special_tokens=False).ids
-        ids = self.pieces.get(piece)
-        if ids is None:
-            if len(self.pieces) >= MAX_PIECES:
-                self.pieces.clear()
-            ids = self.pieces[piece] = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        return ids
-
     def _add(self, unit: str) -> int:
-        """Put a unit's ids at the end of the table."""
-        if SETTLED.fullmatch(unit):
-            word = WORD_AND_MARKS.fullmatch(unit)
-            if word:
-                row = self.words[word[1]]
-                start = self.starts[row]
-                ids = self.ids[start : start + self.sizes[row]]
-                ids.extend(self._piece(word[2]))
-            else:
-                ids = [i for piece in PRETOKENS.findall(unit) for i in self._piece(piece)]
-        else:
-            ids = self._piece(unit)
-        self.starts.append(len(self.ids))
-        self.sizes.append(len(ids))
-        self.ids.extend(ids)
-        return len(self.starts) - 1
+        """Row that the unit's ids will have after the batch."""
+        self.new.append(unit)
+        return len(self.starts) + len(self.new) - 1
 
     def _rows(self, text: str) -> list[int]:
         """Rows of the text's units; units start before a space or line feed that follows a non-space."""
@@ -100,9 +75,17 @@ class CachedEncoder:
         # Some space follows a space: cut only where it is safe.
         return [self._add(u) for u in UNITS.findall(text)]
 
+    def _encode_new(self) -> None:
+        for found in self.tokenizer.encode_batch_fast(self.new, add_special_tokens=False):
+            ids = found.ids
+            self.starts.append(len(self.ids))
+            self.sizes.append(len(ids))
+            self.ids.extend(ids)
+        self.new = []
+
     def encode(self, texts: Sequence[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, ``end`` after each text, and the bounds of the texts (one more than texts)."""
-        if len(self.words) + len(self.heads) > MAX_WORDS or len(self.ids) > MAX_IDS:
+        if len(self.starts) > MAX_UNITS or len(self.ids) > MAX_IDS:
             self._reset()
         last = len(self.starts)
         self.starts.append(len(self.ids))
@@ -115,6 +98,7 @@ class CachedEncoder:
             rows.extend(found)
             rows.append(last)
             counts.append(len(found) + 1)
+        self._encode_new()
         at = np.fromiter(rows, np.int64, len(rows))
         sizes = np.array(self.sizes, np.int64)[at]
         ends = np.cumsum(sizes)
