@@ -33,6 +33,17 @@ def _value_range(value: Column) -> Column:
     ).cast("long")
 
 
+def _window_rank(value: Column, by: Sequence[str], digits: int, null_metric: str) -> Column:
+    peers = Window.partitionBy(*by)
+    if null_metric == "last":
+        return round_scaled(F.percent_rank().over(peers.orderBy(value.asc_nulls_last())), digits)
+    # Nulls sort last, so they only count in the number of peers.
+    below = F.rank().over(peers.orderBy(value.asc_nulls_last())) - 1
+    others = F.count(value).over(peers) - 1
+    rank = F.when(others == 0, F.lit(0.0)).otherwise(below / F.nullif(others, F.lit(0)))
+    return F.when(value.isNotNull(), round_scaled(rank, digits))
+
+
 def peer_percentile(
     df: DataFrame,
     cols: Mapping[str, str],
@@ -40,6 +51,7 @@ def peer_percentile(
     key: Sequence[str],
     digits: int = 4,
     null_metric: str = "last",
+    small_groups: bool = False,
 ) -> DataFrame:
     """Add ``PERCENT_RANK() OVER (PARTITION BY by ORDER BY x)`` per metric.
 
@@ -51,11 +63,15 @@ def peer_percentile(
     values collapse in the first step.
 
     A NULL metric ranks above all values (``null_metric="last"``) or gets no
-    percentile and is not a peer (``"ignore"``).
+    percentile and is not a peer (``"ignore"``). ``small_groups`` is for groups
+    that something else bounds (the tickers of a sector on a day): windows over
+    one placement of the rows.
     """
     if null_metric not in ("last", "ignore"):
         raise ValueError("null_metric is 'last' or 'ignore'")
     outputs = list(cols)
+    if small_groups:
+        return df.withColumns({out: _window_rank(F.col(cols[out]).cast("double"), by, digits, null_metric) for out in outputs})
     pairs = [
         F.struct(F.lit(i).alias("__metric"), F.col(cols[out]).cast("double").alias("__value"))
         for i, out in enumerate(outputs)

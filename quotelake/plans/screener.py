@@ -202,6 +202,9 @@ def composite_score(
     """
     sectors = master.select(F.col("symbol").alias("ticker"), "sector")
     rows = screener.join(sectors, "ticker")
-    ranked = peer_percentile(rows, percentile_metrics(), list(peers), ["ticker", DAY], 4, null_metric)
+    # A sector has as many rows on a day as it has listed tickers.
+    ranked = peer_percentile(
+        rows, percentile_metrics(), list(peers), ["ticker", DAY], 4, null_metric, small_groups=True
+    )
     score = round_scaled(_leaning("call") - _leaning("put"), 4)
     return ranked.withColumn("options_composite_score", score)
