@@ -18,7 +18,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quotelake.llm.common import table
+from quotelake.llm.common import materialize, table
 from quotelake.llm.decontamination import keep_uncontaminated
 from quotelake.llm.exact_dedup import exact_dedup
 from quotelake.llm.language_id import keep_identified
@@ -35,24 +35,39 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_identified(docs)
 
 
+def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Rows whose doc_id is not in ``dropped`` (one column).
+
+    ``dropped`` is written first: the planner then knows its size and sends it to
+    all tasks if it is under the session's threshold, else it sorts and merges.
+    """
+    ids = materialize(dropped.toDF("__dropped").distinct(), "dropped")
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__dropped"]), "left_anti")
+
+
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each set of texts that are equal but for the case of A-Z."""
-    found = exact_dedup(docs).where("kept").select(
-        F.col("doc_id").alias("__keep"), F.col("text_sha256").alias("__sha256")
-    )
+    found = materialize(exact_dedup(docs).select("doc_id", "text_sha256", "kept"), "copies")
+    stay, go = F.count_if("kept"), F.count_if(~F.col("kept"))
+    unclear = found.groupBy("doc_id").agg(stay.alias("stay"), go.alias("go")).where("stay > 1 OR (stay = 1 AND go > 0)")
+    if unclear.isEmpty():
+        return without(docs, found.where(~F.col("kept")).select("doc_id"))
+    # Some doc_id is repeated: its rows are told apart by their texts.
+    kept = found.where("kept").select(F.col("doc_id").alias("__keep"), F.col("text_sha256").alias("__sha256"))
     normal = F.translate(F.coalesce(docs["text"], F.lit("")), UPPER, LOWER)
     digested = docs.withColumn("__text_sha256", F.sha2(normal, 256))
-    same = (digested["__text_sha256"] == found["__sha256"]) & digested["doc_id"].eqNullSafe(found["__keep"])
-    kept = digested.join(found, same, "left_semi")
-    # The row that stays may itself be repeated.
-    return kept.dropDuplicates(["__text_sha256"]).select(*docs.columns)
+    same = (digested["__text_sha256"] == kept["__sha256"]) & digested["doc_id"].eqNullSafe(kept["__keep"])
+    return digested.join(kept, same, "left_semi").dropDuplicates(["__text_sha256"]).select(*docs.columns)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that shingles link."""
-    groups = similar_documents(docs, words=5, percent=80)
-    kept = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__keep"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["__keep"]), "left_semi")
+    groups = materialize(similar_documents(docs, words=5, percent=80).select("doc_id", "component_id"), "groups")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id"))
+    return without(
+        docs,
+        groups.groupBy("doc_id").agg(F.bool_or(first).alias("stays")).where(~F.col("stays")).select("doc_id"),
+    )
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
