@@ -188,7 +188,11 @@ def ratings_typed(df: DataFrame) -> DataFrame:
 
 def ticker_universe(screener: DataFrame, date_col: str = "file_version_date") -> DataFrame:
     """Distinct non-index, non-ETF tickers of the newest snapshot."""
-    newest = latest_snapshot(screener, date_col)
+    return listed_stocks(latest_snapshot(screener, date_col))
+
+
+def listed_stocks(newest: DataFrame) -> DataFrame:
+    """The same for a frame of one date, such as ``read_latest`` gives of a table."""
     return newest.where((F.col("is_index") == "f") & (F.col("issue_type") != "ETF")).select("ticker").distinct()
 
 

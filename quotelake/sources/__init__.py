@@ -21,6 +21,7 @@ from quotelake.sources.lake import (
     pending_partitions,
     pending_values,
     processed_values,
+    read_latest,
     read_partitioned,
     record_processed,
     replace_partitions,
@@ -46,6 +47,7 @@ __all__ = [
     "read_header_rows",
     "read_json_envelope",
     "read_json_strings",
+    "read_latest",
     "read_partitioned",
     "read_rename_map",
     "record_processed",

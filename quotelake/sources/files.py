@@ -83,7 +83,15 @@ def read_csv_by_header(
     if not frames:
         return None
     df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
-    return df.na.fill("", subset=[c for c in df.columns if c != date_col]) if null_as_empty else df
+    return _absent_as_empty(df, [c for c in df.columns if c != date_col]) if null_as_empty else df
+
+
+def _absent_as_empty(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """'' for NULL; vendor column names may hold dots."""
+    chosen = set(columns)
+    return df.select(
+        *[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) if c in chosen else F.col(f"`{c}`") for c in df.columns]
+    )
 
 
 def _paths(paths: str | Sequence[str]) -> str | list[str]:
@@ -112,7 +120,7 @@ def read_csv_strings(
     if date_col:
         df = df.select("*", file_date().alias(date_col))
     if null_as_empty:
-        df = df.na.fill("", subset=columns)
+        df = _absent_as_empty(df, columns)
     return df
 
 
@@ -126,7 +134,7 @@ def read_json_strings(
     df = spark.read.schema(schema).option("multiLine", True).json(_paths(paths))
     if date_col:
         df = df.select("*", file_date().alias(date_col))
-    return df.na.fill("", subset=[f.name for f in schema.fields if isinstance(f.dataType, T.StringType)])
+    return _absent_as_empty(df, [f.name for f in schema.fields if isinstance(f.dataType, T.StringType)])
 
 
 def read_json_envelope(

@@ -50,6 +50,12 @@ def latest_partition(spark: SparkSession, path: str, partition_col: str = PARTIT
     return max(dates, default=None)
 
 
+def read_latest(spark: SparkSession, path: str, partition_col: str = PARTITION) -> DataFrame:
+    """The newest date of a table. The date comes from the listing, so no other folder is opened."""
+    newest = latest_partition(spark, path, partition_col)
+    return read_partitioned(spark, path, partition_col, [newest] if newest else [])
+
+
 def pending_partitions(
     source: DataFrame,
     done: DataFrame,

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quotelake import sources as src
-from quotelake.plans import feeds, ingest
+from quotelake.plans import feeds, fundamentals, ingest
 from quotelake.plans.jobs import PartitionedJob
 from quotelake.sources.schemas import (
     BASE_TABLES,
@@ -281,3 +281,32 @@ def test_stream_keeps_every_file_of_a_date(spark, tmp_path):
         write(tmp_path / f"in/{name}_2025-01-02.csv", f"sym,price\n{row}\n")
         stream_csv_to_raw(spark, str(tmp_path / "in"), schema, str(tmp_path / "raw"), str(tmp_path / "check"))
     assert {r["sym"] for r in rows(src.read_partitioned(spark, str(tmp_path / "raw")))} == {"A", "B"}
+
+
+def test_the_latest_date_opens_one_folder(spark, tmp_path):
+    days = [("2025010%d" % i, f"T{i}", "f", "Stock") for i in range(1, 6)]
+    data = spark.createDataFrame(days, "file_version_date string, ticker string, is_index string, issue_type string")
+    src.write_partitions(data, str(tmp_path / "t"))
+    newest = src.read_latest(spark, str(tmp_path / "t"))
+    assert len(newest.inputFiles()) == 1
+    assert one(fundamentals.listed_stocks(newest))["ticker"] == "T5"
+
+
+def test_fundamentals_from_file_to_types(spark, tmp_path):
+    renames = src.schemas.FUNDAMENTAL_RENAMES
+    assert len(renames) == 122 == len(set(renames.values()))
+    names = {new: old for old, new in renames.items()}
+    sample = {"percent": "1.5%", "magnitude": "2M", "volume": "3K", "number": "4", "date": "Jan 5, 2025"}
+    columns = [c for c, kind in fundamentals.FUNDAMENTAL_KINDS.items() if c in names and kind in sample]
+    assert len(columns) > 60
+    header = ",".join(f'"{names[c]}"' for c in [*columns, "symbol"])
+    row = ",".join(f'"{sample[fundamentals.FUNDAMENTAL_KINDS[c]]}"' for c in columns)
+    write(tmp_path / "in/fd_20250105.csv", f"{header}\n{row},A\n")
+    ingest.stage_csv(spark, str(tmp_path / "in"), str(tmp_path / "stage"), renames)
+    staged = one(src.read_partitioned(spark, str(tmp_path / "stage")))
+    assert staged["symbol"] == "A" and all(staged[c] == sample[fundamentals.FUNDAMENTAL_KINDS[c]] for c in columns)
+
+
+def test_every_base_table_has_a_schema():
+    assert len(src.schemas.BASE_TABLES) == 14
+    assert src.schemas.base_table_schema("exchange_companies")["tags"].dataType == T.ArrayType(T.StringType())
