@@ -755,6 +755,7 @@ DAILY = """SELECT strftime(ts, '%Y%m%d') AS file_version_date, event_type, count
 
 ORACLE: dict[str, str] = {
     "trade_cube": trade_cube(False),
+    "trade_cube_staged": trade_cube(False),
     "trade_cube_strict": trade_cube(True),
     "cube_distinct": """SELECT l_suppkey, l_returnflag, l_linestatus, count(DISTINCT l_orderkey) AS orders,
         count(*) AS rows_seen FROM lineitem GROUP BY l_suppkey, CUBE (l_returnflag, l_linestatus)""",

@@ -267,11 +267,6 @@ def _summary_columns(summary: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def flow_signals(stats: DataFrame, history: DataFrame) -> DataFrame:
-    """Contract statistics with open-interest history and the derived flags."""
-    return _signals(stats, history).distinct()
-
-
 def _signals(stats: DataFrame, history: DataFrame) -> DataFrame:
     oi = history.select(*CONTRACT_DAY, "prev_oi", "nextday_oi", "last_oi").distinct()
     rows = stats.join(oi, CONTRACT_DAY, "left")

@@ -35,6 +35,8 @@ AUTO_MULTILEG_CODES = ["mlet", "mlat", "mlct", "tlct", "tlft", "tlet", "tlat"]
 SWEEP_CODES = ["slan", "slai", "mesl", "slcn", "slft", "mfsl"]
 MANUAL_MULTILEG_CODES = ["isoi", "mlft"]
 MIN_CHAIN_SIZE = 100
+# Order of rows in the files of the staged cube; NULLs last.
+STAGE_ORDER = ["underlying_symbol", "option_chain_id", "expiry", "strike", "option_tx_type", "side"]
 TOTAL = "total"
 AVERAGES = [
     ("wtd_avg_price", "price", 2),
@@ -366,10 +368,3 @@ def chain_zscores(analytics: DataFrame) -> DataFrame:
     rows = zscore(rows, STRIKE_ZSCORES, expiry, small_groups=True, sample=F.col("__first"))
     rows = zscore(rows, CONTRACT_ZSCORES, [DAY, "underlying_symbol", "option_type", "expiry"], small_groups=True)
     return rows.select(*analytics.columns, *CONTRACT_ZSCORES, *STRIKE_ZSCORES)
-
-
-def sort_trades(cube: DataFrame) -> DataFrame:
-    """The cube's presentation order; NULLs last."""
-    keys = ["underlying_symbol", CHAIN, "expiry", "strike", "option_tx_type", "side"]
-    return cube.orderBy(*[F.col(k).asc_nulls_last() for k in keys])
-
