@@ -77,6 +77,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+NORMAL = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
+
 ORACLE: dict[str, str] = {
     "op1_chat_formatting": """
         WITH turns AS (
@@ -101,4 +103,40 @@ ORACLE: dict[str, str] = {
           SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM norm GROUP BY text_sha256)
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, text_sha256
         FROM norm JOIN grp USING (text_sha256)""",
+    "op2_ngram_join": f"""
+        WITH RECURSIVE worded AS (
+          SELECT doc_id, regexp_extract_all({NORMAL}, '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+        sets AS (
+          SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [w]
+            ELSE list_transform(range(1, len(w) - 2), lambda i: w[i:i + 3]) END) AS s FROM worded),
+        tokens AS (SELECT doc_id, unnest(s) AS t, len(s) AS n FROM sets),
+        common AS (
+          SELECT x.doc_id AS a, y.doc_id AS b, any_value(x.n) AS na, any_value(y.n) AS nb, count(*) AS c
+          FROM tokens x JOIN tokens y ON x.t = y.t AND x.doc_id <> y.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM common WHERE 100 * c >= 85 * (na + nb - c)),
+        reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+        SELECT doc_id, len(s)::BIGINT AS n_shingles,
+               least(doc_id, coalesce((SELECT min(b) FROM reach WHERE a = doc_id), doc_id)) AS component_id
+        FROM sets""",
+    "op8_decontamination": f"""
+        WITH docs AS (
+          SELECT doc_id, regexp_extract_all({NORMAL}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+        items AS (
+          SELECT item_id, regexp_extract_all({NORMAL}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+        windows AS (
+          SELECT DISTINCT item_id, unnest(CASE WHEN len(w) < 13 THEN [w]
+            ELSE list_transform(range(1, len(w) - 11), lambda i: w[i:i + 12]) END) AS v FROM items WHERE len(w) > 0),
+        sizes AS (SELECT DISTINCT len(v) AS k FROM windows),
+        places AS (
+          SELECT doc_id, k, i, w[i:i + k - 1] AS v
+          FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM docs, sizes)),
+        hits AS (SELECT doc_id, k, i, item_id FROM places JOIN windows USING (v)),
+        marked AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+                   FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY 1),
+        named AS (SELECT doc_id, list_sort(list_distinct(list(item_id::VARCHAR))) AS names FROM hits GROUP BY 1)
+        SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
+               coalesce(len(names), 0)::BIGINT AS n_items,
+               sha256(coalesce(array_to_string(names, ','), '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM docs d LEFT JOIN marked USING (doc_id) LEFT JOIN named USING (doc_id)""",
 }
