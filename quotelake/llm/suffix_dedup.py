@@ -14,8 +14,11 @@ stages: suffixes smaller than their successor are sorted directly, the others
 are induced from them by scans of the first-byte buckets in order. Suffixes
 that agree on ``length`` bytes are then neighbours, and a comparison of
 neighbours finds them. An anchor with one content needs no sorting. An anchor
-of very many contents (a passage shared by thousands of documents) is not put
-in one task: there the windows are counted by digest, with map-side sums.
+of very many contents (a line or passage that thousands of documents have) is
+not put in one task: its contents are cut into blocks of ``STEPS`` windows at
+fixed distances from the anchor, and blocks are grouped by what all windows of
+a block have in common. Different surroundings then part; what still is too
+much is cut finer, down to single windows, of which equal ones are one row.
 
 Defined results: null text is empty; texts shorter than ``length`` keep all
 bytes; repeated rows are occurrences of each other; matches never cross
@@ -43,6 +46,7 @@ BATCH_BYTES = 8 << 20
 SORT_BYTES = 256 << 10
 BUCKET_BYTES = 1 << 20
 MANY = 200
+STEPS = (64, 8, 1)
 U64 = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -63,9 +67,9 @@ def run_hashes(text: np.ndarray, size: int) -> np.ndarray:
         return mix((sums[size:] - sums[:-size]) * _down[: len(text) - size + 1])
 
 
-def segments(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchor hash, first window and end of windows of each segment, in order."""
-    hashes, firsts, ends = [], [], []
+def segments(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Anchor hash, first window, end of windows and anchor place of each segment, in order."""
+    hashes, firsts, ends, places = [], [], [], []
     windows = len(text) - length + 1
     view = np.frombuffer(text, np.uint8)
     span = length - GRAM + 1
@@ -85,10 +89,9 @@ def segments(text: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
         hashes.append(grams[anchor[new]].view(np.int64))
         firsts.append(new + at)
         ends.append(np.concatenate([new[1:], [len(anchor)]]) + at)
-    if not hashes:
-        none = np.zeros(0, np.int64)
-        return none, none, none
-    return np.concatenate(hashes), np.concatenate(firsts), np.concatenate(ends)
+        places.append(anchor[new] + at)
+    none = np.zeros(0, np.int64)
+    return tuple(np.concatenate([*x, none]) for x in (hashes, firsts, ends, places))
 
 
 def _anchors(length: int):
@@ -112,11 +115,12 @@ def _anchors(length: int):
 PARTS = pa.schema(
     [
         ("kind", pa.int8()), ("row", pa.int64()), ("doc_id", pa.int64()), ("anchor", pa.int64()),
-        ("content", pa.binary()), ("body", pa.binary()), ("first", pa.int64()), ("n", pa.int64()),
+        ("content", pa.binary()), ("body", pa.binary()), ("first", pa.int64()), ("n", pa.int64()), ("at", pa.int64()),
     ]
 )
 PARTS_DDL = (
-    "kind tinyint, row bigint, doc_id bigint, anchor bigint, content binary, body binary, first bigint, n bigint"
+    "kind tinyint, row bigint, doc_id bigint, anchor bigint, content binary, body binary, first bigint, n bigint, "
+    "at bigint"
 )
 
 
@@ -128,17 +132,18 @@ def _split(length: int):
             columns = (batch.column(c).to_pylist() for c in ("row", "doc_id", "anchors"))
             for row, doc, wanted, text in zip(*columns, texts_of(batch.column("text")), strict=True):
                 if not wanted:
-                    rows.append((0, row, doc, None, hashlib.sha256(text).digest(), None, None, len(text)))
+                    rows.append((0, row, doc, None, hashlib.sha256(text).digest(), None, None, len(text), None))
                     continue
-                rows.append((1, row, doc, None, None, text, None, len(text)))
-                hashes, firsts, ends = segments(text, length)
+                rows.append((1, row, doc, None, None, text, None, len(text), None))
+                hashes, firsts, ends, places = segments(text, length)
                 for i in np.flatnonzero(np.isin(hashes, np.array(wanted, np.int64))).tolist():
                     anchor, first = int(hashes[i]), int(firsts[i])
                     body = text[first : int(ends[i]) + length - 1]
                     content = xxhash.xxh3_128_digest(body)
-                    rows.append((3, row, None, anchor, content, None, first, int(ends[i]) - first))
-                    bodies.setdefault((anchor, content), [body, 0])[1] += 1
-            rows.extend((2, None, None, a, c, body, None, n) for (a, c), (body, n) in bodies.items())
+                    rows.append((3, row, None, anchor, content, None, first, int(ends[i]) - first, None))
+                    # Equal bodies have the anchor at the same place.
+                    bodies.setdefault((anchor, content), [body, int(places[i]) - first, 0])[2] += 1
+            rows.extend((2, None, None, a, c, body, None, n, at) for (a, c), (body, at, n) in bodies.items())
             columns = zip(*rows, strict=True) if rows else [[]] * len(PARTS)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(v), f.type) for v, f in zip(columns, PARTS, strict=True)], schema=PARTS
@@ -276,31 +281,95 @@ def _sorted_bucket(length: int):
     return find
 
 
-def _windows(length: int):
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _block(body: bytes, at: int, block: int, step: int, length: int) -> tuple[int, int, bytes]:
+    """First and end of the body's windows in a block, and what all windows of the whole block share."""
+    begin = at + block * step
+    first, end = max(0, begin), min(len(body) - length + 1, begin + step)
+    return first, end, body[begin + step - 1 : begin + length]
+
+
+def _block_keys(length: int, step: int):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = (batch.column(c).to_pylist() for c in ("anchor", "content", "body", "n"))
-            for anchor, content, body, n in zip(*columns, strict=True):
-                hashes = run_hashes(np.frombuffer(body, np.uint8), length).view(np.int64)
-                k = len(hashes)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(k, anchor, np.int64)), pa.array([content] * k, pa.binary()),
-                        pa.array(np.arange(k)), pa.array(hashes), pa.array(np.full(k, n, np.int64)),
-                    ],
-                    ["anchor", "content", "place", "window", "n"],
-                )
+            rows = []
+            columns = (batch.column(c).to_pylist() for c in ("anchor", "content", "body", "at", "n"))
+            for anchor, content, body, at, n in zip(*columns, strict=True):
+                windows = len(body) - length + 1
+                for block in range(-at // step, (windows - 1 - at) // step + 1):
+                    _, _, core = _block(body, at, block, step, length)
+                    key = xxhash.xxh3_64_intdigest(core, (anchor * 31 + block) & (2**64 - 1)) - (1 << 63)
+                    rows.append((anchor, content, block, key, n))
+            yield _batch(rows, [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()], KEYS_DDL)
 
-    return split
+    return cut
 
 
-def _gather_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        runs = [runs_of(np.array(sorted(set(p)), np.int64)) for p in batch.column("places").to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("anchor"), batch.column("content"), pa.array(runs, pa.list_(pa.int64()))],
-            ["anchor", "content", "runs"],
-        )
+def _pieces(length: int, step: int):
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            columns = (batch.column(c).to_pylist() for c in ("anchor", "content", "body", "at", "n", "blocks"))
+            for anchor, content, body, at, n, blocks in zip(*columns, strict=True):
+                for wanted in blocks:
+                    first, end, _ = _block(body, at, wanted["block"], step, length)
+                    piece = body[first : end + length - 1]
+                    rows.append(
+                        (anchor, content, first, wanted["key"], xxhash.xxh3_128_digest(piece), piece, at - first, n)
+                    )
+            types = [pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int64()]
+            yield _batch(rows, types, PIECES_DDL)
+
+    return cut
+
+
+def _batch(rows: list[tuple], types: list[pa.DataType], ddl: str) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(types)
+    names = [c.split()[0] for c in ddl.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array(list(v), t) for v, t in zip(columns, types, strict=True)], names)
+
+
+KEYS_DDL = "anchor bigint, content binary, block bigint, key bigint, n bigint"
+PIECES_DDL = (
+    "whole_anchor bigint, whole_content binary, first bigint, anchor bigint, content binary, body binary, "
+    "at bigint, n bigint"
+)
+
+
+def _repeated(contents: DataFrame, length: int, steps: Sequence[int]) -> DataFrame:
+    """anchor, content, runs: the windows of each content that occur twice under its anchor.
+
+    ``contents`` (anchor, content, body, at, n) is a table with one row per
+    anchor and content.
+    """
+    counts = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents"))
+    sized = contents.join(counts, "anchor")
+    all_windows = F.array(F.lit(0).cast("bigint"), (F.length("body") - length + 1).cast("bigint")).alias("runs")
+    only = sized.where("contents = 1 AND n > 1").select("anchor", "content", all_windows)
+    some = sized.where(f"contents BETWEEN 2 AND {MANY}").select("anchor", "content", "body", "n")
+    total = contents.agg(F.sum(F.length("body"))).first()[0] or 0
+    bucket = F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-total // BUCKET_BYTES))))
+    runs = only.union(some.groupBy(bucket.alias("bucket")).applyInArrow(_sorted_bucket(length), RUNS_DDL))
+    if not steps:
+        return runs
+    hot = materialize(sized.where(f"contents > {MANY}").drop("contents"), "hot")
+    if hot.isEmpty():
+        return runs
+    keys = materialize(hot.mapInArrow(_block_keys(length, steps[0]), KEYS_DDL), "blocks")
+    again = keys.groupBy("key").agg(F.sum("n").alias("total")).where("total > 1").select("key")
+    wanted = keys.join(again, "key").groupBy("anchor", "content")
+    wanted = wanted.agg(F.collect_list(F.struct("block", "key")).alias("blocks"))
+    pieces = hot.join(wanted, ["anchor", "content"]).select("anchor", "content", "body", "at", "n", "blocks")
+    pieces = materialize(pieces.mapInArrow(_pieces(length, steps[0]), PIECES_DDL), "pieces")
+    finer = pieces.groupBy("anchor", "content").agg(
+        F.first("body").alias("body"), F.first("at").alias("at"), F.sum("n").alias("n")
+    )
+    finer = _repeated(materialize(finer, "contents"), length, steps[1:])
+    back = pieces.select("whole_anchor", "whole_content", "first", "anchor", "content").join(finer, ["anchor", "content"])
+    moved = F.transform("runs", lambda place: place + F.col("first"))
+    back = back.groupBy(F.col("whole_anchor").alias("anchor"), F.col("whole_content").alias("content")).agg(
+        F.flatten(F.collect_list(moved)).alias("runs")
+    )
+    return runs.union(back)
 
 
 RESULT_DDL = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary"
@@ -354,26 +423,8 @@ def remove_repeats(docs: DataFrame, length: int = 400, with_text: bool = False)
     parts = rows.join(wanted, "row", "left").select("row", "doc_id", "text", "anchors")
     parts = materialize(parts.mapInArrow(_split(length), PARTS_DDL), "parts")
     contents = parts.where("kind = 2").groupBy("anchor", "content")
-    contents = materialize(contents.agg(F.first("body").alias("body"), F.sum("n").alias("n")), "contents")
-    kinds = contents.groupBy("anchor").agg(F.count(F.lit(1)).alias("contents"))
-    kinds = contents.join(kinds, "anchor")
-    only = kinds.where("contents = 1 AND n > 1").select(
-        "anchor", "content", F.array(F.lit(0).cast("bigint"), (F.length("body") - length + 1).cast("bigint")).alias("runs")
-    )
-    some = kinds.where(f"contents BETWEEN 2 AND {MANY}").select("anchor", "content", "body", "n")
-    total = contents.agg(F.sum(F.length("body"))).first()[0] or 0
-    bucket = F.pmod(F.xxhash64("anchor"), F.lit(max(1, -(-total // BUCKET_BYTES))))
-    some = some.groupBy(bucket.alias("bucket")).applyInArrow(_sorted_bucket(length), RUNS_DDL)
-    many = materialize(
-        kinds.where(f"contents > {MANY}").select("anchor", "content", "body", "n").mapInArrow(
-            _windows(length), "anchor bigint, content binary, place bigint, window bigint, n bigint"
-        ),
-        "windows",
-    )
-    twice = many.groupBy("anchor", "window").agg(F.sum("n").alias("n")).where("n > 1").drop("n")
-    many = many.join(twice, ["anchor", "window"]).groupBy("anchor", "content").agg(F.collect_list("place").alias("places"))
-    many = many.mapInArrow(_gather_runs, RUNS_DDL)
-    runs = materialize(only.union(some).union(many), "runs")
+    contents = contents.agg(F.first("body").alias("body"), F.first("at").alias("at"), F.sum("n").alias("n"))
+    runs = materialize(_repeated(materialize(contents, "contents"), length, STEPS), "runs")
     places = parts.where("kind = 3").select("row", "anchor", "content", "first").join(runs, ["anchor", "content"])
     pair = F.transform(
         F.sequence(F.lit(0), (F.size("runs") / 2).cast("int") - 1),
