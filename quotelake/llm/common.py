@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import os
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -15,6 +16,24 @@ from quotelake.session import shared_folder
 LOWER_ASCII = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
+_claimed: dict[str, Callable[[], object]] = {}
+
+
+def claim(owner: str, clear: Callable[[], object]) -> None:
+    """Empty what other operators keep in this worker process between tasks."""
+    others = [n for n in _claimed if n != owner]
+    for name in others:
+        _claimed.pop(name)()
+    if others:
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+    _claimed[owner] = clear
+
+
+def nothing() -> None:
+    """For operators that keep nothing."""
+
+
 def materialize(df: DataFrame, purpose: str) -> DataFrame:
     """Write to the shared folder and read back.
 

@@ -21,10 +21,12 @@ import numpy as np  # noqa: E402
 import regex  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
+from quotelake.llm.common import claim  # noqa: E402
+
 # Spaces of any kind (and the controls that some call spaces), then what is up to the next.
 UNITS = regex.compile(r"[\s\x1c-\x1f]*[^\s\x1c-\x1f]+|[\s\x1c-\x1f]+")
-MAX_UNITS = 700_000
-MAX_IDS = 8_000_000
+MAX_UNITS = 500_000
+MAX_IDS = 4_000_000
 
 
 class _Words(dict):
@@ -113,4 +115,5 @@ class CachedEncoder:
 @functools.lru_cache(maxsize=2)
 def encoder(path: str) -> CachedEncoder:
     """One encoder per tokenizer and worker process."""
+    claim("encode", encoder.cache_clear)
     return CachedEncoder(path)

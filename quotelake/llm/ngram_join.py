@@ -50,12 +50,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.llm.common import LOWER_ASCII, materialize, regroup, texts_of
+from quotelake.llm.common import LOWER_ASCII, claim, materialize, regroup, texts_of
 from quotelake.llm.components import components
 
-BATCH_BYTES = 12 << 20
-RANGE_BYTES = 12 << 20
-MAX_WORDS = 500_000
+BATCH_BYTES = 5 << 20
+RANGE_BYTES = 6 << 20
+MAX_WORDS = 250_000
 FREQUENT = 64
 # Sets below this size have no token pairs.
 PAIRS_FROM = 16
@@ -107,6 +107,7 @@ def _send(size: int, bits: int):
     """Per batch and token range: tokens of the range, and the steps from document to document."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("ngram_join", _words.clear)
         task = TaskContext.get().partitionId() << 32
         for at, batch in enumerate(regroup(batches, "text", BATCH_BYTES)):
             sets = [shingle_set(t, size) for t in texts_of(batch.column("text"))]
@@ -155,16 +156,27 @@ SENT = pa.schema(
     ]
 )
 SENT_DDL = "batch bigint, range bigint, low binary, high binary, doc binary, about binary"
-ANSWER_DDL = "batch bigint, range bigint, token binary, count binary, doc binary, about binary"
+ANSWER_DDL = "batch bigint, range bigint, low binary, high binary, count binary, doc binary, about binary"
+MOST = 0xFFFF
 
 
-def _frequencies(bits: int):
+def _sent(low: bytes, high: bytes) -> np.ndarray:
+    """The 40 bits of each token that were sent."""
+    return np.frombuffer(low, "<u4").astype(U64) | np.frombuffer(high, "u1").astype(U64) << U64(32)
+
+
+def _whole(low: bytes, high: bytes, token_range: int, bits: int) -> np.ndarray:
+    """The tokens, with the bits of their range in front."""
+    rest = _sent(low, high) << U64(24) >> U64(bits)
+    return rest | (U64(token_range) << U64(64 - bits)) if bits else rest
+
+
+def _frequencies():
     """Of one token range: the tokens that several documents have, back to their batches."""
 
-    def count(key: tuple, table: pa.Table) -> pa.Table:
+    def count(table: pa.Table) -> pa.Table:
         low, high = table.column("low").to_pylist(), table.column("high").to_pylist()
-        parts = [np.frombuffer(a, "<u4").astype(U64) | np.frombuffer(b, "u1").astype(U64) << U64(32)
-                 for a, b in zip(low, high, strict=True)]
+        parts = [_sent(a, b) for a, b in zip(low, high, strict=True)]
         tokens = np.concatenate(parts)
         order = np.argsort(tokens)
         ranked = tokens[order]
@@ -173,24 +185,22 @@ def _frequencies(bits: int):
         counts = np.diff(np.concatenate([begins, [len(ranked)]]))
         found = np.empty(len(tokens), np.int64)
         found[order] = np.repeat(counts, counts)
-        top = U64(key[0].as_py()) << U64(64 - bits) if bits else U64(0)
-        out = {"batch": table.column("batch").to_pylist(), "range": table.column("range").to_pylist(),
-               "token": [], "count": [], "doc": [], "about": table.column("about").to_pylist()}
+        out = {name: [] for name in ("batch", "range", "low", "high", "count", "doc", "about")}
+        for name in ("batch", "range", "about"):
+            out[name] = table.column(name).to_pylist()
         at = 0
         for part, docs in zip(parts, table.column("doc").to_pylist(), strict=True):
             n = found[at : at + len(part)]
             at += len(part)
             shared = n > 1
             doc = np.cumsum(np.frombuffer(docs, "<u2").astype(np.int64))[shared]
-            whole = (part[shared] << U64(24) >> U64(bits)) | top
-            out["token"].append(whole.astype("<u8").tobytes())
-            out["count"].append(np.minimum(n[shared], 0xFFFFFFFF).astype("<u4").tobytes())
+            out["low"].append((part[shared] & U64(0xFFFFFFFF)).astype("<u4").tobytes())
+            out["high"].append((part[shared] >> U64(32)).astype("u1").tobytes())
+            # Frequencies only put tokens in order: above this they are all alike.
+            out["count"].append(np.minimum(n[shared], MOST).astype("<u2").tobytes())
             out["doc"].append(np.diff(doc, prepend=0).astype("<u2").tobytes())
-        return pa.Table.from_pydict(
-            out,
-            pa.schema([("batch", pa.int64()), ("range", pa.int64()), ("token", pa.binary()), ("count", pa.binary()),
-                       ("doc", pa.binary()), ("about", pa.binary())]),
-        )
+        kinds = [pa.int64(), pa.int64(), *[pa.binary()] * 5]
+        return pa.table({name: pa.array(v, kind) for (name, v), kind in zip(out.items(), kinds, strict=True)})
 
     return count
 
@@ -242,15 +252,16 @@ CANDIDATE_DDL = (
 )
 
 
-def _candidates(percent: int):
+def _candidates(percent: int, bits: int):
     """Of one batch: every document, with signatures where it may have partners."""
 
     def gather(table: pa.Table) -> pa.Table:
         about = next(a for a in table.column("about").to_pylist() if a is not None)
         docs = pa.ipc.open_stream(about).read_all().combine_chunks()
         sizes = docs.column("n").to_numpy()
-        tokens = [np.frombuffer(t, "<u8") for t in table.column("token").to_pylist()]
-        counts = [np.frombuffer(t, "<u4") for t in table.column("count").to_pylist()]
+        parts = (table.column(c).to_pylist() for c in ("range", "low", "high"))
+        tokens = [_whole(low, high, r, bits) for r, low, high in zip(*parts, strict=True)]
+        counts = [np.frombuffer(t, "<u2") for t in table.column("count").to_pylist()]
         owner = [np.cumsum(np.frombuffer(d, "<u2").astype(np.int64)) for d in table.column("doc").to_pylist()]
         tokens, counts, owner = np.concatenate(tokens), np.concatenate(counts), np.concatenate(owner)
         order = np.lexsort((tokens, owner))
@@ -297,8 +308,8 @@ def similar_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
     # About one token in six bytes, six bytes a token.
     bits = max(0, math.ceil(math.log2(max(1, size / RANGE_BYTES))))
     sent = docs.select("doc_id", "text").mapInArrow(_send(words, bits), SENT_DDL)
-    answers = sent.groupBy("range").applyInArrow(_frequencies(bits), ANSWER_DDL)
-    rows = materialize(answers.groupBy("batch").applyInArrow(_candidates(percent), CANDIDATE_DDL), "sets")
+    answers = sent.groupBy("range").applyInArrow(_frequencies(), ANSWER_DDL)
+    rows = materialize(answers.groupBy("batch").applyInArrow(_candidates(percent, bits), CANDIDATE_DDL), "sets")
     keys = ["f0", "f1", "n"]
     classes = rows.where("sigs IS NOT NULL").groupBy(*keys).agg(
         *[F.first(c).alias(c) for c in ("tokens", "sigs", "places")]
@@ -350,9 +361,10 @@ def similar_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
     ids = rows.groupBy(*keys).agg(F.min("doc_id").alias("least"))
     ids = materialize(ids.join(linked, same, "left").select(*keys, "least", "component"), "ids")
     tops = ids.where("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("top"))
-    ids = ids.join(tops, "component", "left").select(
-        *[F.col(k).alias(f"k_{k}") for k in keys], F.coalesce("top", "least").alias("component_id")
-    )
+    # Sets without a component are most of all: they stay out of the join.
+    names = [F.col(k).alias(f"k_{k}") for k in keys]
+    alone = ids.where("component IS NULL").select(*names, F.col("least").alias("component_id"))
+    ids = ids.join(tops, "component").select(*names, F.col("top").alias("component_id")).union(alone)
     out = rows.join(ids, same)
     own_id = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), own_id.alias("component_id"))
