@@ -87,9 +87,12 @@ def balanced_shards(docs: DataFrame, shards: int = 40, rounds: int = 4) -> DataF
     total = base.count()
     blocks = blocks_for(total)
     copies = base.groupBy("grp", "size", "text_crc32").agg(F.count(F.lit(1)).alias("links"))
+    # A table of its own, so that a large group's side of the join can be split.
+    copies = materialize(copies.where("links > 1"), "groups")
     dealt = numbered(base, [], ["rid"], _place(F.col("rid")), blocks, "number")
     rows = materialize(
-        dealt.join(copies, ["grp", "size", "text_crc32"])
+        dealt.join(copies, ["grp", "size", "text_crc32"], "left")
+        .withColumn("links", F.coalesce("links", F.lit(1).cast("bigint")))
         .withColumn("grp", F.xxhash64("grp", "size", "text_crc32"))
         .withColumn("shard", F.pmod("number", F.lit(shards)).cast("int"))
         .drop("number"),
