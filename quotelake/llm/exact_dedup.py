@@ -24,11 +24,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.llm.common import LOWER_ASCII, materialize, texts_of
+from quotelake.llm.common import LOWER_ASCII, claim, materialize, nothing, texts_of
 
 SLOTS = 4
 MAX_KICKS = 200
-INDEX_ROWS = 200_000
+FOLD_ROWS = 200_000
+INDEX_ROWS = 2_000
 
 
 class CuckooIndex:
@@ -107,6 +108,7 @@ class CuckooIndex:
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    claim("exact_dedup", nothing)
     for batch in batches:
         digests = [hashlib.sha256(t.translate(LOWER_ASCII)).digest() for t in texts_of(batch.column("text"))]
         yield pa.RecordBatch.from_arrays(
@@ -136,7 +138,7 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, digest in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             top, n = held.get(digest, (None, 0))
             held[digest] = (_later(top, doc), n + 1)
-        if len(held) >= INDEX_ROWS:
+        if len(held) >= FOLD_ROWS:
             yield flush(held)
             held = {}
     if held:
@@ -175,7 +177,7 @@ def exact_dedup(docs: DataFrame, removed: DataFrame | None = None) -> DataFrame:
     digests = materialize(
         docs.select("doc_id", "text").mapInArrow(_digests, "doc_id bigint, digest binary"), "digests"
     )
-    shards = max(1, -(-digests.count() // INDEX_ROWS)) * 4
+    shards = max(1, -(-digests.count() // INDEX_ROWS))
     shard = F.pmod(F.xxhash64("digest"), F.lit(shards)).cast("int")
     schema = "digest binary, keep_id bigint, group_size bigint"
     entries = digests.mapInArrow(_fold, schema).withColumn("shard", shard)
