@@ -25,12 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.llm.common import LOWER_ASCII, regroup, texts_of
+from quotelake.llm.common import LOWER_ASCII, claim, regroup, texts_of
 
 WINDOW = 13
 MAX_ITEM_BYTES = 256 << 20
 BLOCK_WORDS = 200_000
-BATCH_BYTES = 32 << 20
+BATCH_BYTES = 16 << 20
 
 # Words are runs of digits, letters after lower-casing and bytes from 0x80; the rest separates.
 WORD_BYTES = bytes(
@@ -189,6 +189,7 @@ _built: dict[bytes, Automaton] = {}
 def _automata(items: Sequence[tuple[str | None, bytes]], window: int) -> Iterator[Automaton]:
     if sum(len(t) for _, t in items) <= 4 * BLOCK_WORDS:
         # One block: kept by the worker process for its next task.
+        claim("decontamination", _built.clear)
         digest = hashlib.sha256(repr((window, items)).encode()).digest()
         if digest not in _built:
             _built.clear()
@@ -202,13 +203,19 @@ def _automata(items: Sequence[tuple[str | None, bytes]], window: int) -> Iterato
 def _hits(
     texts: Sequence[bytes], items: Sequence[tuple[str | None, bytes]], window: int
 ) -> tuple[list[bytearray], list[set[str | None]]]:
-    """By text: a mark for every word, and the items hit."""
-    words = [words_of(t) for t in texts]
-    marks = [bytearray(len(w)) for w in words]
-    found: list[set[str | None]] = [set() for _ in words]
+    """By text: a mark for every word, and the items hit. The words of one text are held at a time."""
+    marks = [bytearray() for _ in texts]
+    found: list[set[str | None]] = [set() for _ in texts]
+    first = True
     for automaton in _automata(items, window):
-        for each in zip(words, marks, found, strict=True):
-            automaton.scan(*each)
+        for i, text in enumerate(texts):
+            words = words_of(text)
+            if first:
+                marks[i] = bytearray(len(words))
+            automaton.scan(words, marks[i], found[i])
+        first = False
+    if first:
+        marks = [bytearray(len(words_of(t))) for t in texts]
     return marks, found
 
 

@@ -28,7 +28,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.llm.common import LOWER_ASCII, regroup, texts_of
+from quotelake.llm.common import LOWER_ASCII, claim, nothing, regroup, texts_of
 
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -179,6 +179,7 @@ SCHEMA = "doc_id bigint, held_out boolean, lang_pred string, score double"
 
 
 def _labels(model: ByteConvNet | None, texts: list[bytes]) -> list[tuple[str, float]]:
+    claim("language_id", nothing)
     worded = [i for i, t in enumerate(texts) if LETTER.search(t.decode())]
     out = [("und", 0.0)] * len(texts)
     if worded and model is not None:
