@@ -43,15 +43,21 @@ class _Words(dict):
 
 
 class CachedEncoder:
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, added: bool = False) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
         self.vocab = self.tokenizer.get_vocab_size()
+        tokens = [t for t in self.tokenizer.get_added_tokens_decoder().values() if added or not t.special]
+        # Those that take in spaces around them or need a word's bounds are left to the library.
+        self.apart = not any(t.lstrip or t.rstrip or t.single_word or t.content[-1:].isspace() for t in tokens)
+        longest = sorted((t.content for t in tokens), key=len, reverse=True)
+        self.added = regex.compile(f"({'|'.join(map(regex.escape, longest))})") if longest else None
         self._reset()
 
     def _reset(self) -> None:
         self.words = _Words(self, " ")
         self.heads = _Words(self, "\n")
+        self.marks = _Words(self, "")
         self.new: list[str] = []
         self.ids = array("I")
         self.starts = array("q")
@@ -63,7 +69,22 @@ class CachedEncoder:
         return len(self.starts) + len(self.new) - 1
 
     def _rows(self, text: str) -> list[int]:
-        """Rows of the text's units; units start before a space or line feed that follows a non-space."""
+        """Rows of the text's units."""
+        if self.added is None or not self.added.search(text):
+            return self._units(text)
+        if not self.apart:
+            return [self._add(text)]
+        rows: list[int] = []
+        for k, part in enumerate(self.added.split(text)):
+            if k % 2:
+                rows.append(self.marks[part])
+            elif part:
+                rows.extend(self._units(part))
+        return rows
+
+    def _units(self, text: str) -> list[int]:
+        """Rows of the units of a text without added tokens; they start before a space or line feed that follows a
+        non-space."""
         first, *lines = text.split("\n")
         head, *words = first.split(" ")
         rows = [self._add(head) if head and not head[-1].isspace() else -1]
@@ -113,7 +134,7 @@ class CachedEncoder:
 
 
 @functools.lru_cache(maxsize=2)
-def encoder(path: str) -> CachedEncoder:
-    """One encoder per tokenizer and worker process."""
+def encoder(path: str, added: bool = False) -> CachedEncoder:
+    """One encoder per tokenizer, reading of added tokens and worker process."""
     claim("encode", encoder.cache_clear)
-    return CachedEncoder(path)
+    return CachedEncoder(path, added)

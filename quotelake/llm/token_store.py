@@ -92,7 +92,7 @@ def fingerprints(keys: np.ndarray) -> np.ndarray:
 
 def _write_shards(tokenizer: str, end: int, folder: str):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, added=True)
         width = np.dtype("<u2" if max(enc.vocab, end + 1) <= 65536 else "<u4")
         store, base = fs.FileSystem.from_uri(folder)
         shard = TaskContext.get().partitionId()
