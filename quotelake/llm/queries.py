@@ -11,11 +11,14 @@ from quotelake.llm.chat import format_chats
 from quotelake.llm.common import table
 from quotelake.llm.decontamination import decontaminate
 from quotelake.llm.exact_dedup import exact_dedup
+from quotelake.llm.fingerprints import compare_with_next
 from quotelake.llm.language_id import predict_languages
 from quotelake.llm.ngram_join import similar_documents
 from quotelake.llm.packing import pack_documents
+from quotelake.llm.periodic_runs import run_digests
 from quotelake.llm.quality import score_quality
 from quotelake.llm.sharding import balanced_shards
+from quotelake.llm.spelling import TYPO_EVERY, spelling_variants
 from quotelake.llm.suffix_dedup import remove_repeats
 from quotelake.llm.token_store import token_digest
 
@@ -62,6 +65,18 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"), length=400)
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"), typo_every=TYPO_EVERY)
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compare_with_next(table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_ngram_join": op2_ngram_join,
@@ -73,6 +88,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_language_id": op10_language_id,
+    "op11_spelling": op11_spelling,
+    "op12_fingerprints": op12_fingerprints,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
