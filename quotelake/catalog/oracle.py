@@ -919,6 +919,18 @@ ORACLE: dict[str, str] = {
         sum(event_id)::BIGINT AS ids, count(*) - 1 AS last_number, count(*) AS numbers, 0 AS absent_length
         FROM events GROUP BY 1""",
     "earnings_feed": EARNINGS,
+    "rank_feed": """WITH chosen AS (
+          SELECT *, event_id % 4 AS kind, strftime(ts, '%Y-%m-%d') AS d FROM events
+          WHERE event_id % 4 = day(ts) % 4 OR day(ts) % 3 = 0)
+        SELECT coalesce(CASE WHEN kind <> 1 THEN d END,
+            min(CASE WHEN kind <> 1 THEN d END) OVER (PARTITION BY d)) AS "date", 'U' || user_id AS symbol,
+          NULL::VARCHAR AS "marketCap", event_id::VARCHAR AS vol, event_type AS name, NULL::VARCHAR AS "SCTR",
+          NULL::VARCHAR AS delta, NULL::VARCHAR AS industry, NULL::VARCHAR AS sector, NULL::VARCHAR AS close,
+          CASE kind WHEN 0 THEN 'large' WHEN 1 THEN 'mid' WHEN 2 THEN 'small' ELSE 'etf' END AS marketcaptype,
+          strftime(ts, '%Y%m%d') AS file_version_date FROM chosen""",
+    "late_and_corrected_files": """SELECT strftime(ts, '%Y%m%d') AS file_version_date, count(*) AS rows_read,
+        sum(event_id)::BIGINT AS ids, 0 AS taken_again FROM events
+        WHERE event_id % 2 = 1 OR day(ts) % 2 = 1 OR user_id % 3 = 0 GROUP BY 1""",
     "bars_feed": """SELECT strftime(ts, '%Y%m%d') AS file_version_date, count(*) AS bars,
         sum(event_id)::DOUBLE AS open, sum(event_id + 4)::DOUBLE AS volume FROM events GROUP BY 1""",
     "rerun_to_empty": """SELECT strftime(ts, '%Y%m%d') AS file_version_date, event_type, count(*) AS events,
@@ -931,6 +943,6 @@ ORACLE: dict[str, str] = {
     "append_gzip": """SELECT c_name AS name, c_nationkey AS nation, 'c' AS source FROM customer
         UNION ALL SELECT s_name, s_nationkey, 's' FROM supplier""",
     "quarter_days": """SELECT d::DATE AS day, count(o_orderkey) AS orders
-        FROM generate_series(DATE '1992-01-01', DATE '1992-03-31', INTERVAL 1 DAY) g(d)
+        FROM (SELECT unnest(generate_series(min(o_orderdate)::DATE, max(o_orderdate)::DATE, INTERVAL 1 DAY)) AS d FROM orders)
         LEFT JOIN orders ON o_orderdate::DATE = d::DATE GROUP BY 1""",
 }

@@ -22,15 +22,15 @@ from quotelake.operators import (
     conditional_pivot,
     date_dimension,
     date_windows,
-    day_series,
+    days_spanned,
     first_record,
     full_outer_merge,
     latest_flag,
     latest_snapshot,
     peer_percentile,
+    ranged_neighbours,
     share_of_partition,
     stack_frames,
-    value_neighbours,
     zscore,
 )
 from quotelake.plans import feeds, flow, fundamentals, ingest, master, screener, summary, trades
@@ -311,7 +311,7 @@ def order_neighbours(spark: SparkSession, sf: str) -> DataFrame:
         .groupBy("o_custkey", F.col("o_orderdate").cast("date").alias("day"))
         .agg(F.sum(F.floor("o_totalprice")).alias("value"))
     )
-    return value_neighbours(daily, ["o_custkey"], ["day"], "value")
+    return ranged_neighbours(daily, ["o_custkey"], ["day"], "value")
 
 
 def return_shares(spark: SparkSession, sf: str) -> DataFrame:
@@ -493,8 +493,11 @@ def csv_ingest(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _deliver(rows: DataFrame, folder: str, kind: str) -> None:
-    """Write one vendor file per date, named by it: ``value`` is its text, or all columns of a CSV."""
+def _deliver(rows: DataFrame, folder: str, kind: str, name: str = "feed") -> None:
+    """Write one vendor file per date, named by it: ``value`` is its text, or all columns of a CSV.
+
+    A file that is there already is replaced.
+    """
     spark = rows.sparkSession
     draft = shared_folder(spark, "draft")
     writer = rows.repartition("file_version_date").write.partitionBy("file_version_date")
@@ -508,7 +511,8 @@ def _deliver(rows: DataFrame, folder: str, kind: str) -> None:
     fs.mkdirs(path(folder))
     for date in list_partitions(spark, draft):
         for file in fs.globStatus(path(f"{draft}/file_version_date={date}/part-*")):
-            fs.rename(file.getPath(), path(f"{folder}/feed_{date}.{kind}"))
+            fs.delete(path(f"{folder}/{name}_{date}.{kind}"), False)
+            fs.rename(file.getPath(), path(f"{folder}/{name}_{date}.{kind}"))
 
 
 def _json_files(rows: DataFrame, item: Column, head: Column | None = None, envelope: str = "{}") -> DataFrame:
@@ -574,7 +578,7 @@ def json_stage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def earnings_feed(spark: SparkSession, sf: str) -> DataFrame:
-    """Reported and upcoming JSON files by month, staged in two runs."""
+    """Reported and upcoming JSON files by month, staged in two runs; some months have one kind only."""
     base = shared_folder(spark, "earnings")
     early = F.col("file_version_date") < "19950101"
     for delivery in (early, ~early):
@@ -582,15 +586,52 @@ def earnings_feed(spark: SparkSession, sf: str) -> DataFrame:
             chosen = rows.where(delivery)
             item = F.to_json(F.struct(*[c for c in rows.columns if c != "file_version_date"]))
             _deliver(_json_files(chosen, item, envelope='{"earningsDates":{}}'), f"{base}/{name}", "json")
-        # A month may have upcoming earnings only: its reported file is then empty.
-        months = roles.earnings(spark, sf)[1].where(delivery).select("file_version_date").distinct()
-        known = roles.earnings(spark, sf)[0].select("file_version_date").distinct()
-        none = months.join(known, "file_version_date", "left_anti").withColumn("value", F.lit('{"earningsDates":[]}'))
-        _deliver(none, f"{base}/reported", "json")
         ingest.stage_earnings(spark, f"{base}/reported", f"{base}/upcoming", f"{base}/stage")
     return read_partitioned(spark, f"{base}/stage")
 
 
+def rank_feed(spark: SparkSession, sf: str) -> DataFrame:
+    """Technical-rank files of each class, staged in two runs; two days in three have one class only.
+
+    The files of the large class come first; the others of those days come late.
+    """
+    base = shared_folder(spark, "ranks")
+    day = F.to_date("file_version_date", "yyyyMMdd")
+    turn = (F.dayofmonth(day) % 4).cast("int")
+    kind = (F.col("event_id") % 4).cast("int")
+    rows = _day_rows(spark, sf).withColumn("kind", kind).where((kind == turn) | (F.dayofmonth(day) % 3 == 0))
+    item = F.to_json(F.struct(
+        F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("symbol"),
+        F.col("event_id").cast("string").alias("vol"), F.col("event_type").alias("name"),
+    ))
+    # Files of the mid class name no date.
+    head = F.when(F.col("kind") == 1, "{}").otherwise(F.to_json(F.struct(F.date_format(day, "yyyy-MM-dd").alias("date"))))
+    paths = {name: f"{base}/{name}" for name in roles.CLASSES}
+    for delivery in ([0], [1, 2, 3]):
+        for i in delivery:
+            _deliver(_json_files(rows.where(F.col("kind") == i), item, head), paths[roles.CLASSES[i]], "json")
+        ingest.stage_technical_rank(spark, paths, f"{base}/stage")
+    return read_partitioned(spark, f"{base}/stage")
+
+
+def late_and_corrected_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Daily CSV files, then a second file of each day and corrected first ones of odd days."""
+    base = shared_folder(spark, "late")
+    rows = _day_rows(spark, sf)
+    first, odd_day = F.col("event_id") % 2 == 0, F.substring("file_version_date", 8, 1).cast("int") % 2 == 1
+    _deliver(rows.where(first & (F.col("user_id") % 3 == 0)), f"{base}/in", "csv")
+    ingest.build_raw(spark, f"{base}/in", f"{base}/raw")
+    _deliver(rows.where(~first), f"{base}/in", "csv", "late")
+    _deliver(rows.where(first & odd_day), f"{base}/in", "csv")
+    ingest.build_raw(spark, f"{base}/in", f"{base}/raw", follow_changes=True)
+    # Nothing is new for a third run.
+    again = ingest.build_raw(spark, f"{base}/in", f"{base}/raw", follow_changes=True)
+    return read_partitioned(spark, f"{base}/raw").groupBy("file_version_date").agg(
+        F.count(F.lit(1)).alias("rows_read"), F.sum(try_bigint("event_id")).alias("ids"),
+        F.lit(len(again)).alias("taken_again"),
+    )
+
+
 def bars_feed(spark: SparkSession, sf: str) -> DataFrame:
     """Price bars of a day inside one envelope, staged."""
     base = shared_folder(spark, "bars")
@@ -657,9 +698,9 @@ def append_gzip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def quarter_days(spark: SparkSession, sf: str) -> DataFrame:
-    """Every day of the first quarter that has orders, with its orders."""
+    """Every day from the first to the last order, with its orders."""
     orders = table(spark, sf, "orders")
-    days = day_series(spark, "1992-01-01", 91)
+    days = days_spanned(orders, "o_orderdate")
     counts = orders.groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count(F.lit(1)).alias("orders"))
     return days.join(counts, "day", "left").select("day", F.coalesce("orders", F.lit(0)).alias("orders"))
 
@@ -743,6 +784,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         csv_stage_renamed,
         json_stage,
         earnings_feed,
+        rank_feed,
+        late_and_corrected_files,
         bars_feed,
         rerun_to_empty,
         empty_date_once,

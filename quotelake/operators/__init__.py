@@ -1,6 +1,6 @@
 """Generic DataFrame operators the data products are built from."""
 
-from quotelake.operators.calendar import date_dimension, date_windows, day_series
+from quotelake.operators.calendar import date_dimension, date_windows, day_series, days_spanned
 from quotelake.operators.conform import add_literal, conform, stack_frames
 from quotelake.operators.cube import (
     WeightedAverage,
@@ -13,6 +13,7 @@ from quotelake.operators.cube import (
 from quotelake.operators.golden import first_record
 from quotelake.operators.joins import attach, full_outer_merge, keep_matching
 from quotelake.operators.pivot import attribute_pivot, conditional_pivot
+from quotelake.operators.ranges import range_blocks, ranged_neighbours
 from quotelake.operators.ranks import dense_rank_of_distinct, peer_percentile
 from quotelake.operators.stats import (
     attach_group_stats,
@@ -36,6 +37,7 @@ __all__ = [
     "date_dimension",
     "date_windows",
     "day_series",
+    "days_spanned",
     "dense_rank_of_distinct",
     "first_record",
     "full_outer_merge",
@@ -45,6 +47,8 @@ __all__ = [
     "latest_snapshot",
     "lowest",
     "peer_percentile",
+    "range_blocks",
+    "ranged_neighbours",
     "share_of_partition",
     "stack_frames",
     "total",

@@ -22,6 +22,12 @@ def day_series(spark: SparkSession, start: str = CALENDAR_START, days: int = CAL
     return spark.range(days).select(F.date_add(first, F.col("id").cast("int")).alias("day"))
 
 
+def days_spanned(df: DataFrame, date: str) -> DataFrame:
+    """One row per day from the least to the greatest ``date``, in column ``day``; none where there is no date."""
+    ends = df.agg(F.min(F.to_date(date)).alias("first"), F.max(F.to_date(date)).alias("last"))
+    return ends.where(F.col("first").isNotNull()).select(F.explode(F.sequence("first", "last")).alias("day"))
+
+
 def date_dimension(days: DataFrame, day: str = "day") -> DataFrame:
     """The 29 calendar columns of each distinct date in ``days``."""
     d = F.col("__d")

@@ -9,29 +9,7 @@ from pyspark.sql import functions as F
 
 from quotelake.functions import round_scaled
 from quotelake.operators.joins import attach
-
-# Value ranges per power of two. Range numbers follow the order of the values,
-# so counting whole ranges and then ranking inside one is exact.
-RANGES_PER_OCTAVE = 16384
-_OCTAVES = 1100  # more than the exponents of a double
-
-
-def _value_range(value: Column) -> Column:
-    """Number of the range a double falls in; monotone, NULL and NaN last."""
-    top = _OCTAVES * RANGES_PER_OCTAVE * 4
-    size = F.abs(value)
-    endless = size == F.lit(float("inf"))
-    step = F.floor(F.log2(size) * RANGES_PER_OCTAVE) + F.lit(_OCTAVES * RANGES_PER_OCTAVE)
-    return (
-        F.when(value.isNull(), top + 2)
-        .when(F.isnan(value), top + 1)
-        .when(value == 0, 0)
-        .when(endless & (value > 0), top)
-        .when(endless, -top)
-        .when(value > 0, step)
-        .otherwise(-step)
-    ).cast("long")
-
+from quotelake.operators.ranges import BLOCK, range_blocks
 
 def _window_rank(value: Column, by: Sequence[str], digits: int, null_metric: str) -> Column:
     peers = Window.partitionBy(*by)
@@ -52,15 +30,17 @@ def peer_percentile(
     digits: int = 4,
     null_metric: str = "last",
     small_groups: bool = False,
+    parts: int | None = None,
 ) -> DataFrame:
     """Add ``PERCENT_RANK() OVER (PARTITION BY by ORDER BY x)`` per metric.
 
     ``cols`` maps output names to metrics and ``key`` identifies a row. A
     window would sort each group in one task, once per metric. Here all metrics
     go through the same distributed steps: count the rows per distinct value,
-    count per value range, add up the ranges before (few per group), rank the
-    distinct values inside a range, and look every row's value up. Ties and hot
-    values collapse in the first step.
+    deal the values to ranges by sampled splitters, add up the ranges before
+    (few per group), rank the distinct values inside a range, and look every
+    row's value up. Ties and hot values collapse in the first step, and a dense
+    stretch of values spans many ranges. ``parts`` fixes their number.
 
     A NULL metric ranks above all values (``null_metric="last"``) or gets no
     percentile and is not a peer (``"ignore"``). ``small_groups`` is for groups
@@ -81,22 +61,19 @@ def peer_percentile(
         long = long.where(F.col("__value").isNotNull())
 
     metric = [*by, "__metric"]
-    span = [*metric, "__range"]
-    values = (
-        long.groupBy(*metric, "__value")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .withColumn("__range", _value_range(F.col("__value")))
-    )
+    span = [*metric, BLOCK]
+    values = long.groupBy(*metric, "__value").agg(F.count(F.lit(1)).alias("__n"))
+    values = range_blocks(values, [*metric, "__value"], parts)
     ranges = values.groupBy(*span).agg(F.sum("__n").alias("__range_n"))
     whole = Window.partitionBy(*metric)
-    earlier_ranges = whole.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    earlier_ranges = whole.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     offsets = ranges.select(
         *span,
         F.coalesce(F.sum("__range_n").over(earlier_ranges), F.lit(0)).alias("__before"),
         F.sum("__range_n").over(whole).alias("__peers"),
     )
     earlier_values = (
-        Window.partitionBy(*span).orderBy("__value").rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*span).orderBy(F.col("__value").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
     )
     below = F.col("__before") + F.coalesce(F.sum("__n").over(earlier_values), F.lit(0))
     peers = F.col("__peers") - 1

@@ -25,14 +25,22 @@ RAW_FEEDS = ["darkpool", "hotchains", "oichanges", "optiontrades", "optionscreen
 
 
 def build_raw(
-    spark: SparkSession, paths: str | Sequence[str], target: str, rerun: Sequence[str] = (), multiline: bool = False
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    target: str,
+    rerun: Sequence[str] = (),
+    multiline: bool = False,
+    follow_changes: bool = False,
 ) -> list[str]:
-    """CSV to text Parquet with a unique row id, one partition per file date."""
+    """CSV to text Parquet with a unique row id, one partition per file date.
+
+    ``follow_changes`` takes dates again whose files came late or were corrected.
+    """
 
     def read(spark: SparkSession, files: Sequence[str]) -> DataFrame:
         return read_csv_by_header(spark, files, multiline=multiline)
 
-    return FileFeedJob({"rows": (paths, read)}, lambda rows: with_row_id(rows), target).run(spark, rerun)
+    return FileFeedJob({"rows": (paths, read)}, lambda rows: with_row_id(rows), target, follow_changes=follow_changes).run(spark, rerun)
 
 
 def build_raw_feeds(spark: SparkSession, landing: str, raw: str, rerun: Sequence[str] = ()) -> dict[str, list[str]]:
@@ -46,11 +54,12 @@ def stage_csv(
     target: str,
     renames: Mapping[str, str],
     rerun: Sequence[str] = (),
+    multiline: bool = False,
 ) -> list[str]:
     """CSV to renamed text Parquet; absent fields are ''."""
 
     def read(spark: SparkSession, files: Sequence[str]) -> DataFrame:
-        return read_csv_by_header(spark, files, null_as_empty=True)
+        return read_csv_by_header(spark, files, null_as_empty=True, multiline=multiline)
 
     return FileFeedJob({"rows": (paths, read)}, lambda rows: conform(rows, rename=renames), target).run(spark, rerun)
 
@@ -76,12 +85,15 @@ def stage_json(
 def stage_earnings(
     spark: SparkSession, reported: str | Sequence[str], upcoming: str | Sequence[str], target: str, rerun: Sequence[str] = ()
 ) -> list[str]:
-    """Reported and upcoming earnings files of a date to one table."""
+    """Reported and upcoming earnings files of a date to one table; either may be missing, or come later."""
 
     def read(names: Sequence[str]):
         return lambda spark, files: read_envelope_rows(spark, files, "earningsDates", string_schema(names))
 
-    def merge(left: DataFrame, right: DataFrame | None) -> DataFrame:
+    def merge(left: DataFrame | None, right: DataFrame | None) -> DataFrame:
+        if left is None:
+            none = string_schema([*feeds.REPORTED_EARNINGS, feeds.DAY])
+            left = right.sparkSession.createDataFrame([], none)
         if right is None:
             right = left.select("Symbol", feeds.DAY).limit(0)
         return feeds.earnings_calendar(left, right)
@@ -90,7 +102,7 @@ def stage_earnings(
         "left": (reported, read(feeds.REPORTED_EARNINGS)),
         "right": (upcoming, read(list(feeds.UPCOMING_EARNINGS))),
     }
-    return FileFeedJob(sources, merge, target).run(spark, rerun)
+    return FileFeedJob(sources, merge, target, follow_changes=True).run(spark, rerun)
 
 
 def stage_analyst_scores(
@@ -109,7 +121,7 @@ def stage_analyst_scores(
 def stage_technical_rank(
     spark: SparkSession, paths: Mapping[str, str | Sequence[str]], target: str, rerun: Sequence[str] = ()
 ) -> list[str]:
-    """Header-plus-rows files of each capitalisation class (``largecap``, ...)."""
+    """Header-plus-rows files of each capitalisation class (``largecap``, ...); some may be missing, or come later."""
     row = string_schema([c for c in feeds.TECHNICAL_COLUMNS if c not in ("date", "marketcaptype", feeds.DAY)])
 
     def read(spark: SparkSession, files: Sequence[str]) -> DataFrame:
@@ -118,7 +130,7 @@ def stage_technical_rank(
     def stack(**frames: DataFrame | None) -> DataFrame:
         return feeds.technical_rank({name: f for name, f in frames.items() if f is not None})
 
-    return FileFeedJob({name: (p, read) for name, p in paths.items()}, stack, target).run(spark, rerun)
+    return FileFeedJob({name: (p, read) for name, p in paths.items()}, stack, target, follow_changes=True).run(spark, rerun)
 
 
 def stage_bars(spark: SparkSession, paths: str | Sequence[str], target: str, rerun: Sequence[str] = ()) -> list[str]:

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import logging
+from collections import defaultdict
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
-from quotelake.sources.files import dated_files
+from quotelake.sources.files import file_manifest
 from quotelake.sources.lake import (
     PARTITION,
     list_partitions,
+    path_exists,
     pending_values,
     processed_values,
     read_partitioned,
@@ -22,6 +26,8 @@ from quotelake.sources.lake import (
 
 log = logging.getLogger(__name__)
 
+FILE_FIELDS = "source string, file string, length bigint, modified timestamp"
+
 
 @dataclass
 class _DatedJob:
@@ -60,6 +66,9 @@ class _DatedJob:
         frames = {name: self._load(spark, name, values) for name in self.sources}
         result = self.transform(**frames)
         replace_partitions(result, self.target, values, self.partition_col, self.compression, self.sort_by)
+        self._record(spark, values)
+
+    def _record(self, spark: SparkSession, values: Sequence[str]) -> None:
         record_processed(spark, self._ledger, values, self.partition_col)
 
     def _attempt(self, spark: SparkSession, values: list[str]) -> list[str]:
@@ -105,22 +114,99 @@ class FileFeedJob(_DatedJob):
     """The same for vendor files whose names end in their date.
 
     ``sources`` maps argument names of ``transform`` to (paths, reader); a
-    reader takes (spark, files) and returns a frame with the date column. A
-    date is pending when the first source and every ``required`` one has a file
-    of it. Only files of pending dates are opened.
+    reader takes (spark, files) and returns a frame with the date column, and
+    ``transform`` gets None for a source without a file of the dates at hand.
+
+    A date exists when any source has a file of it, and every ``required`` one.
+    A manifest beside the target keeps the files that made each date, with
+    their lengths and modification times. A date without entries is pending;
+    with ``follow_changes`` also one whose files are not those any more: a file
+    came late, was corrected or was taken away while others stay. Files that
+    all went (an archive) change nothing. Dates that a list of processed dates
+    has and the manifest has not are from before the manifest, and done. Only
+    files of pending dates are opened.
     """
 
     required: Sequence[str] = ()
+    follow_changes: bool = False
+
+    @property
+    def _manifest(self) -> str:
+        return f"{self.ledger or self.target}/_files"
+
+    def _current(self, spark: SparkSession) -> DataFrame:
+        """Every file of the dates that exist."""
+        col = self.partition_col
+        found = [
+            file_manifest(spark, paths, col=col).withColumn("source", F.lit(name))
+            for name, (paths, _) in self.sources.items()
+        ]
+        files = reduce(DataFrame.unionByName, found)
+        if not self.required:
+            return files
+        whole = files.where(F.col("source").isin(list(self.required))).groupBy(col)
+        whole = whole.agg(F.countDistinct("source").alias("n")).where(F.col("n") == len(set(self.required)))
+        return files.join(whole, col, "left_semi")
+
+    def _recorded(self, spark: SparkSession) -> DataFrame | None:
+        """The files of the last time each date was written."""
+        if not path_exists(spark, self._manifest):
+            return None
+        col = self.partition_col
+        entries = spark.read.schema(f"{col} string, {FILE_FIELDS}, run bigint").parquet(self._manifest)
+        last = entries.groupBy(col).agg(F.max("run").alias("run"))
+        self._last_run = last.agg(F.max("run")).first()[0] or 0
+        return entries.join(last, [col, "run"]).drop("run")
+
+    def _pending(self, spark: SparkSession, rerun: Sequence[str]) -> DataFrame:
+        """Files of the dates to process."""
+        col = self.partition_col
+        files, recorded = self._current(spark), self._recorded(spark)
+        if rerun:
+            return files.where(F.col(col).isin(list(rerun)))
+        before = processed_values(spark, self._ledger, col)
+        if recorded is None:
+            if not before and self.ledger is None:
+                before = set(list_partitions(spark, self.target, col))
+            return files.where(~F.col(col).isin(sorted(before)))
+        if self.follow_changes:
+            fields = [col, "source", "file", "length", "modified"]
+            new = files.select(fields).exceptAll(recorded.select(fields))
+            gone = recorded.select(fields).exceptAll(files.select(fields))
+            changed = new.select(col).union(gone.select(col)).distinct()
+        else:
+            changed = files.join(recorded, col, "left_anti").select(col).distinct()
+        older = spark.createDataFrame([(v,) for v in before], f"{col} string")
+        changed = changed.join(older.join(recorded, col, "left_anti"), col, "left_anti")
+        return files.join(changed, col, "left_semi")
 
     def _available(self, spark: SparkSession) -> Sequence[str]:
-        self._files = {name: dated_files(spark, paths) for name, (paths, _) in self.sources.items()}
-        first = next(iter(self._files.values()))
-        return [date for date in first if all(date in self._files[name] for name in self.required)]
+        return sorted(self._files)
+
+    def run(self, spark: SparkSession, rerun: Sequence[str] = ()) -> list[str]:
+        """Process what is pending (or ``rerun``); returns the values processed."""
+        self.failed, self.writes, self._last_run = [], 0, 0
+        self._files: dict[str, list[Row]] = defaultdict(list)
+        # One row per file of a pending date.
+        for row in self._pending(spark, rerun).collect():
+            self._files[row[self.partition_col]].append(row)
+        todo = list(self._available(spark))
+        return self._attempt(spark, todo) if todo else []
 
     def _load(self, spark: SparkSession, name: str, values: Sequence[str]) -> DataFrame | None:
-        """None where a further source has no file of these dates."""
-        files = [f for value in values for f in self._files[name].get(value, [])]
-        return self.sources[name][1](spark, files) if files else None
+        """None where a source has no file of these dates."""
+        files = [r["file"] for value in values for r in self._files[value] if r["source"] == name]
+        return self.sources[name][1](spark, sorted(files)) if files else None
+
+    def _record(self, spark: SparkSession, values: Sequence[str]) -> None:
+        # As listed before they were read: a file that changed meanwhile is pending again.
+        rows = [
+            (value, r["source"], r["file"], r["length"], r["modified"], self._last_run + self.writes)
+            for value in values
+            for r in self._files[value]
+        ]
+        entries = spark.createDataFrame(rows, f"{self.partition_col} string, {FILE_FIELDS}, run bigint")
+        entries.coalesce(1).write.mode("append").parquet(self._manifest)
 
 
 def refresh_table(sources: Mapping[str, DataFrame], transform: Callable[..., DataFrame], target: str) -> None:

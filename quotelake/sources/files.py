@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import csv
 import re
+import zlib
 from collections import defaultdict
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
-from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,10 @@ from quotelake.operators import attach
 
 # The date that ends a file name: …_2025-01-31.csv or …_20250131.json.
 FILE_DATE = r"(\d{4})-?(\d{2})-?(\d{2})\.[A-Za-z]+(?:\.gz)?$"
+# What a header line needs of a file, and how many files are asked at a time.
+HEAD_BYTES = 16 << 10
+HEAD_READERS = 16
+LINE_END = re.compile(rb"\r\n|\n|\r")
 
 
 def file_date(pattern: str = FILE_DATE) -> Column:
@@ -26,32 +32,68 @@ def file_date(pattern: str = FILE_DATE) -> Column:
     return F.when(digits != "", digits)
 
 
+def file_manifest(
+    spark: SparkSession, paths: str | Sequence[str], pattern: str = FILE_DATE, col: str = "file_version_date"
+) -> DataFrame:
+    """The date in a file's name, file, length and modification time of each dated file. No content is read.
+
+    A folder that does not exist has no files.
+    """
+    try:
+        listed = spark.read.format("binaryFile").load(_paths(paths))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], f"{col} string, file string, length bigint, modified timestamp")
+    digits = F.concat(*[F.regexp_extract("path", pattern, i) for i in (1, 2, 3)])
+    named = listed.select(
+        digits.alias(col), F.col("path").alias("file"), "length", F.col("modificationTime").alias("modified")
+    )
+    return named.where(F.col(col) != "")
+
+
 def dated_files(
     spark: SparkSession, paths: str | Sequence[str], pattern: str = FILE_DATE
 ) -> dict[str, list[str]]:
     """Files by the date in their names, from a listing; a file without a date is left out."""
     found: dict[str, list[str]] = defaultdict(list)
-    for file in spark.read.format("binaryFile").load(_paths(paths)).inputFiles():
-        date = re.search(pattern, unquote(file))
-        if date:
-            found["".join(date.groups())].append(unquote(file))
+    for date, file in file_manifest(spark, paths, pattern).select("file_version_date", "file").collect():
+        found[date].append(file)
     return dict(found)
 
 
+def read_head(spark: SparkSession, file: str, size: int) -> bytes:
+    """The first ``size`` bytes of a file; the rest is not asked for."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(file)
+    stream = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(path)
+    try:
+        return bytes(jvm.org.apache.commons.io.IOUtils.toByteArray(stream, size))
+    finally:
+        stream.close()
+
+
+def _first_line(spark: SparkSession, file: str, length: int) -> str:
+    size = min(length, HEAD_BYTES)
+    while True:
+        head = read_head(spark, file, size)
+        if file.endswith(".gz"):
+            head = zlib.decompressobj(wbits=31).decompress(head)
+        lines = LINE_END.split(head, maxsplit=1)
+        if len(lines) > 1 or size == length:
+            return lines[0].decode().lstrip("\ufeff")
+        size = min(length, 4 * size)
+
+
 def csv_headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, tuple[str, ...]]:
-    """The column names that each file's own first line has."""
-    lines = spark.read.text(_paths(paths)).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("id"),
-        "value",
-    )
-    lines = lines.where("block = 0")
-    # Ids rise within a split, so the least one of a file's first split is its first line.
-    firsts = lines.groupBy("file").agg(F.min("id").alias("id"))
-    # One row per file.
-    rows = lines.join(firsts, ["file", "id"]).select("file", "value").collect()
-    return {unquote(r["file"]): tuple(next(csv.reader([r["value"].lstrip("\ufeff")]))) for r in rows}
+    """The column names that each file's own first line has; empty files have none.
+
+    Of a file ``HEAD_BYTES`` are read, more only where its first line is longer.
+    """
+    listed = spark.read.format("binaryFile").load(_paths(paths)).where("length > 0").select("path", "length").collect()
+    with ThreadPoolExecutor(HEAD_READERS) as pool:
+        lines = pool.map(lambda r: _first_line(spark, r["path"], r["length"]), listed)
+        return {r["path"]: tuple(next(csv.reader([line]))) for r, line in zip(listed, lines, strict=True) if line}
 
 
 def read_csv_by_header(

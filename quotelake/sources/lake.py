@@ -82,15 +82,22 @@ def write_partitions(
     compression: str = "snappy",
     mode: str = "overwrite",
     sort_by: Sequence[str] = (),
+    files: int | None = None,
 ) -> None:
     """One folder per value; ``overwrite`` replaces only the values in ``df``.
 
     The rebalance hint gathers a date's rows into well-sized files and splits a
-    date that is too large for one task.
+    date that is too large for one task. With ``sort_by`` rows are placed by
+    ranges of (date, sort columns) instead: the files of a date do not overlap,
+    and the statistics of their row groups prune a filter on the first sort
+    column. Small ranges are merged at run time unless ``files`` fixes their
+    number.
     """
     rows = df.hint("rebalance", col)
     if sort_by:
-        rows = rows.sortWithinPartitions(col, *[F.col(c).asc_nulls_last() for c in sort_by])
+        order = [F.col(col).asc(), *[F.col(c).asc_nulls_last() for c in sort_by]]
+        rows = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
+        rows = rows.sortWithinPartitions(*order)
     writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", compression)
     writer.partitionBy(col).parquet(path)
 
@@ -129,11 +136,14 @@ def _file_names(spark: SparkSession, folder: str) -> set[str]:
     return {s.getPath().getName() for s in fs.listStatus(path)} if fs.exists(path) else set()
 
 
+def path_exists(spark: SparkSession, name: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def processed_values(spark: SparkSession, ledger: str, col: str = PARTITION) -> set[str]:
     """What a ledger holds: one short row per date ever processed."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(ledger)
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+    if not path_exists(spark, ledger):
         return set()
     return {r[0] for r in spark.read.parquet(ledger).select(col).distinct().collect()}
 
