@@ -2,9 +2,10 @@
 
 A cut before a space that follows a non-space never lies inside a token, so a
 text is encoded piece by piece: a space-separated word has the same ids
-wherever it stands. Pieces that a task process has met are looked up; the new
-ones of a batch go to the tokenizers library together. The ids are those of
-one call per text.
+wherever it stands. Arrow splits the texts of a batch and numbers their
+distinct words. Words that a task process has met are looked up; the new ones
+of a batch go to the tokenizers library together. The ids are those of one
+call per text.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from collections.abc import Sequence
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 import numpy as np  # noqa: E402
+import pyarrow as pa  # noqa: E402
+import pyarrow.compute as pc  # noqa: E402
 import regex  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
@@ -25,20 +28,33 @@ from quotelake.llm.common import claim  # noqa: E402
 
 # Spaces of any kind (and the controls that some call spaces), then what is up to the next.
 UNITS = regex.compile(r"[\s\x1c-\x1f]*[^\s\x1c-\x1f]+|[\s\x1c-\x1f]+")
+FIRST = regex.compile(r"[ \n]|$")
+# New words that are encoded as one text.
+TOGETHER = 2_000
 MAX_UNITS = 500_000
 MAX_IDS = 4_000_000
 
 
 class _Words(dict):
-    """Word after a given space -> row of the id table; -1 where the next cut is not safe."""
+    """Word as split (one that begins a line has its line feed) -> row of the id table; -1 where the next cut is not
+    safe."""
 
-    def __init__(self, owner: CachedEncoder, space: str) -> None:
-        self.owner, self.space = owner, space
+    def __init__(self, owner: CachedEncoder) -> None:
+        self.owner = owner
 
     def __missing__(self, word: str) -> int:
-        if not word or word[-1].isspace():
+        if not word or word == "\n" or word[-1].isspace():
             return -1
-        row = self[word] = self.owner._add(self.space + word)
+        row = self[word] = self.owner._add(word if word[0] == "\n" else " " + word)
+        return row
+
+
+class _Marks(dict):
+    def __init__(self, owner: CachedEncoder) -> None:
+        self.owner = owner
+
+    def __missing__(self, mark: str) -> int:
+        row = self[mark] = self.owner._add(mark)
         return row
 
 
@@ -52,26 +68,48 @@ class CachedEncoder:
         self.apart = not any(t.lstrip or t.rstrip or t.single_word or t.content[-1:].isspace() for t in tokens)
         longest = sorted((t.content for t in tokens), key=len, reverse=True)
         self.added = regex.compile(f"({'|'.join(map(regex.escape, longest))})") if longest else None
+        # A byte-level token has a character for each of its bytes.
+        self.token_bytes = np.zeros(max(self.vocab, 1 + max(self.tokenizer.get_vocab().values(), default=0)), np.int64)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.token_bytes[i] = len(token)
         self._reset()
 
     def _reset(self) -> None:
-        self.words = _Words(self, " ")
-        self.heads = _Words(self, "\n")
-        self.marks = _Words(self, "")
+        self.words = _Words(self)
+        self.marks = _Marks(self)
         self.new: list[str] = []
         self.ids = array("I")
         self.starts = array("q")
         self.sizes = array("q")
+        self.uses = np.zeros(0, np.int64)
+
+    def _shrink(self) -> None:
+        """Forget the units that were used least."""
+        least = 2
+        while (self.uses >= least).sum() > MAX_UNITS // 2 or np.array(self.sizes)[self.uses >= least].sum() > MAX_IDS // 2:
+            least *= 2
+        keep = self.uses >= least
+        row = np.cumsum(keep) - 1
+        words, marks = ({u: int(row[r]) for u, r in table.items() if keep[r]} for table in (self.words, self.marks))
+        sizes = np.array(self.sizes, np.int64)[keep]
+        ends = np.cumsum(sizes)
+        at = np.repeat(np.array(self.starts, np.int64)[keep] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))
+        ids, uses = np.array(self.ids, np.uint32)[at], self.uses[keep] // 2
+        self._reset()
+        self.words.update(words)
+        self.marks.update(marks)
+        self.ids.frombytes(ids.tobytes())
+        self.starts.frombytes((ends - sizes).tobytes())
+        self.sizes.frombytes(sizes.tobytes())
+        self.uses = uses
 
     def _add(self, unit: str) -> int:
         """Row that the unit's ids will have after the batch."""
         self.new.append(unit)
         return len(self.starts) + len(self.new) - 1
 
-    def _rows(self, text: str) -> list[int]:
-        """Rows of the text's units."""
-        if self.added is None or not self.added.search(text):
-            return self._units(text)
+    def _marked(self, text: str) -> list[int]:
+        """Rows of a text with added tokens."""
         if not self.apart:
             return [self._add(text)]
         rows: list[int] = []
@@ -79,50 +117,94 @@ class CachedEncoder:
             if k % 2:
                 rows.append(self.marks[part])
             elif part:
-                rows.extend(self._units(part))
+                rows.extend(self._units([part])[0].tolist())
         return rows
 
-    def _units(self, text: str) -> list[int]:
-        """Rows of the units of a text without added tokens; they start before a space or line feed that follows a
-        non-space."""
-        first, *lines = text.split("\n")
-        head, *words = first.split(" ")
-        rows = [self._add(head) if head and not head[-1].isspace() else -1]
-        rows.extend(map(self.words.__getitem__, words))
-        for line in lines:
-            head, *words = line.split(" ")
-            rows.append(self.heads[head])
-            rows.extend(map(self.words.__getitem__, words))
-        if -1 not in rows:
-            return rows
-        # Some space follows a space: cut only where it is safe.
-        return [self._add(u) for u in UNITS.findall(text)]
+    def _units(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """Rows of the units of texts that are not empty and have no added tokens.
+
+        Units start before a space or line feed that follows a non-space.
+        """
+        if not texts:
+            return []
+        lines = pc.replace_substring(pa.array(texts, pa.large_string()), "\n", " \n")
+        split = pc.split_pattern(lines, " ")
+        coded = split.flatten().dictionary_encode()
+        rows = np.fromiter(map(self.words.__getitem__, coded.dictionary.to_pylist()), np.int64, len(coded.dictionary))
+        rows = rows[coded.indices.to_numpy()]
+        bounds = split.offsets.to_numpy()
+        heads = bounds[:-1]
+        # No space comes before the first word of a text.
+        for at, text in zip(heads.tolist(), texts, strict=True):
+            word = text[: FIRST.search(text).start()]
+            rows[at] = self._add(word) if word and not word[-1].isspace() else -1
+        unsafe = np.minimum.reduceat(rows, heads) < 0
+        found = [rows[a:b] for a, b in zip(heads.tolist(), bounds[1:].tolist(), strict=True)]
+        for i in np.flatnonzero(unsafe).tolist():
+            # Some space follows a space: cut only where it is safe.
+            found[i] = np.array([self._add(u) for u in UNITS.findall(texts[i])], np.int64)
+        return found
+
+    def _rows(self, texts: Sequence[str]) -> list[np.ndarray]:
+        """Rows of each text."""
+        none = np.zeros(0, np.int64)
+        out = [none] * len(texts)
+        plain = []
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if self.added is not None and self.added.search(text):
+                out[i] = np.array(self._marked(text), np.int64)
+            else:
+                plain.append(i)
+        for i, rows in zip(plain, self._units([texts[i] for i in plain]), strict=True):
+            out[i] = rows
+        return out
 
     def _encode_new(self) -> None:
-        for found in self.tokenizer.encode_batch_fast(self.new, add_special_tokens=False):
-            ids = found.ids
-            self.starts.append(len(self.ids))
-            self.sizes.append(len(ids))
-            self.ids.extend(ids)
-        self.new = []
+        """Ids of the batch's new units. Words go to the library as one text; a cut before a word is never in a token, so
+        the bytes of the tokens tell where each word's ids are."""
+        units, self.new = self.new, []
+        starts, sizes = np.zeros(len(units), np.int64), np.zeros(len(units), np.int64)
+        words = [
+            i for i, u in enumerate(units)
+            if len(u) > 1 and u[0] in " \n" and not u[1].isspace() and not u[-1].isspace()
+        ]
+        chunks = [words[at : at + TOGETHER] for at in range(0, len(words), TOGETHER)]
+        found = self.tokenizer.encode_batch_fast(["".join([units[i] for i in c]) for c in chunks], add_special_tokens=False)
+        alone = np.ones(len(units), bool)
+        for chunk, text in zip(chunks, found, strict=True):
+            ids = np.array(text.ids, np.uint32)
+            ends = np.cumsum(self.token_bytes[ids])
+            wanted = np.cumsum([len(units[i].encode()) for i in chunk])
+            last = np.searchsorted(ends, wanted)
+            if last[-1] == len(ends) - 1 and (ends[last] == wanted).all():
+                first = np.concatenate([[0], last[:-1] + 1])
+                starts[chunk], sizes[chunk], alone[chunk] = first + len(self.ids), last + 1 - first, False
+                self.ids.frombytes(ids.tobytes())
+        left = np.flatnonzero(alone).tolist()
+        for i, text in zip(left, self.tokenizer.encode_batch_fast([units[i] for i in left], add_special_tokens=False), strict=True):
+            starts[i], sizes[i] = len(self.ids), len(text.ids)
+            self.ids.extend(text.ids)
+        self.starts.frombytes(starts.tobytes())
+        self.sizes.frombytes(sizes.tobytes())
 
     def encode(self, texts: Sequence[str], end: int) -> tuple[np.ndarray, np.ndarray]:
         """All ids in a row, ``end`` after each text, and the bounds of the texts (one more than texts)."""
         if len(self.starts) > MAX_UNITS or len(self.ids) > MAX_IDS:
-            self._reset()
+            self._shrink()
         last = len(self.starts)
         self.starts.append(len(self.ids))
         self.ids.append(end)
         self.sizes.append(1)
-        rows: list[int] = []
-        counts = []
-        for text in texts:
-            found = self._rows(text) if text else ()
-            rows.extend(found)
-            rows.append(last)
-            counts.append(len(found) + 1)
+        found = self._rows(texts)
+        stop = np.array([last], np.int64)
+        counts = [len(rows) + 1 for rows in found]
         self._encode_new()
-        at = np.fromiter(rows, np.int64, len(rows))
+        at = np.concatenate([stop[:0], *(part for rows in found for part in (rows, stop))])
+        uses = np.bincount(at, minlength=len(self.starts))
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
         sizes = np.array(self.sizes, np.int64)[at]
         ends = np.cumsum(sizes)
         total = int(ends[-1]) if len(ends) else 0
