@@ -946,3 +946,7 @@ ORACLE: dict[str, str] = {
         FROM (SELECT unnest(generate_series(min(o_orderdate)::DATE, max(o_orderdate)::DATE, INTERVAL 1 DAY)) AS d FROM orders)
         LEFT JOIN orders ON o_orderdate::DATE = d::DATE GROUP BY 1""",
 }
+
+# Kept by day or computed at once, the results are the same.
+ORACLE["flow_stats_incremental"] = ORACLE["flow_contract_stats"]
+ORACLE["open_interest_incremental"] = ORACLE["open_interest_history"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -289,6 +290,30 @@ def open_interest_history(spark: SparkSession, sf: str) -> DataFrame:
     return doubles(flow.open_interest_history(roles.flow_prints(spark, sf), _as_of()))
 
 
+def flow_store(spark: SparkSession, sf: str) -> tuple[str, datetime]:
+    """Leaves kept by day, the last three days of prints delivered after the others."""
+    base = shared_folder(spark, "flow")
+    prints = roles.flow_prints(spark, sf)
+    day = F.date_format(F.to_date("flow_imp_dt", "MM/dd/yyyy"), "yyyyMMdd")
+    prints = prints.withColumn("file_version_date", day)
+    as_of = datetime.fromisoformat(roles.AS_OF)
+    late = f"{as_of - timedelta(days=3):%Y%m%d}"
+    for delivery in (F.col("file_version_date") < late, F.col("file_version_date") >= late):
+        write_partitions(prints.where(delivery), f"{base}/prints")
+        flow.refresh_leaves(spark, f"{base}/prints", f"{base}/leaves")
+    flow.age_out(spark, f"{base}/leaves", as_of)
+    return f"{base}/leaves", as_of
+
+
+def flow_stats_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """Contract statistics from leaves that were kept and added to by day."""
+    return doubles(flow.stored_contract_stats(spark, *flow_store(spark, sf)))
+
+
+def open_interest_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    return doubles(flow.stored_open_interest(spark, *flow_store(spark, sf)))
+
+
 def daily_ticker_summary(spark: SparkSession, sf: str) -> DataFrame:
     values = roles.attribute_values(table(spark, sf, "customer"), "c_custkey", "C")
     return summary.daily_ticker_summary(
@@ -761,6 +786,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         flow_prints_clean,
         flow_contract_stats,
         open_interest_history,
+        flow_stats_incremental,
+        open_interest_incremental,
         daily_ticker_summary,
         flow_stats,
         order_neighbours,

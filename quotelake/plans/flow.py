@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from collections.abc import Sequence
+from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quotelake.functions import (
@@ -17,6 +18,9 @@ from quotelake.functions import (
     week_end,
 )
 from quotelake.operators import attach_group_stats, keep_matching, value_neighbours
+from quotelake.plans.jobs import PartitionedJob
+from quotelake.session import shared_folder
+from quotelake.sources.lake import PARTITION, drop_partitions, list_partitions, read_partitioned
 
 # Look-back in days, contract size, sides and their letters.
 LOOK_BACK_DAYS = 40
@@ -28,30 +32,40 @@ EARNINGS_SUFFIXES = [" BMO", " AMC"]
 
 CONTRACT = ["tick_symb", "opts_exp", "opts_strk", "opts_typ"]
 CONTRACT_DAY = ["flow_imp_dt", *CONTRACT]
+DESCRIPTIVE = ["er_date", "etf_flg", "dtls_side", "bull_side", "tick_indstry", "opts_oi"]
 
 
 def _as_of(as_of: datetime | Column) -> Column:
     return as_of if isinstance(as_of, Column) else F.lit(as_of)
 
 
-def _recent(prints: DataFrame, as_of: Column, after_close: bool) -> DataFrame:
-    """Prints of the look-back period whose contract has not expired.
+def _dated(prints: DataFrame) -> DataFrame:
+    return prints.withColumns(
+        {"flow_date": calendar_text_date("flow_imp_dt"), "exp_date": calendar_text_date("opts_exp")}
+    )
+
+
+def recent(dated: DataFrame, as_of: datetime | Column, after_close: bool = False) -> DataFrame:
+    """Rows of the look-back period whose contract has not expired, by ``flow_date`` and ``exp_date``.
 
     ``after_close`` also drops contracts expiring today once the last trading
     hour has passed.
     """
+    as_of = _as_of(as_of)
     today = as_of.cast("date")
-    dated = prints.withColumns(
-        {"flow_date": calendar_text_date("flow_imp_dt"), "exp_date": calendar_text_date("opts_exp")}
-    )
     keep = days_between(today, "flow_date").between(0, LOOK_BACK_DAYS) & (F.col("exp_date") >= today)
     if after_close:
         keep = keep & ~((F.col("exp_date") == today) & (F.hour(as_of) > LAST_TRADING_HOUR))
     return dated.where(keep)
 
 
-def flow_prints_clean(prints: DataFrame, as_of: datetime | Column, after_close: bool = False) -> DataFrame:
-    """Recent single-leg prints, typed, with side, direction and moneyness."""
+def _multi_leg() -> Column:
+    """Also where the kind of transaction is not known."""
+    return F.coalesce(F.col("trans_typ").contains("ML"), F.lit(True))
+
+
+def _typed() -> list[Column]:
+    """The columns of a print, with side, direction and moneyness."""
     stripped = first_replace("dtls_side", "_", "")
     side = (
         F.when((F.col("dtls_side") == "") | (F.lower("dtls_side") == "nan"), "M")
@@ -70,27 +84,25 @@ def flow_prints_clean(prints: DataFrame, as_of: datetime | Column, after_close:
             (call & (spot < strike)) | (put & (spot > strike)), "OTM"
         )
     )
-    rows = _recent(prints, _as_of(as_of), after_close).where(~F.col("trans_typ").contains("ML"))
-    return rows.select(
-        "tick_symb",
-        "exec_tm",
-        "opts_exp",
+    plain = ["tick_symb", "exec_tm", "opts_exp", "opts_typ", "er_date", "etf_flg", "opts_oi", "opts_iv"]
+    return [
+        *map(F.col, plain),
         strike.alias("opts_strk"),
-        "opts_typ",
-        "er_date",
-        "etf_flg",
-        "opts_oi",
-        "opts_iv",
-        "flow_imp_dt",
-        "tick_indstry",
+        F.col("flow_imp_dt"),
+        F.col("tick_indstry"),
         F.col("opts_price").cast(MONEY).alias("opts_price"),
         F.col("opts_vol").cast(MONEY).alias("opts_vol"),
-        "trans_typ",
+        F.col("trans_typ"),
         side.alias("dtls_side"),
         spot.alias("tick_spot"),
         direction.alias("bull_side"),
         moneyness.alias("moneyness"),
-    ).distinct()
+    ]
+
+
+def flow_prints_clean(prints: DataFrame, as_of: datetime | Column, after_close: bool = False) -> DataFrame:
+    """Recent single-leg prints, typed, with side, direction and moneyness."""
+    return recent(_dated(prints), as_of, after_close).where(~_multi_leg()).select(*_typed()).distinct()
 
 
 def _hundredths(amount: str) -> Column:
@@ -104,8 +116,42 @@ def _share(part: str, whole: str) -> Column:
     return F.coalesce(round_stable(ratio, 4), F.lit(0.0))
 
 
+def _measures() -> list[Column]:
+    """Volume, premium and implied volatility of distinct typed prints."""
+    iv = F.col("opts_iv").cast(MONEY)
+    # price x volume x 100, in hundredths.
+    premium = _hundredths("opts_price") * _hundredths("opts_vol") * SHARES_PER_CONTRACT / 100
+    return [
+        F.sum(_hundredths("opts_vol")).alias("vol"),
+        F.sum(premium.cast("bigint")).alias("prem"),
+        F.sum((iv * 100).cast("bigint")).alias("iv_sum"),
+        F.count(iv).alias("iv_n"),
+    ]
+
+
+def flow_leaves(prints: DataFrame) -> DataFrame:
+    """The prints reduced to contract, day, side and moneyness; all reports follow from these rows.
+
+    They hang on no date of asking and a day's rows come from that day's prints
+    alone, so they can be kept per day. ``multi_leg`` rows count for open
+    interest only, as does ``all_vol``, which takes in repeated prints.
+    """
+    typed = _dated(prints).select(
+        "flow_date", "exp_date", _multi_leg().alias("multi_leg"), F.col("opts_vol").alias("__vol"), *_typed()
+    )
+    # Repeated prints collapse here, with map-side combining.
+    once = typed.groupBy(*[c for c in typed.columns if c != "__vol"]).agg(F.sum("__vol").alias("__vol"))
+    keys = [*CONTRACT_DAY, "flow_date", "exp_date", *DESCRIPTIVE, "moneyness", "multi_leg"]
+    return once.groupBy(*keys).agg(*_measures(), F.sum("__vol").alias("all_vol"))
+
+
 def flow_contract_stats(clean: DataFrame) -> DataFrame:
-    """Premium, volume and side shares per contract and day, and over all days.
+    """Premium, volume and side shares per contract and day, and over all days, of clean prints."""
+    return contract_stats(clean.groupBy(*CONTRACT_DAY, *DESCRIPTIVE, "moneyness").agg(*_measures()))
+
+
+def contract_stats(leaves: DataFrame) -> DataFrame:
+    """The same of leaves.
 
     The prints are reduced to one row per contract, day, side and moneyness
     first. What is left of a contract is bounded by the look-back period, so
@@ -114,16 +160,7 @@ def flow_contract_stats(clean: DataFrame) -> DataFrame:
     prefix of the one before, so one placement and one sort serve them all.
     Totals per symbol and day span many contracts and are aggregated instead.
     """
-    descriptive = ["er_date", "etf_flg", "dtls_side", "bull_side", "tick_indstry", "opts_oi"]
-    iv = F.col("opts_iv").cast(MONEY)
-    # price x volume x 100, in hundredths.
-    premium = _hundredths("opts_price") * _hundredths("opts_vol") * SHARES_PER_CONTRACT / 100
-    leaves = clean.groupBy(*CONTRACT_DAY, *descriptive, "moneyness").agg(
-        F.sum(_hundredths("opts_vol")).alias("vol"),
-        F.sum(premium.cast("bigint")).alias("prem"),
-        F.sum((iv * 100).cast("bigint")).alias("iv_sum"),
-        F.count(iv).alias("iv_n"),
-    )
+    descriptive = DESCRIPTIVE
     kind = F.col("opts_typ")
     leaves = attach_group_stats(
         leaves,
@@ -178,19 +215,13 @@ def open_interest_history(prints: DataFrame, as_of: datetime | Column, after_clo
     Ordered by the real date (the text order is wrong across a year end); rows
     are first reduced to one per contract, day and open interest.
     """
-    daily = (
-        _recent(prints, _as_of(as_of), after_close)
-        .groupBy(
-            "tick_symb",
-            "opts_exp",
-            F.col("opts_strk").cast(MONEY).alias("opts_strk"),
-            "opts_typ",
-            "flow_imp_dt",
-            "flow_date",
-            "opts_oi",
-        )
-        .agg(F.sum("opts_vol").alias("__vol"))
-    )
+    rows = recent(_dated(prints), as_of, after_close)
+    return _interest(rows.withColumns({"opts_strk": F.col("opts_strk").cast(MONEY), "all_vol": F.col("opts_vol")}))
+
+
+def _interest(rows: DataFrame) -> DataFrame:
+    """Open interest history of recent prints or leaves."""
+    daily = rows.groupBy(*CONTRACT, "flow_imp_dt", "flow_date", "opts_oi").agg(F.sum("all_vol").alias("__vol"))
     rows = value_neighbours(
         daily.repartition(*CONTRACT), CONTRACT, ["flow_date", "opts_oi"], "opts_oi", "prev_oi", "nextday_oi", "last_oi"
     )
@@ -309,18 +340,23 @@ def flow_stats(
     Weeks to expiry count from the week of the day after ``as_of``. The ISO
     week end is date arithmetic, so no calendar table is joined.
     """
-    moment = _as_of(as_of)
-    # A print without symbol or expiry is dropped by the joins below; said
-    # here, every branch reads the prints the same way and shares the work.
+    # A print without symbol or expiry is dropped by the joins below.
     prints = prints.where(F.col("tick_symb").isNotNull() & F.col("opts_exp").isNotNull())
-    clean = flow_prints_clean(prints, moment, after_close)
-    about = _summary_columns(summary, moment).distinct()
+    leaves = flow_leaves(recent(_dated(prints), as_of, after_close))
+    # Every branch below reads the leaves; the prints are read once.
+    path = shared_folder(prints.sparkSession, "flow_leaves")
+    leaves.write.parquet(path)
+    return flow_report(prints.sparkSession.read.schema(leaves.schema).parquet(path), summary, as_of, after_close)
 
-    # Expiry weeks and the newest flow date come from two or three columns of
-    # the prints themselves, so the aggregation below is not run again.
-    single_leg = keep_matching(
-        _recent(prints, moment, after_close).where(~F.col("trans_typ").contains("ML")), about, ["tick_symb"]
-    )
+
+def flow_report(
+    leaves: DataFrame, summary: DataFrame, as_of: datetime | Column, after_close: bool = False
+) -> DataFrame:
+    """The flow report of stored leaves, of which only recent ones are looked at."""
+    moment = _as_of(as_of)
+    leaves = recent(leaves.where(F.col("tick_symb").isNotNull() & F.col("opts_exp").isNotNull()), moment, after_close)
+    about = _summary_columns(summary, moment).distinct()
+    single_leg = keep_matching(leaves.where(~F.col("multi_leg")), about, ["tick_symb"])
     this_week = week_end(F.date_add(moment.cast("date"), 1))
     expiry_week = week_end(calendar_text_date("opts_exp"))
     listed = (
@@ -333,7 +369,7 @@ def flow_stats(
 
     # What the report shows of the signals is made distinct while the rows lie
     # by contract and day; the columns joined afterwards follow from those.
-    signals = _signals(flow_contract_stats(clean), open_interest_history(prints, moment, after_close))
+    signals = _signals(contract_stats(leaves.where(~F.col("multi_leg"))), _interest(leaves))
     side = F.when(F.col("dtls_side") == "A", "Ask").when(F.col("dtls_side") == "B", "Bid").otherwise("Mid")
     shown = signals.drop("er_date", "tick_indstry").withColumn("dtls_side", side).distinct()
     rows = shown.join(about, "tick_symb").join(listed, ["tick_symb", "opts_exp"])
@@ -351,3 +387,39 @@ def flow_stats(
         F.when(bullish, F.col("opts_prem_side_imp_dt")).otherwise(F.lit(0.0)).alias("bull_side_i_prem"),
         F.when(flow_date == newest, "Y").otherwise("N").alias("ltstflowdt"),
     )
+
+
+def refresh_leaves(spark: SparkSession, prints: str, store: str, rerun: Sequence[str] = ()) -> list[str]:
+    """Leaves of the days of ``prints`` (one folder a day) that ``store`` does not have; no other day is read."""
+    days = PartitionedJob(
+        {"prints": prints},
+        lambda prints: flow_leaves(prints).withColumn(PARTITION, F.date_format("flow_date", "yyyyMMdd")),
+        store,
+        sort_by=CONTRACT,
+    )
+    return days.run(spark, rerun)
+
+
+def stored_leaves(spark: SparkSession, store: str, as_of: datetime, after_close: bool = False) -> DataFrame:
+    """The recent leaves; only the folders of the look-back period are opened."""
+    first, last = (as_of.date() - timedelta(days=back) for back in (LOOK_BACK_DAYS, 0))
+    days = [d for d in list_partitions(spark, store) if f"{first:%Y%m%d}" <= d <= f"{last:%Y%m%d}"]
+    return recent(read_partitioned(spark, store, values=days).drop(PARTITION), as_of, after_close)
+
+
+def age_out(spark: SparkSession, store: str, as_of: datetime) -> list[str]:
+    """Drop the days that no report from ``as_of`` on looks at; returns them."""
+    first = as_of.date() - timedelta(days=LOOK_BACK_DAYS)
+    old = [d for d in list_partitions(spark, store) if d < f"{first:%Y%m%d}"]
+    drop_partitions(spark, store, old)
+    return old
+
+
+def stored_contract_stats(spark: SparkSession, store: str, as_of: datetime) -> DataFrame:
+    """``flow_contract_stats`` from stored leaves."""
+    return contract_stats(stored_leaves(spark, store, as_of).where(~F.col("multi_leg")))
+
+
+def stored_open_interest(spark: SparkSession, store: str, as_of: datetime) -> DataFrame:
+    """``open_interest_history`` from stored leaves."""
+    return _interest(stored_leaves(spark, store, as_of))
