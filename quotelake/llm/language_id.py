@@ -5,15 +5,18 @@ greatest response of each filter in the window goes through a softmax layer.
 A filter's first layer is a table per offset (byte -> weights), so a
 convolution is a few table look-ups, and of a window only the bytes at the
 greatest response get a gradient. Trained in numpy with Adam on a bounded
-sample: about ``PER_LANG`` documents of each language, drawn by a hash of
-doc_id, ``WINDOWS`` windows of each. The model (under 100 KB) goes to the
-tasks in the function's closure.
+sample: about ``PER_LANG`` documents of each language, and about ``SAMPLE_ROWS``
+of all (then equally many of each, ``LEAST_ROWS`` at least), drawn by a hash of
+doc_id; of each ``WINDOWS`` windows from a stretch at a hashed place. Every
+language of the labelled rows is learned. The model (under 100 KB for 400
+languages) goes to the tasks in the function's closure.
 
 A whole text is cut into windows that overlap by the widest filter, and the
 mean of their log-probabilities decides.
 
 Defined results: ``und`` with score 0 where the text is null or has no letter,
-or where no language could be learned; a null doc_id is never learned from and
+or where no language could be learned (``keep_identified`` then keeps texts
+that have letters); a null doc_id is never learned from and
 not held out; repeated rows are predicted each; an empty table gives an empty
 table.
 """
@@ -34,7 +37,8 @@ WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 16
 PER_LANG = 700
-MAX_LANGS = 400
+LEAST_ROWS = 20
+SAMPLE_ROWS = 16_000
 SAMPLE_BYTES = 16_384
 WINDOWS = 4
 EPOCHS = 12
@@ -145,18 +149,26 @@ def remainder(by: int) -> Column:
     return F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(by))
 
 
+def stretch(text: str, size: int) -> Column:
+    """So many characters of a text, from a place drawn by a hash of doc_id and the text's length."""
+    room = F.greatest(F.lit(1), F.char_length(text) - size + 1)
+    at = F.pmod(F.xxhash64("doc_id", F.char_length(text), F.lit("stretch")), room)
+    return F.substring(text, (at + 1).cast("int"), F.lit(size))
+
+
 def fit_languages(docs: DataFrame, folds: int = 5) -> ByteConvNet | None:
     """Learn from rows of other folds than 0; None where there is no language."""
     known = docs.where((remainder(folds) != 0) & F.col("lang").isNotNull() & (F.octet_length("text") > 0))
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()
+    counts = known.groupBy("lang").count().collect()
     if not counts:
         return None
+    quota = min(PER_LANG, max(LEAST_ROWS, SAMPLE_ROWS // len(counts)))
     labels = sorted(r["lang"] for r in counts)
     # A row's draw is even in 0..1; each language keeps the share that gives its quota.
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("language")), 11) / F.lit(float(1 << 53))
-    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, PER_LANG / r["count"]))])
+    share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, quota / r["count"]))])
     drawn = known.where(draw < share[F.col("lang")]).select(
-        "doc_id", "lang", F.substring("text", 1, SAMPLE_BYTES).alias("text")
+        "doc_id", "lang", stretch("text", SAMPLE_BYTES).alias("text")
     )
     rows = sorted(drawn.collect(), key=lambda r: (r["doc_id"], r["text"]))
     if not rows:
@@ -211,12 +223,16 @@ def predict_languages(docs: DataFrame, folds: int = 5) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, folds: int = 5) -> DataFrame:
-    """The rows, all columns, whose language is not ``und``."""
+    """The rows, all columns, whose language is not ``und``; of texts with letters none goes where nothing was learned."""
     model = fit_languages(docs, folds)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in regroup(batches, "text", BATCH_BYTES):
-            found = _labels(model, texts_of(batch.column("text")))
-            yield batch.filter(pa.array([label != "und" for label, _ in found], pa.bool_()))
+            texts = texts_of(batch.column("text"))
+            if model is None:
+                stays = [LETTER.search(t.decode()) is not None for t in texts]
+            else:
+                stays = [label != "und" for label, _ in _labels(model, texts)]
+            yield batch.filter(pa.array(stays, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
