@@ -8,8 +8,8 @@ function, fitted on labelled rows that built no dictionary, turns both into a
 score.
 
 Fitted on a bounded sample: at most about ``PER_CLASS`` rows of each label,
-drawn by a hash of doc_id, ``SAMPLE_BYTES`` of each; everything is scored on its
-whole text. Labels reach only rows of other folds than the held-out one.
+drawn by a hash of doc_id, a stretch of ``SAMPLE_BYTES`` characters of each at a
+hashed place; everything is scored on its whole text. Labels reach only rows of other folds than the held-out one.
 
 Defined results: null text is empty; an empty text has the share of good labels
 as score, and so has every text where a label is missing altogether; several
@@ -30,11 +30,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quotelake.llm.common import regroup, texts_of
-from quotelake.llm.language_id import remainder
+from quotelake.llm.language_id import remainder, stretch
 
 PER_CLASS = 3_000
 SAMPLE_BYTES = 8_192
 DICTIONARY_BYTES = 48 << 10
+# Length of the stretches that the dictionary trainer picks.
+SEGMENT = 64
 BLOCK = 2_048
 LEVEL = 3
 BATCH_BYTES = 8 << 20
@@ -105,7 +107,8 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int = 2) -> CompressionModel:
-    known = labels.where((remainder(folds) != held) & F.col("quality").isNotNull())
+    outside = remainder(folds) != held
+    known = labels.where(outside & F.col("quality").isNotNull())
     known = known.groupBy("doc_id").agg((F.avg("quality") >= 0.5).alias("good"))
     counts = {r["good"]: r["n"] for r in known.groupBy("good").agg(F.count(F.lit(1)).alias("n")).collect()}
     prior = counts.get(True, 0) / max(1, sum(counts.values()))
@@ -113,9 +116,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int =
     if len(counts) < 2:
         return empty
     draw = F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("quality")), 11) / F.lit(float(1 << 53))
-    share = F.when(F.col("good"), min(1.0, PER_CLASS / counts[True])).otherwise(min(1.0, PER_CLASS / counts[False]))
-    drawn = known.where(draw < share)
-    texts = docs.where(F.octet_length("text") > 0).select("doc_id", F.substring("text", 1, SAMPLE_BYTES).alias("text"))
+    shares = {good: min(1.0, PER_CLASS / n) for good, n in counts.items()}
+    drawn = known.where(draw < F.when(F.col("good"), shares[True]).otherwise(shares[False]))
+    # The draw depends on doc_id alone: texts that no label could choose stay out of the join.
+    texts = docs.where(outside & (draw < max(shares.values())) & (F.octet_length("text") > 0))
+    texts = texts.select("doc_id", stretch("text", SAMPLE_BYTES).alias("text"))
     found = sorted(texts.join(drawn, "doc_id").collect(), key=lambda r: (r["doc_id"], r["text"]))
     rows = [(r["text"].encode(), r["good"]) for r in found]
     build, fit = rows[::2], rows[1::2]
@@ -134,13 +139,11 @@ def fit_quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held: int =
 
 
 def _dictionary(texts: Sequence[bytes], size: int) -> bytes:
-    """Content in which every sampled text has a part, alike in size."""
-    each = max(64, size // len(texts))
-    parts = []
-    for i, text in enumerate(texts):
-        at = (i * 7919) % max(1, len(text) - each + 1)
-        parts.append(text[at : at + each])
-    return b"".join(parts)[-size:]
+    """What zstandard's trainer finds most useful in the sampled texts; small samples are content as they are."""
+    if sum(map(len, texts)) <= 10 * size:
+        each = -(-size // len(texts))
+        return b"".join(t[:each] for t in texts)
+    return zstandard.train_dictionary(size, list(texts), k=SEGMENT, d=8).as_bytes()
 
 
 SCHEMA = "doc_id bigint, held_out boolean, score double, predicted int"
