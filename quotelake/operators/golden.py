@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -18,18 +18,18 @@ def first_record(
     """The record that ranks first by ``ascending`` then ``descending``, NULLs last.
 
     Same result as ``RANK() = 1`` followed by DISTINCT: records that tie on all
-    ranking columns are equal, so one per key remains. Two aggregations with
-    map-side combining replace the window; daily repetitions of a record
-    collapse before they are shuffled. ``highest_as`` receives the key's
-    greatest ``descending`` value over all records.
+    ranking columns are equal, so one per key remains. Equal records collapse
+    before they are shuffled (hashed, with map-side combining), so the window
+    sees a key's distinct records only, also where the key has a third of all
+    rows. ``highest_as`` receives the key's greatest ``descending`` value over
+    all records.
     """
-    candidates = df.groupBy(key, *ascending).agg(F.max(descending).alias(descending))
-    order = []
-    for name in ascending:
-        order += [F.col(name).isNull().alias(f"__no_{name}"), F.col(name).alias(name)]
-    best = F.min(F.struct(*order, F.col(descending).alias(descending))).alias("__best")
-    return candidates.groupBy(key).agg(best, F.max(descending).alias(highest_as)).select(
-        key,
-        *[F.col(f"__best.{name}").alias(name) for name in [*ascending, descending]],
-        highest_as,
+    distinct = df.select(key, *ascending, descending).distinct()
+    whole = Window.partitionBy(key)
+    order = [*[F.col(c).asc_nulls_last() for c in ascending], F.col(descending).desc_nulls_last()]
+    ranked = distinct.select(
+        "*",
+        F.max(descending).over(whole).alias(highest_as),
+        F.row_number().over(whole.orderBy(*order)).alias("__place"),
     )
+    return ranked.where(F.col("__place") == 1).select(key, *ascending, descending, highest_as)
