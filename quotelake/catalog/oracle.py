@@ -439,12 +439,10 @@ def composite_score() -> str:
 def _fundamental(name: str, kind: str, i: int) -> str:
     if kind.startswith("yield:"):
         of = kind.split(":")[1]
-        text = at(roles.fundamental_texts("payout"), f"c_custkey + {list(FUNDAMENTAL_KINDS).index(of)}")
+        text = roles.fundamental_text("payout", list(FUNDAMENTAL_KINDS).index(of))
         return f"try_cast(nullif(regexp_extract({text}, '\\(([^%]*)%', 1), '') AS FLOAT)::DOUBLE"
     source = roles.fundamental_source_kind(name, kind)
-    if source == "words":
-        return f"'{name} ' || c_custkey"
-    text = at(roles.fundamental_texts(source), f"c_custkey + {i}")
+    text = roles.fundamental_text(source, i)
     if kind == "text":
         return text
     if kind == "flag":
@@ -462,7 +460,7 @@ def _fundamental(name: str, kind: str, i: int) -> str:
 
 def _fundamentals() -> str:
     cols = [f"{_fundamental(n, k, i)} AS {n}" for i, (n, k) in enumerate(FUNDAMENTAL_KINDS.items())]
-    return f"fundamentals AS (SELECT {', '.join(cols)} FROM customer)"
+    return f"fundamentals AS (SELECT {', '.join(cols)} FROM (SELECT *, {', '.join(roles.NUMBERS)} FROM (SELECT *, {roles.CENTS} FROM customer)))"
 
 
 RATINGS = """SELECT DISTINCT 'D' || doc_id AS symbol, source AS status, lang AS rating_by,

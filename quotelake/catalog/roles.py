@@ -205,27 +205,35 @@ def master_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return screener, fundamentals, technical, options
 
 
-def fundamental_texts(kind: str) -> list[str]:
-    """Forty vendor texts of a kind, '-' and '' among them."""
-    number = [f"{n * 37 % 900 + 1}.{n * 53 % 100:02d}" for n in range(38)]
+# Whole cents of a customer's balance, and decimal texts of some multiples; the vendor texts are formatted from these.
+CENTS = "CAST(floor(abs(c_acctbal) * 100 + 0.5) AS BIGINT) AS cents"
+NUMBERS = [f"CAST(CAST(cents * 0.0{k} AS DECIMAL(12,2)) AS STRING) AS number{k}" for k in range(1, 8)]
+MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
+
+
+def fundamental_text(kind: str, i: int) -> str:
+    """SQL of the i-th column's vendor text, in functions that both engines have; now and then '-' or ''."""
+    number, value = f"number{i % 7 + 1}", f"(cents + {i * 53})"
     if kind == "percent":
-        texts = [f"{'-' if i % 3 == 0 else ''}{n}%" for i, n in enumerate(number)]
+        text = f"concat(CASE WHEN c_acctbal < 0 THEN '-' ELSE '' END, {number}, '%')"
     elif kind == "magnitude":
-        texts = [n + "MB"[i % 2] for i, n in enumerate(number)]
+        text = f"concat({number}, CASE WHEN c_nationkey % 2 = 0 THEN 'M' ELSE 'B' END)"
     elif kind == "volume":
-        texts = [n + "KMB"[i % 3] for i, n in enumerate(number)]
+        text = f"concat({number}, CASE c_nationkey % 3 WHEN 0 THEN 'K' WHEN 1 THEN 'M' ELSE 'B' END)"
     elif kind == "date":
-        months = "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec".split()
-        texts = [f"{months[i % 12]} {i % 28 + 1}, {2020 + i % 6}" for i in range(38)]
+        month = f"substr('{MONTHS}', CAST({value} % 12 AS INT) * 3 + 1, 3)"
+        text = f"concat({month}, ' ', CAST({value} % 28 + 1 AS STRING), ', ', CAST(2020 + {value} % 6 AS STRING))"
     elif kind == "payout":
-        texts = [f"{n} ({i % 9}.25%)" for i, n in enumerate(number)]
+        text = f"concat({number}, ' (', CAST({value} % 9 AS STRING), '.25%)')"
     elif kind == "flag":
-        texts = ["EQ", "", "F"] * 12 + ["EQ", ""]
+        text = f"CASE {value} % 3 WHEN 0 THEN 'EQ' WHEN 1 THEN '' ELSE 'F' END"
     elif kind == "option":
-        texts = ["Yes / Yes", "No / Yes"] * 19
+        text = f"CASE WHEN cents % 3 > 0 THEN 'Yes / Yes' ELSE 'No / Yes' END"
+    elif kind == "words":
+        return f"concat('column {i} of ', c_name, ' in ', c_mktsegment)"
     else:
-        texts = number
-    return [*texts, "-", ""]
+        text = number
+    return f"CASE (cents + {i}) % 20 WHEN 0 THEN '-' WHEN 1 THEN '' ELSE {text} END"
 
 
 def fundamental_source_kind(name: str, kind: str) -> str | None:
@@ -238,16 +246,13 @@ def fundamental_source_kind(name: str, kind: str) -> str | None:
 
 
 def fundamentals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All vendor text columns per customer, by kind."""
-    key = F.col("c_custkey")
+    """All vendor text columns per customer, formatted from the balance, nation, name and segment."""
     columns = []
     for i, (name, kind) in enumerate(FUNDAMENTAL_KINDS.items()):
         source = fundamental_source_kind(name, kind)
-        if source == "words":
-            columns.append(F.concat(F.lit(f"{name} "), key.cast("string")).alias(name))
-        elif source:
-            columns.append(pick(fundamental_texts(source), key + i).alias(name))
-    return table(spark, sf_dir, "customer").select(*columns)
+        if source:
+            columns.append(f"{fundamental_text(source, i)} AS {name}")
+    return table(spark, sf_dir, "customer").selectExpr("*", CENTS).selectExpr("*", *NUMBERS).selectExpr(*columns)
 
 
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
