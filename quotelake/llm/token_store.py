@@ -193,24 +193,36 @@ class TokenShard:
         return np.frombuffer(raw, self.width).astype("<u4")
 
 
+def located(shard: TokenShard) -> tuple[np.ndarray, np.ndarray]:
+    """Every key of the shard with each of its records, as the perfect hash finds them, in file order."""
+    keys = np.unique(shard.keys)
+    first, records = shard.find(keys)
+    if (first < 0).any() or records.sum() != len(shard.keys) or (shard.keys[first] != keys).any():
+        raise ValueError("the index of a token shard does not lead to its keys")
+    order = np.argsort(first)
+    keys, first, records = keys[order], first[order], records[order]
+    return np.repeat(keys, records), np.repeat(first, records) + _within(records)
+
+
 def _read_shards(folder: str):
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in (r for batch in batches for r in batch.to_pylist()):
             shard = TokenShard(folder, row["path"])
-            keys = np.unique(shard.keys)
-            first, records = shard.find(keys)
-            if (first < 0).any() or records.sum() != shard.meta["docs"]:
-                raise ValueError(f"the index of {row['path']} misses keys")
-            record = np.sort(np.repeat(first, records) + _within(records))
+            owner, record = located(shard)
             done = 0
             while done < len(record):
-                last = max(done + 1, int(np.searchsorted(shard.starts, shard.starts[done] + READ_IDS, "right")) - 1)
-                raw = memoryview(shard.ids(done, last).tobytes())
-                starts = shard.starts[done : last + 1]
+                # Records that follow one another are read together.
+                apart = np.flatnonzero(np.diff(record[done:]) != 1)
+                run = done + (int(apart[0]) + 1 if len(apart) else len(record) - done)
+                limit = np.searchsorted(shard.starts, shard.starts[record[done]] + READ_IDS, "right") - 1
+                last = min(run, max(done + 1, done + int(limit - record[done])))
+                begin, end = int(record[done]), int(record[last - 1]) + 1
+                raw = memoryview(shard.ids(begin, end).tobytes())
+                starts = shard.starts[begin : end + 1]
                 offsets = ((starts - starts[0]) * 4).tolist()
                 crcs = [zlib.crc32(raw[a:b]) for a, b in zip(offsets, offsets[1:], strict=False)]
-                doc = shard.keys[record[done:last]]
-                null = np.arange(done, last) < shard.meta["nulls"]
+                doc = owner[done:last]
+                null = record[done:last] < shard.meta["nulls"]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(doc, pa.int64(), mask=null),
