@@ -6,9 +6,13 @@ run, ending there, that some item contains. A run of ``window`` words is a
 hit, and so is a whole item of fewer words; the items that contain a hit are
 stored at the automaton's states.
 
-The benchmark's texts go to every task, so their bytes are checked against
-``MAX_ITEM_BYTES`` first. A task builds one automaton per block of
-``BLOCK_WORDS`` words and holds one at a time.
+Items of up to ``4 * BLOCK_WORDS`` bytes go to the tasks, where a worker
+process builds their automaton once. Larger benchmarks are cut into pieces that
+overlap by a window, and dealt to blocks of about that size; every block's
+automaton is built once, in a task of its own, and put into the shared folder.
+A task then takes ``HELD_BYTES`` of texts at a time through one block after the
+other, with one automaton in memory. Neither has a limit on the benchmark; the
+time grows with documents times blocks.
 
 Defined results: null text has no words; an item without words matches
 nothing; items of null id mark words but are not listed or counted; items that
@@ -19,18 +23,24 @@ benchmark nothing is hit; an empty table gives an empty table.
 from __future__ import annotations
 
 import hashlib
+import os
+import pickle
+import uuid
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quotelake.llm.common import LOWER_ASCII, claim, regroup, texts_of
+from quotelake.llm.common import LOWER_ASCII, claim, materialize, regroup, texts_of
+from quotelake.session import shared_folder
 
 WINDOW = 13
-MAX_ITEM_BYTES = 256 << 20
 BLOCK_WORDS = 200_000
 BATCH_BYTES = 16 << 20
+HELD_BYTES = 128 << 20
 
 # Words are runs of digits, letters after lower-casing and bytes from 0x80; the rest separates.
 WORD_BYTES = bytes(
@@ -150,17 +160,55 @@ class Automaton:
                     up = link[up]
 
 
-def _blocks(items: Sequence[tuple[str | None, bytes]]) -> Iterator[list[tuple[str | None, list[bytes]]]]:
-    block, held = [], 0
-    for name, text in items:
-        words = words_of(text)
-        block.append((name, words))
-        held += len(words)
-        if held >= BLOCK_WORDS:
-            yield block
-            block, held = [], 0
-    if block:
-        yield block
+def _pieces(window: int, size: int):
+    """Items cut into pieces of so many windows, none of them shorter than a window; short items are whole."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, text in zip(batch.column("item").to_pylist(), texts_of(batch.column("text")), strict=True):
+                words = words_of(text)
+                starts = range(0, max(1, len(words) - window + 1), size) if words else ()
+                pieces = [b" ".join(words[at : at + size + window - 1]) for at in starts]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([name] * len(pieces), pa.string()), pa.array(pieces, pa.binary())], ["item", "words"]
+                )
+
+    return cut
+
+
+def _store(folder: str, window: int):
+    """The automaton of one block to a file of its own; a repeated task writes another one."""
+
+    def store(block: pa.Table) -> pa.Table:
+        claim("decontamination", _built.clear)
+        rows = zip(block.column("item").to_pylist(), block.column("words").to_pylist(), strict=True)
+        items = sorted(((name, words.split()) for name, words in rows), key=lambda r: (r[0] or "", r[1]))
+        files, base = fs.FileSystem.from_uri(folder)
+        path = f"{base}/block-{uuid.uuid4().hex}"
+        with files.open_output_stream(path) as out:
+            out.write(pickle.dumps(Automaton(items, window), pickle.HIGHEST_PROTOCOL))
+        return pa.table({"path": [path]})
+
+    return store
+
+
+@dataclass
+class StoredBlocks:
+    """Automata in the shared folder."""
+
+    folder: str
+    paths: list[str]
+
+    def __iter__(self) -> Iterator[Automaton]:
+        claim("decontamination", _built.clear)
+        _built.clear()
+        files, _ = fs.FileSystem.from_uri(self.folder)
+        for path in self.paths:
+            with files.open_input_file(path) as file:
+                automaton = pickle.loads(file.read())
+            yield automaton
+            # One at a time: this one goes before the next is read.
+            del automaton
 
 
 def remove_marked(text: bytes, marks: bytearray) -> bytes:
@@ -186,22 +234,39 @@ def remove_marked(text: bytes, marks: bytearray) -> bytes:
 _built: dict[bytes, Automaton] = {}
 
 
-def _automata(items: Sequence[tuple[str | None, bytes]], window: int) -> Iterator[Automaton]:
-    if sum(len(t) for _, t in items) <= 4 * BLOCK_WORDS:
-        # One block: kept by the worker process for its next task.
+Items = Sequence[tuple[str | None, bytes]]
+
+
+def _automata(items: Items | StoredBlocks, window: int) -> Iterator[Automaton]:
+    if isinstance(items, StoredBlocks):
+        yield from items
+    elif items:
+        # Kept by the worker process for its next task.
         claim("decontamination", _built.clear)
         digest = hashlib.sha256(repr((window, items)).encode()).digest()
         if digest not in _built:
             _built.clear()
             _built[digest] = Automaton([(n, words_of(t)) for n, t in items], window)
         yield _built[digest]
-    else:
-        for block in _blocks(items):
-            yield Automaton(block, window)
+
+
+def _together(batches: Iterator[pa.RecordBatch], items: Items | StoredBlocks) -> Iterator[pa.RecordBatch]:
+    """Batches of the size that one reading of the items is for."""
+    if not isinstance(items, StoredBlocks):
+        yield from regroup(batches, "text", BATCH_BYTES)
+        return
+    held: list[pa.RecordBatch] = []
+    for batch in regroup(batches, "text", BATCH_BYTES):
+        held.append(batch)
+        if sum(b.nbytes for b in held) >= HELD_BYTES:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held = []
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
 def _hits(
-    texts: Sequence[bytes], items: Sequence[tuple[str | None, bytes]], window: int
+    texts: Sequence[bytes], items: Items | StoredBlocks, window: int
 ) -> tuple[list[bytearray], list[set[str | None]]]:
     """By text: a mark for every word, and the items hit. The words of one text are held at a time."""
     marks = [bytearray() for _ in texts]
@@ -226,7 +291,7 @@ def _contaminated(marks: bytearray, hit_share: int) -> bool:
 
 def _judge(shared, window: int, hit_share: int, cleaned: bool):
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in regroup(batches, "text", BATCH_BYTES):
+        for batch in _together(batches, shared.value):
             texts = texts_of(batch.column("text"))
             marks, found = _hits(texts, shared.value, window)
             names = [sorted(n for n in f if n is not None) for f in found]
@@ -249,16 +314,26 @@ def _judge(shared, window: int, hit_share: int, cleaned: bool):
     return judge
 
 
-def _items(benchmark: DataFrame):
-    """The benchmark's texts as a broadcast, once their size is known to be bounded."""
-    items = benchmark.select(F.col("item_id").cast("string"), F.encode("text", "UTF-8").alias("text")).where(
-        F.octet_length("text") > 0
-    )
+def _items(benchmark: DataFrame, window: int):
+    """The benchmark as a broadcast: its texts where they are few, else the places of the blocks' automata."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), "text").where(F.octet_length("text") > 0)
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    if size > MAX_ITEM_BYTES:
-        raise ValueError(f"benchmark texts have {size} bytes, at most {MAX_ITEM_BYTES} are sent to tasks")
-    held = sorted(((r[0], bytes(r[1])) for r in items.collect()), key=lambda r: (r[0] or "", r[1]))
-    return benchmark.sparkSession.sparkContext.broadcast(held)
+    if size <= 4 * BLOCK_WORDS:
+        held = sorted(((r[0], r[1].encode()) for r in items.collect()), key=lambda r: (r[0] or "", r[1]))
+        return spark.sparkContext.broadcast(held)
+    folder = shared_folder(spark, "automata")
+    if "://" not in folder and not folder.startswith("file:"):
+        folder = f"file://{os.path.abspath(folder)}"
+    files, base = fs.FileSystem.from_uri(folder)
+    files.create_dir(base)
+    blocks = -(-size // (4 * BLOCK_WORDS))
+    pieces = items.mapInArrow(_pieces(window, max(1, BLOCK_WORDS // 4)), "item string, words binary").distinct()
+    block = F.pmod(F.xxhash64("item", "words"), F.lit(blocks)).alias("block")
+    built = pieces.select("item", "words", block).groupBy("block").applyInArrow(_store(folder, window), "path string")
+    # One path per block.
+    paths = sorted(r["path"] for r in materialize(built, "blocks").collect())
+    return spark.sparkContext.broadcast(StoredBlocks(folder, paths))
 
 
 def decontaminate(
@@ -270,7 +345,7 @@ def decontaminate(
     ``hit_share`` of its words. With ``cleaned`` a column ``clean`` holds the
     text without the words inside hits.
     """
-    out = docs.select("doc_id", "text").mapInArrow(_judge(_items(benchmark), window, hit_share, cleaned), SCHEMA)
+    out = docs.select("doc_id", "text").mapInArrow(_judge(_items(benchmark, window), window, hit_share, cleaned), SCHEMA)
     return out if cleaned else out.drop("clean")
 
 
@@ -278,10 +353,10 @@ def keep_uncontaminated(
     docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, hit_share: int = 20
 ) -> DataFrame:
     """The rows, all columns, that are not contaminated."""
-    shared = _items(benchmark)
+    shared = _items(benchmark, window)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in regroup(batches, "text", BATCH_BYTES):
+        for batch in _together(batches, shared.value):
             marks, _ = _hits(texts_of(batch.column("text")), shared.value, window)
             yield batch.filter(pa.array([not _contaminated(m, hit_share) for m in marks], pa.bool_()))
 
