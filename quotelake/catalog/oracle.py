@@ -621,25 +621,18 @@ history AS (
 
 def _attribute_rows(source: str, key: str, prefix: str) -> str:
     names = [*SUMMARY_ATTRIBUTES, EXCLUDED_ATTRIBUTE]
+    balance, name_col, nation_col = (f"{key[0]}_{c}" for c in ("acctbal", "name", "nationkey"))
     cells = []
-    for i, name in enumerate(names):
-        n = f"({key} * 11 + {i * 29})"
-        decimal = f"(({n} % 90 + 1) || '.' || lpad(({n} % 100)::VARCHAR, 2, '0'))"
-        if name == "earnings":
-            value = f"CASE WHEN {n} % 5 <> 0 THEN 'Nov ' || lpad(({n} % 28 + 1)::VARCHAR, 2, '0') || ' AMC' END"
-        elif name == "volatility":
-            value = f"{decimal} || ' ' || {decimal}"
-        elif name in ("price", "prevclose"):
-            value = decimal
-        else:
-            value = f"CASE WHEN {n} % 13 <> 0 THEN {decimal} END"
-        if name != EXCLUDED_ATTRIBUTE:
-            cells.append(f'CASE WHEN {key} % {len(names)} <> {i} THEN {value} END AS "{name}"')
-    name_col, nation_col = key[0] + "_name", key[0] + "_nationkey"
+    for i, name in enumerate(names[:-1]):
+        text = roles.attribute_text(name, i, balance)
+        cells.append(
+            f"CASE WHEN cents % {len(names)} <> {i} AND {text} <> '-' THEN replace({text}, '%', '') END AS \"{name}\""
+        )
     return f"""summary AS (
       SELECT {at(roles.OPTION_SECTORS, key)} AS sector, {name_col} AS companyname, n_name AS industry,
              '{prefix}' || {key} AS symbol, {", ".join(cells)}
-      FROM {source} JOIN nation ON n_nationkey = {nation_col})"""
+      FROM (SELECT *, {', '.join(roles.NUMBERS)} FROM (SELECT *, {roles.cents_of(balance)} FROM {source}))
+      JOIN nation ON n_nationkey = {nation_col})"""
 
 
 def flow_stats() -> str:

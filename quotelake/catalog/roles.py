@@ -205,8 +205,12 @@ def master_sources(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
     return screener, fundamentals, technical, options
 
 
+def cents_of(balance: str) -> str:
+    return f"CAST(floor(abs({balance}) * 100 + 0.5) AS BIGINT) AS cents"
+
+
 # Whole cents of a customer's balance, and decimal texts of some multiples; the vendor texts are formatted from these.
-CENTS = "CAST(floor(abs(c_acctbal) * 100 + 0.5) AS BIGINT) AS cents"
+CENTS = cents_of("c_acctbal")
 NUMBERS = [f"CAST(CAST(cents * 0.0{k} AS DECIMAL(12,2)) AS STRING) AS number{k}" for k in range(1, 8)]
 MONTHS = "JanFebMarAprMayJunJulAugSepOctNovDec"
 
@@ -389,27 +393,33 @@ def flow_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def attribute_text(name: str, i: int, balance: str) -> str:
+    """SQL of the i-th attribute's text from a balance, in functions that both engines have."""
+    number, value = f"number{i % 7 + 1}", f"(cents + {i * 29})"
+    if name == "earnings":
+        day = f"lpad(CAST({value} % 28 + 1 AS STRING), 2, '0')"
+        return f"CASE WHEN {value} % 5 = 0 THEN '-' ELSE concat('Nov ', {day}, ' AMC') END"
+    if name == "volatility":
+        return f"concat({number}, '% ', number{(i + 1) % 7 + 1}, '%')"
+    if name in ("price", "prevclose"):
+        return number
+    signed = f"concat(CASE WHEN {balance} < 0 THEN '-' ELSE '' END, {number}, '%')"
+    return f"CASE WHEN {value} % 13 = 0 THEN '-' ELSE {signed} END"
+
+
 def attribute_values(rows: DataFrame, key: str, prefix: str) -> DataFrame:
-    """Attribute-value rows for each key: percent text, '-', and words."""
-    pairs = []
-    for i, name in enumerate([*SUMMARY_ATTRIBUTES, EXCLUDED_ATTRIBUTE]):
-        n = F.col(key) * 11 + i * 29
-        decimal = F.concat((n % 90 + 1).cast("string"), F.lit("."), F.lpad((n % 100).cast("string"), 2, "0"))
-        if name == "earnings":
-            value = F.when(n % 5 == 0, "-").otherwise(F.concat(F.lit("Nov "), F.lpad((n % 28 + 1).cast("string"), 2, "0"), F.lit(" AMC")))
-        elif name == "volatility":
-            value = F.concat(decimal, F.lit("% "), decimal, F.lit("%"))
-        elif name in ("price", "prevclose"):
-            value = decimal
-        else:
-            value = F.when(n % 13 == 0, "-").otherwise(F.concat(decimal, F.lit("%")))
-        pairs.append(F.struct(F.lit(f"Attr {name}").alias("columnname"), value.alias("datavalue")))
-    symbol = F.concat(F.lit(prefix), F.col(key).cast("string"))
-    # Each key lacks one attribute, to show that nothing shifts.
-    lacks = (F.col(key) % len(pairs)).cast("int")
+    """Attribute-value rows for each key, formatted from its balance: percent text, '-', and words."""
+    balance, names = f"{key[0]}_acctbal", [*SUMMARY_ATTRIBUTES, EXCLUDED_ATTRIBUTE]
+    pairs = [
+        f"named_struct('columnname', 'Attr {name}', 'datavalue', {attribute_text(name, i, balance)})"
+        for i, name in enumerate(names)
+    ]
     return (
-        rows.select(F.col(key), symbol.alias("symbol"), F.posexplode(F.array(*pairs)).alias("pos", "a"))
-        .where(F.col("pos") != lacks)
+        rows.selectExpr("*", cents_of(balance))
+        .selectExpr("*", *NUMBERS)
+        .selectExpr(f"concat('{prefix}', {key}) AS symbol", "cents", f"posexplode(array({', '.join(pairs)})) AS (pos, a)")
+        # Each row lacks one attribute, to show that nothing shifts.
+        .where(F.col("pos") != F.col("cents") % len(names))
         .select("symbol", "a.columnname", "a.datavalue")
     )
 

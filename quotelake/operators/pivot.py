@@ -32,13 +32,16 @@ def attribute_pivot(df: DataFrame, key: str, attribute: str, value: str, names:
     there and nothing shifts. The names are given, which spares the extra pass
     that would discover them. Of several values of an attribute the greatest
     stays. A key's pairs are collected (a hash aggregate; a maximum of text would
-    sort all rows), which is bounded by its attributes.
+    sort all rows), which is bounded by its attributes, then sorted once and
+    turned into a map that every column looks itself up in.
     """
     known = F.when(F.col(attribute).isin(list(names)), F.struct(attribute, value)).alias("__pair")
     held = df.select(key, known)
-    pairs = held.groupBy(key).agg(F.collect_set("__pair").alias("__pairs"))
+    pairs = held.groupBy(key).agg(F.sort_array(F.collect_set("__pair")).alias("__pairs"))
 
-    def greatest(name: str) -> Column:
-        return F.array_max(F.filter("__pairs", lambda pair: pair[attribute] == name))[value].alias(name)
+    def greatest(pair: Column, place: Column) -> Column:
+        following = F.get("__pairs", place + 1)[attribute]
+        return following.isNull() | (following != pair[attribute])
 
-    return pairs.select(key, *[greatest(name) for name in names])
+    lookup = F.map_from_entries(F.filter("__pairs", greatest)).alias("__values")
+    return pairs.select(key, lookup).select(key, *[F.try_element_at("__values", F.lit(n)).alias(n) for n in names])
