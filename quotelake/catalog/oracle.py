@@ -941,3 +941,4 @@ ORACLE: dict[str, str] = {
 # Kept by day or computed at once, the results are the same.
 ORACLE["flow_stats_incremental"] = ORACLE["flow_contract_stats"]
 ORACLE["open_interest_incremental"] = ORACLE["open_interest_history"]
+ORACLE["chain_zscores_bucketed"] = ORACLE["chain_zscores"]

@@ -35,9 +35,10 @@ from quotelake.operators import (
     zscore,
 )
 from quotelake.plans import feeds, flow, fundamentals, ingest, master, screener, summary, trades
-from quotelake.plans.jobs import PartitionedJob, refresh_table
+from quotelake.plans.jobs import BucketedJob, PartitionedJob, refresh_table
 from quotelake.session import shared_folder
 from quotelake.sources import (
+    BucketedTable,
     append_table,
     latest_partition,
     list_partitions,
@@ -133,6 +134,34 @@ def chain_zscores_filtered(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def chain_store(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Trade leaves and open interest as jobs keep them, bucketed by chain and day; the later dates come second."""
+    base = shared_folder(spark, "chains")
+    raw = {
+        "trades": (roles.option_trades(spark, sf), trades.chain_leaves),
+        "oi_changes": (roles.oi_changes(spark, sf), trades.keyed_chain_base),
+    }
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    stored = []
+    for name, (rows, transform) in raw.items():
+        table_name = f"{name}_{base.rpartition('-')[2]}"
+        staged = BucketedTable(table_name, f"{base}/stage/{name}", trades.CHAIN_KEY, buckets)
+        job = BucketedJob({name: f"{base}/raw/{name}"}, transform, staged.path, table=staged)
+        early = F.col("file_version_date") < "19970101"
+        for delivery in (early, ~early):
+            write_partitions(rows.where(delivery), f"{base}/raw/{name}")
+            job.run(spark)
+        stored.append(staged.read(spark))
+    return tuple(stored)
+
+
+def chain_zscores_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """Cube, analytics and z-scores from the bucketed stage tables."""
+    leaves, base = chain_store(spark, sf)
+    cube = trades.option_trades_of_leaves(leaves, base)
+    return trades.chain_zscores(trades.chain_analytics(cube, base, trades.CHAIN_KEY))
+
+
 def contract_pivot(spark: SparkSession, sf: str) -> DataFrame:
     """Conditional sums and maxima per part."""
     flag, value = F.col("l_returnflag"), F.col("l_quantity")
@@ -764,6 +793,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         chain_analytics,
         chain_zscores,
         chain_zscores_filtered,
+        chain_zscores_bucketed,
         contract_pivot,
         screener_metrics,
         sweep_premium_rollup,

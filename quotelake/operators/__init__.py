@@ -6,6 +6,8 @@ from quotelake.operators.cube import (
     WeightedAverage,
     count_rows,
     cube_agg,
+    cube_leaves,
+    cube_of_leaves,
     highest,
     lowest,
     total,
@@ -34,6 +36,8 @@ __all__ = [
     "conform",
     "count_rows",
     "cube_agg",
+    "cube_leaves",
+    "cube_of_leaves",
     "date_dimension",
     "date_windows",
     "day_series",

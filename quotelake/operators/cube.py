@@ -62,6 +62,18 @@ def highest(name: str, value: Column) -> Measure:
     return Measure(name, F.max(value), F.max)
 
 
+def cube_leaves(
+    df: DataFrame,
+    keys: Sequence[str],
+    cube_cols: Sequence[str],
+    measures: Sequence[Measure],
+    averages: Sequence[WeightedAverage] = (),
+) -> DataFrame:
+    """One row per (keys, cube_cols): what ``cube_of_leaves`` needs, and what a stage table may keep."""
+    parts = [*measures, *[a.as_measure() for a in averages]]
+    return df.groupBy(*keys, *cube_cols).agg(*[m.leaf.alias(m.name) for m in parts])
+
+
 def cube_agg(
     df: DataFrame,
     keys: Sequence[str],
@@ -80,17 +92,29 @@ def cube_agg(
     may filter the leaves (totals per key can be had from them). When
     ``distribute_by`` (a subset of ``keys`` with few leaves each) is given, the
     leaves are placed by it once and the final aggregation needs no shuffle.
-
-    ``grouping_col`` receives the grouping id: bit i is set when the i-th cube
-    column (from the right) is a subtotal.
     """
-    parts = [*measures, *[a.as_measure() for a in averages]]
-    leaves = df.groupBy(*keys, *cube_cols).agg(*[m.leaf.alias(m.name) for m in parts])
+    leaves = cube_leaves(df, keys, cube_cols, measures, averages)
     if distribute_by:
         leaves = leaves.repartition(*distribute_by)
     if on_leaves:
         leaves = on_leaves(leaves)
+    return cube_of_leaves(leaves, keys, cube_cols, measures, averages, grouping_col)
 
+
+def cube_of_leaves(
+    leaves: DataFrame,
+    keys: Sequence[str],
+    cube_cols: Sequence[str],
+    measures: Sequence[Measure],
+    averages: Sequence[WeightedAverage] = (),
+    grouping_col: str | None = None,
+) -> DataFrame:
+    """The grouping sets over rows of ``cube_leaves``; leaves placed by some of the keys are not shuffled.
+
+    ``grouping_col`` receives the grouping id: bit i is set when the i-th cube
+    column (from the right) is a subtotal.
+    """
+    parts = [*measures, *[a.as_measure() for a in averages]]
     gid = grouping_col or "__grouping_id"
     types = {f.name: f.dataType for f in leaves.schema.fields}
     sets = []

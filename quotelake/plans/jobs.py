@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from quotelake.sources.buckets import BucketedTable
 from quotelake.sources.files import file_manifest
 from quotelake.sources.lake import (
     PARTITION,
@@ -64,10 +65,12 @@ class _DatedJob:
     def _write(self, spark: SparkSession, values: Sequence[str]) -> None:
         self.writes += 1
         frames = {name: self._load(spark, name, values) for name in self.sources}
-        result = self.transform(**frames)
-        replace_partitions(result, self.target, values, self.partition_col, self.compression, self.sort_by)
+        self._replace(self.transform(**frames), values)
         self._record(spark, values)
 
+    def _replace(self, result: DataFrame, values: Sequence[str]) -> None:
+        replace_partitions(result, self.target, values, self.partition_col, self.compression, self.sort_by)
+
     def _record(self, spark: SparkSession, values: Sequence[str]) -> None:
         record_processed(spark, self._ledger, values, self.partition_col)
 
@@ -109,6 +112,16 @@ class PartitionedJob(_DatedJob):
         return read_partitioned(spark, self.sources[name], self.partition_col, values)
 
 
+@dataclass
+class BucketedJob(PartitionedJob):
+    """The same into a table bucketed by a key of the result. The table's folder is the target."""
+
+    table: BucketedTable | None = None
+
+    def _replace(self, result: DataFrame, values: Sequence[str]) -> None:
+        self.table.replace(result, values, self.compression)
+
+
 @dataclass
 class FileFeedJob(_DatedJob):
     """The same for vendor files whose names end in their date.

@@ -22,12 +22,15 @@ from quotelake.operators import (
     conditional_pivot,
     count_rows,
     cube_agg,
+    cube_leaves,
+    cube_of_leaves,
     highest,
     keep_matching,
     lowest,
     total,
     zscore,
 )
+from quotelake.operators.cube import Measure
 
 # Condition codes of the feed, class labels, the liquidity
 # threshold, and the greeks with the digits they are rounded to.
@@ -97,36 +100,49 @@ def _typed_trades(trades: DataFrame, split_multileg: bool, expiry: Column) -> Da
     )
 
 
+CUBE_COLS = ["side", "option_tx_type"]
+
+
+def _measures() -> list[Measure]:
+    return [
+        count_rows("trade_count"),
+        total("total_contracts", F.col("size")),
+        total("total_premium", F.col("premium")),
+        highest("open_interest", F.col("open_interest")),
+        lowest("min_price", F.col("price")),
+        highest("max_price", F.col("price")),
+    ]
+
+
+def _averages() -> list[WeightedAverage]:
+    return [
+        WeightedAverage(name, F.col(source), F.col("size"), "total_contracts", digits) for name, source, digits in AVERAGES
+    ]
+
+
 def _cube(typed: DataFrame, on_leaves: Callable[[DataFrame], DataFrame], strict: bool) -> DataFrame:
     """CUBE(side, transaction type) per contract, with subtotals labelled.
 
     Contracts of one chain and day are few rows once reduced, so the leaves are
     placed by (day, chain) and filter, cube and later pivots share that layout.
-
-    As in the feed's established tables, 'total' also labels the rows whose
-    side is NULL; ``strict`` keeps the label for real subtotals.
     """
-    weight = F.col("size")
     cubed = cube_agg(
         typed,
         CONTRACT,
-        ["side", "option_tx_type"],
-        measures=[
-            count_rows("trade_count"),
-            total("total_contracts", weight),
-            total("total_premium", F.col("premium")),
-            highest("open_interest", F.col("open_interest")),
-            lowest("min_price", F.col("price")),
-            highest("max_price", F.col("price")),
-        ],
-        averages=[
-            WeightedAverage(name, F.col(source), weight, "total_contracts", digits)
-            for name, source, digits in AVERAGES
-        ],
+        CUBE_COLS,
+        _measures(),
+        _averages(),
         on_leaves=on_leaves,
         distribute_by=CHAIN_DAY,
         grouping_col="__gid",
     )
+    return _label_subtotals(cubed, strict)
+
+
+def _label_subtotals(cubed: DataFrame, strict: bool) -> DataFrame:
+    """As in the feed's established tables, 'total' also labels the rows whose
+    side is NULL; ``strict`` keeps the label for real subtotals.
+    """
     side_subtotal = F.col("__gid").bitwiseAND(2) > 0
     if strict:
         label = F.when(side_subtotal, TOTAL).otherwise(F.coalesce("side", F.lit("unknown")))
@@ -203,11 +219,43 @@ def option_trades_by_chain(trades: DataFrame, base: DataFrame, strict: bool = Fa
         lambda leaves: keep_matching(leaves, chains, CHAIN_DAY),
         strict,
     )
+    return _with_direction(cubed, strict)
+
+
+def _with_direction(cubed: DataFrame, strict: bool) -> DataFrame:
     leaf = F.coalesce(direction(F.col("option_type"), F.col("side")), F.lit("other" if strict else TOTAL))
     flag = F.when(F.col("side") == TOTAL, TOTAL).otherwise(leaf)
     return cubed.withColumn("bull_bear_flg", flag).drop("__gid")
 
 
+# Key of the stage tables below: day and chain in one column, the one they are bucketed by.
+CHAIN_KEY = "chain_day"
+
+
+def _chain_key(chain: str) -> Column:
+    return F.concat(DAY, F.lit(" "), chain).alias(CHAIN_KEY)
+
+
+def chain_leaves(trades: DataFrame) -> DataFrame:
+    """The trades of ``option_trades_by_chain`` reduced to leaves, with the key of their chain and day."""
+    typed = _typed_trades(trades, False, compact_date_int("expiry"))
+    leaves = cube_leaves(typed, CONTRACT, CUBE_COLS, _measures(), _averages())
+    return leaves.select(_chain_key(CHAIN), *leaves.columns)
+
+
+def keyed_chain_base(oi_changes: DataFrame) -> DataFrame:
+    """``chain_base`` with the same key."""
+    base = chain_base(oi_changes)
+    return base.select(_chain_key("option_symbol"), *base.columns)
+
+
+def option_trades_of_leaves(leaves: DataFrame, base: DataFrame, strict: bool = False) -> DataFrame:
+    """``option_trades_by_chain`` from stage tables; where both are bucketed by the key nothing is shuffled."""
+    kept = keep_matching(leaves, base, [CHAIN_KEY])
+    cubed = cube_of_leaves(kept, [CHAIN_KEY, *CONTRACT], CUBE_COLS, _measures(), _averages(), "__gid")
+    return _with_direction(_label_subtotals(cubed, strict), strict)
+
+
 # Output prefix -> (direction, transaction type) of the strike totals.
 STRIKE_GROUPS = {
     "total": ("total", None),
@@ -294,27 +342,30 @@ BASE_COLUMNS = [
 ]
 
 
-def chain_analytics(cube: DataFrame, base: DataFrame) -> DataFrame:
+def chain_analytics(cube: DataFrame, base: DataFrame, key: str | None = None) -> DataFrame:
     """One row per contract: open interest, cube pivot and its strike's totals.
 
     The contract pivot and the strike sums come from the same aggregation; a
     strike's totals are then window sums over its few contracts, so the cube is
-    neither read again nor joined to its own derivatives.
+    neither read again nor joined to its own derivatives. ``key`` names the
+    column that stands for day and chain where both frames have one.
     """
+    chain = [key] if key else CHAIN_DAY
+    base_chain = [key] if key else [DAY, F.col("option_symbol").alias(CHAIN)]
     pivot = _contract_spec()
     contracts = conditional_pivot(
         cube.where(F.col("strike").isNotNull() & F.col("expiry").isNotNull() & F.col("underlying_symbol").isNotNull()),
-        CONTRACT,
+        [*CONTRACT, key] if key else CONTRACT,
         {**pivot, **_strike_spec()},
     )
     # NULL is not unusual; a flag of numbers, since text has no hash aggregate.
     unusual = F.coalesce((F.col("unusual_diff_vol") > 1) | (F.col("unusual_curr_vol") > 2), F.lit(False))
-    facts = base.groupBy(DAY, F.col("option_symbol").alias(CHAIN)).agg(
+    facts = base.groupBy(*base_chain).agg(
         *[F.max(c).alias(c) for c in BASE_COLUMNS], F.when(F.bool_or(unusual), "Y").otherwise("N").alias("unusual_vol_flg")
     )
     per_strike = Window.partitionBy(*STRIKE)
     joined = (
-        contracts.join(facts, CHAIN_DAY)
+        contracts.join(facts, chain)
         .repartition(DAY, "underlying_symbol", "expiry")
         .withColumns({c: F.sum(c).over(per_strike) for c in STRIKE_COLUMNS})
         .withColumn("net_strike_prem", F.col("bull_strike_prem") - F.col("bear_strike_prem"))

@@ -1,5 +1,6 @@
 """Reading vendor files and lake tables, and writing them."""
 
+from quotelake.sources.buckets import BucketedTable
 from quotelake.sources.files import (
     csv_headers,
     dated_files,
@@ -31,6 +32,7 @@ from quotelake.sources.lake import (
 from quotelake.sources.schemas import read_rename_map, string_schema
 
 __all__ = [
+    "BucketedTable",
     "append_table",
     "csv_headers",
     "dated_files",

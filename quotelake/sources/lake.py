@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,6 +101,7 @@ def write_partitions(
     writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", compression)
     writer.partitionBy(col).parquet(path)
 
+
 def drop_partitions(spark: SparkSession, path: str, values: Iterable[str], col: str = PARTITION) -> None:
     """Remove the folders of values, where there are any."""
     jvm = spark.sparkContext._jvm
@@ -117,14 +118,19 @@ def replace_partitions(
     col: str = PARTITION,
     compression: str = "snappy",
     sort_by: Sequence[str] = (),
+    write: Callable[[DataFrame], None] | None = None,
 ) -> None:
     """Write ``values`` anew; those that have no rows in ``df`` lose their old ones.
 
-    A folder that was written has other files than before.
+    A folder that was written has other files than before. ``write`` stands in
+    for ``write_partitions`` where a table has a layout of its own.
     """
     spark, values = df.sparkSession, list(values)
     before = {v: _file_names(spark, f"{path}/{col}={v}") for v in values}
-    write_partitions(df, path, col, compression, sort_by=sort_by)
+    if write:
+        write(df)
+    else:
+        write_partitions(df, path, col, compression, sort_by=sort_by)
     stale = [v for v, names in before.items() if names and names == _file_names(spark, f"{path}/{col}={v}")]
     drop_partitions(spark, path, stale, col)
 
