@@ -750,6 +750,9 @@ ORACLE: dict[str, str] = {
     "trade_cube_strict": trade_cube(True),
     "cube_distinct": """SELECT l_suppkey, l_returnflag, l_linestatus, count(DISTINCT l_orderkey) AS orders,
         count(*) AS rows_seen FROM lineitem GROUP BY l_suppkey, CUBE (l_returnflag, l_linestatus)""",
+    "cube_distinct_dense": """SELECT year(l_shipdate)::INT AS ship_year, l_returnflag, l_linestatus,
+        count(DISTINCT l_orderkey) AS orders, count(*) AS rows_seen
+        FROM lineitem GROUP BY year(l_shipdate), CUBE (l_returnflag, l_linestatus)""",
     "chain_base": with_(CONTRACTS, OI, BASE, final="SELECT * FROM base"),
     "option_trades_by_chain": with_(*CHAIN_CTES, final="SELECT * FROM chain_cube"),
     "strike_details": with_(*CHAIN_CTES, STRIKES, final="SELECT * FROM strikes"),

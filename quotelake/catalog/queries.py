@@ -21,6 +21,7 @@ from quotelake.operators import (
     add_literal,
     attribute_pivot,
     conditional_pivot,
+    cube_count_distinct,
     date_dimension,
     date_windows,
     days_spanned,
@@ -44,6 +45,7 @@ from quotelake.sources import (
     list_partitions,
     pending_partitions,
     read_csv_strings,
+    read_latest,
     read_partitioned,
     with_dense_row_id,
     with_row_id,
@@ -105,6 +107,12 @@ def cube_distinct(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def cube_distinct_dense(spark: SparkSession, sf: str) -> DataFrame:
+    """Distinct orders by year of shipping under CUBE, as bitmaps: each year holds most order numbers of a range."""
+    lines = table(spark, sf, "lineitem").withColumn("ship_year", F.year("l_shipdate"))
+    return cube_count_distinct(lines, ["ship_year"], ["l_returnflag", "l_linestatus"], "l_orderkey", "orders")
+
+
 def chain_base(spark: SparkSession, sf: str) -> DataFrame:
     return trades.chain_base(roles.oi_changes(spark, sf))
 
@@ -252,7 +260,10 @@ def ratings_typed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ticker_universe(spark: SparkSession, sf: str) -> DataFrame:
-    return fundamentals.ticker_universe(roles.option_screener(spark, sf))
+    """From the stored screener's newest date; no other folder is opened."""
+    stored = shared_folder(spark, "universe")
+    write_partitions(roles.option_screener(spark, sf), stored)
+    return fundamentals.listed_stocks(read_latest(spark, stored))
 
 
 def universe_screen(spark: SparkSession, sf: str) -> DataFrame:
@@ -787,6 +798,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         trade_cube_strict,
         trade_cube_staged,
         cube_distinct,
+        cube_distinct_dense,
         chain_base,
         option_trades_by_chain,
         strike_details,

@@ -6,6 +6,7 @@ from quotelake.operators.cube import (
     WeightedAverage,
     count_rows,
     cube_agg,
+    cube_count_distinct,
     cube_leaves,
     cube_of_leaves,
     highest,
@@ -36,6 +37,7 @@ __all__ = [
     "conform",
     "count_rows",
     "cube_agg",
+    "cube_count_distinct",
     "cube_leaves",
     "cube_of_leaves",
     "date_dimension",

@@ -135,3 +135,37 @@ def cube_of_leaves(
         *[m.name for m in measures],
         *[a.final().alias(a.name) for a in averages],
     )
+
+
+def cube_count_distinct(
+    df: DataFrame,
+    keys: Sequence[str],
+    cube_cols: Sequence[str],
+    number: str,
+    name: str,
+    rows: str = "rows_seen",
+) -> DataFrame:
+    """``count(DISTINCT number)`` and the row count under ``GROUP BY keys, CUBE(cube_cols)``.
+
+    For whole numbers that lie densely in their groups: a leaf keeps one bitmap
+    of 4 KB for 32,768 neighbouring numbers, a grouping set ORs the bitmaps of
+    its leaves, and a set's count is the sum over its bitmaps. So what crosses
+    the network is bits, a hot group is spread over its ranges of numbers, and no
+    row is multiplied by the sets. Where a group has few numbers in each such
+    range, distinct rows are the smaller state. NULL is not counted.
+    """
+    value = F.col(number).cast("bigint")
+    held = df.select(
+        *keys,
+        *cube_cols,
+        F.bitmap_bucket_number(value).alias("__range"),
+        F.bitmap_bit_position(value).alias("__place"),
+    )
+    bits = Measure("__bits", F.bitmap_construct_agg("__place"), F.bitmap_or_agg)
+    sets = cube_agg(held, [*keys, "__range"], cube_cols, [bits, count_rows(rows)], grouping_col="__set")
+    counted = sets.select(*keys, *cube_cols, "__set", F.bitmap_count("__bits").alias("__n"), rows)
+    return (
+        counted.groupBy(*keys, *cube_cols, "__set")
+        .agg(F.sum("__n").alias(name), F.sum(rows).alias(rows))
+        .drop("__set")
+    )

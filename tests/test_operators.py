@@ -169,3 +169,18 @@ def test_whole_calendar(spark):
         d = r["actualdate"]
         assert r["day_of_week"] == d.isoweekday() and r["day_of_year"] == d.timetuple().tm_yday
         assert r["week_of_year"] == d.isocalendar()[1] and r["week_of_month"] == (d.day - 1) // 7 + 1
+
+
+def test_cube_count_distinct(spark):
+    data = [(g, a, b, n) for g in ("x", "y") for a in ("p", None) for b in ("q", "r") for n in (1, 1, 7, 40_000, -5, 90_001)]
+    data += [("x", "p", "q", None), ("z", "p", None, None), ("x", "p", "r", 2**40), ("y", None, "q", 8)]
+    df = spark.createDataFrame(data, "g string, a string, b string, n bigint")
+    got = op.cube_count_distinct(df, ["g"], ["a", "b"], "n", "distinct_n")
+    df.createOrReplaceTempView("distinct_rows")
+    plain = spark.sql(
+        "SELECT g, a, b, count(DISTINCT n) AS distinct_n, count(*) AS rows_seen FROM distinct_rows GROUP BY g, CUBE(a, b)"
+    )
+    order = ["g", "a", "b", "distinct_n", "rows_seen"]
+    assert rows(got, *order) == rows(plain, *order)
+    assert "Expand" not in got._jdf.queryExecution().executedPlan().toString()
+    assert op.cube_count_distinct(df.limit(0), ["g"], ["a", "b"], "n", "distinct_n").count() == 0

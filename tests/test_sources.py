@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quotelake import operators as op
 from quotelake import sources as src
 from quotelake.plans import feeds, fundamentals, ingest
 from quotelake.plans.jobs import PartitionedJob
@@ -310,3 +311,30 @@ def test_fundamentals_from_file_to_types(spark, tmp_path):
 def test_every_base_table_has_a_schema():
     assert len(src.schemas.BASE_TABLES) == 14
     assert src.schemas.base_table_schema("exchange_companies")["tags"].dataType == T.ArrayType(T.StringType())
+
+
+def scans(node):
+    """File scans of a plan that has run."""
+    name = node.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return scans(node.executedPlan())
+    if "QueryStage" in name:
+        return scans(node.plan())
+    children = node.children()
+    found = [s for i in range(children.size()) for s in scans(children.apply(i))]
+    return found + ([node] if name.startswith("Scan parquet") else [])
+
+
+def test_a_join_on_the_date_opens_the_joined_dates_only(spark, tmp_path):
+    days = spark.range(40).selectExpr("CAST(20250101 + id AS STRING) AS file_version_date", "id AS n", "id % 7 AS kind")
+    src.write_partitions(days, str(tmp_path / "large"))
+    src.write_table(days.where("n < 8"), str(tmp_path / "asked"))
+    asked = spark.read.parquet(str(tmp_path / "asked")).where("kind = 3").select("file_version_date")
+    kept = op.keep_matching(src.read_partitioned(spark, str(tmp_path / "large")), asked, ["file_version_date"])
+    joined = src.read_partitioned(spark, str(tmp_path / "large")).join(asked, "file_version_date")
+    for df in (kept, joined):
+        assert [r["n"] for r in df.collect()] == [3]
+        opened = [
+            s.metrics().apply("numFiles").value() for s in scans(df._jdf.queryExecution().executedPlan()) if "large" in s.toString()
+        ]
+        assert opened == [1]
