@@ -538,6 +538,8 @@ bar_rows AS (
 
 # --- flow ----------------------------------------------------------------
 
+KEPT = "DATE '2001-12-31' - flow_date BETWEEN 0 AND 40 AND exp_date >= DATE '2001-12-31'"
+KEPT_AFTER_CLOSE = "DATE '2002-01-04' - flow_date BETWEEN 0 AND 40 AND exp_date > DATE '2002-01-04'"
 PRINTS = f"""prints AS (
   SELECT day AS flow_day, day - 0 AS flow_date, exp2 AS exp_date,
          strftime(day, '%m/%d/%Y') AS flow_imp_dt, l_orderkey || ':' || l_linenumber AS exec_tm, sym AS tick_symb,
@@ -553,7 +555,7 @@ PRINTS = f"""prints AS (
                DATE '2001-12-31' + ((cno % 5) * 7 - 3)::INT AS exp2 FROM contracts)),
 recent AS (
   SELECT *, regexp_replace(raw_side, '_', '') AS bare FROM prints
-  WHERE DATE '2001-12-31' - flow_date BETWEEN 0 AND 40 AND exp_date >= DATE '2001-12-31'),
+  WHERE {KEPT}),
 clean AS (
   SELECT DISTINCT tick_symb, exec_tm, opts_exp, opts_strk, opts_typ, opts_oi, iv, flow_imp_dt, tick_indstry, etf_flg,
          opts_price, opts_vol, trans_typ, tick_spot, flow_date, exp_date,
@@ -945,3 +947,5 @@ ORACLE: dict[str, str] = {
 ORACLE["flow_stats_incremental"] = ORACLE["flow_contract_stats"]
 ORACLE["open_interest_incremental"] = ORACLE["open_interest_history"]
 ORACLE["chain_zscores_bucketed"] = ORACLE["chain_zscores"]
+ORACLE["fundamentals_from_csv"] = ORACLE["fundamentals_typed"]
+ORACLE["flow_prints_after_close"] = ORACLE["flow_prints_clean"].replace(KEPT, KEPT_AFTER_CLOSE)

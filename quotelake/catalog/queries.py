@@ -53,6 +53,7 @@ from quotelake.sources import (
     write_table,
 )
 from quotelake.sources.files import header_rows
+from quotelake.sources.schemas import FUNDAMENTAL_RENAMES
 from quotelake.streaming import stream_partitions
 
 table = roles.table
@@ -255,6 +256,17 @@ def fundamentals_typed(spark: SparkSession, sf: str) -> DataFrame:
     return doubles(fundamentals.fundamentals_typed(roles.fundamentals(spark, sf)))
 
 
+def fundamentals_from_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from daily CSV files under the vendor's headers, staged by the rename map."""
+    base = shared_folder(spark, "fundamentals")
+    headers = {name: header for header, name in FUNDAMENTAL_RENAMES.items()}
+    rows = roles.fundamentals(spark, sf)
+    day = F.concat(F.lit("2025010"), (F.crc32("symbol") % 5 + 1).cast("string")).alias("file_version_date")
+    _deliver(rows.select(*[F.col(c).alias(headers.get(c, c)) for c in rows.columns], day), f"{base}/in", "csv")
+    ingest.stage_csv(spark, f"{base}/in", f"{base}/stage", FUNDAMENTAL_RENAMES)
+    return doubles(fundamentals.fundamentals_typed(read_partitioned(spark, f"{base}/stage")))
+
+
 def ratings_typed(spark: SparkSession, sf: str) -> DataFrame:
     return fundamentals.ratings_typed(roles.ratings(spark, sf))
 
@@ -321,6 +333,12 @@ def flow_prints_clean(spark: SparkSession, sf: str) -> DataFrame:
     return doubles(flow.flow_prints_clean(roles.flow_prints(spark, sf), _as_of()))
 
 
+def flow_prints_after_close(spark: SparkSession, sf: str) -> DataFrame:
+    """Clean prints on an expiry day once trading has ended: contracts of that day are gone."""
+    as_of = F.lit(roles.AFTER_CLOSE).cast("timestamp_ntz")
+    return doubles(flow.flow_prints_clean(roles.flow_prints(spark, sf), as_of, after_close=True))
+
+
 def flow_contract_stats(spark: SparkSession, sf: str) -> DataFrame:
     clean = flow.flow_prints_clean(roles.flow_prints(spark, sf), _as_of())
     return doubles(flow.flow_contract_stats(clean))
@@ -816,6 +834,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         customer_percentiles_present,
         golden_record,
         fundamentals_typed,
+        fundamentals_from_csv,
         ratings_typed,
         ticker_universe,
         universe_screen,
@@ -826,6 +845,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         intraday_bars,
         session_volume,
         flow_prints_clean,
+        flow_prints_after_close,
         flow_contract_stats,
         open_interest_history,
         flow_stats_incremental,

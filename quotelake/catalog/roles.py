@@ -23,6 +23,8 @@ SCREENER_SECTORS = ["Financial Services", "-", "Energy", "Technology", "", "Util
 SCREENER_INDUSTRIES = ["Gambling, Resorts & Casinos", "-", "Banks", "Software", "Gas", "Drugs", "Steel", "Rail"]
 OPTION_SECTORS = ["Financial Services", "Energy", "Technology", "Utilities", "Healthcare", "Industrials"]
 AS_OF = "2001-12-31 12:00:00"
+# An expiry day of the prints, after the last trading hour.
+AFTER_CLOSE = "2002-01-04 17:00:00"
 FLOW_SIDES = ["A", "AA", "_A", "B", "_B_", "BB", "", "nan", "M", "A_A"]
 TRANSACTIONS = ["SWEEP", "BLOCK", "SPLIT", "ML SWEEP", "TRADE"]
 INDUSTRIES = [*FUNDAMENTAL_INDUSTRIES, "Banks", "-", ""]
