@@ -119,7 +119,7 @@ class BucketedJob(PartitionedJob):
     table: BucketedTable | None = None
 
     def _replace(self, result: DataFrame, values: Sequence[str]) -> None:
-        self.table.replace(result, values, self.compression)
+        self.table.replace(result, values)
 
 
 @dataclass

@@ -27,6 +27,7 @@ class BucketedTable:
     by: str
     buckets: int
     partition: str = PARTITION
+    compression: str = "snappy"
 
     def create(self, spark: SparkSession, schema: T.StructType) -> None:
         if spark.catalog.tableExists(self.name):
@@ -34,12 +35,14 @@ class BucketedTable:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.name} ({columns}) USING parquet PARTITIONED BY ({self.partition}) "
-            f"CLUSTERED BY ({self.by}) INTO {self.buckets} BUCKETS LOCATION '{self.path}'"
+            f"CLUSTERED BY ({self.by}) INTO {self.buckets} BUCKETS LOCATION '{self.path}' "
+            # Inserts take these from the table, not from the writer.
+            f"OPTIONS (partitionOverwriteMode 'dynamic', compression '{self.compression}')"
         )
         if path_exists(spark, self.path):
             spark.catalog.recoverPartitions(self.name)
 
-    def replace(self, df: DataFrame, values: Iterable[str], compression: str = "snappy") -> None:
+    def replace(self, df: DataFrame, values: Iterable[str]) -> None:
         """Write partition values anew; those without rows in ``df`` lose their old ones.
 
         Rows meet their bucket before the write, so a bucket of a date is one file.
@@ -50,8 +53,7 @@ class BucketedTable:
         def insert(rows: DataFrame) -> None:
             columns = [c for c in rows.columns if c != self.partition]
             placed = rows.repartition(self.buckets, self.by).select(*columns, self.partition)
-            writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            writer.option("compression", compression).insertInto(self.name)
+            placed.write.mode("overwrite").insertInto(self.name)
 
         replace_partitions(df, self.path, values, self.partition, write=insert)
         spark.catalog.refreshTable(self.name)
