@@ -30,14 +30,15 @@ def daily_ticker_summary(
 ) -> DataFrame:
     """One row per company with its attributes as columns, cleaned as text.
 
-    The dictionary has one row per attribute, so AQE broadcasts it. Attributes
-    outside ``names`` are filtered before the shuffle.
+    The dictionary has one row per attribute kept, so it is sent to the tasks:
+    a join that starts as a sort-merge would first ship all values by their few
+    attribute names. Attributes outside ``names`` are filtered before the shuffle.
     """
     cleaned = F.when((F.col("datavalue") != "-") | F.col("datavalue").isNull(), replace_all_text("datavalue", "%"))
     aliases = attributes.select(F.col("attributename").alias("columnname"), "attributealias").where(
         (F.col("attributealias") != EXCLUDED_ATTRIBUTE) & F.col("attributealias").isin(list(names))
     )
-    long = values.join(aliases, "columnname").select("symbol", "attributealias", cleaned.alias("datavalue"))
+    long = values.join(F.broadcast(aliases), "columnname").select("symbol", "attributealias", cleaned.alias("datavalue"))
     wide = attribute_pivot(long, "symbol", "attributealias", "datavalue", names)
     basics = companies.select(
         F.col("ticker").cast("string").alias("symbol"),
