@@ -83,6 +83,7 @@ def cube_agg(
     on_leaves: Callable[[DataFrame], DataFrame] | None = None,
     distribute_by: Sequence[str] | None = None,
     grouping_col: str | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """``GROUP BY keys, CUBE(cube_cols)``.
 
@@ -90,12 +91,16 @@ def cube_agg(
     combining, and only those leaves are multiplied by the grouping sets, so
     the raw rows cross the network once and are never expanded. ``on_leaves``
     may filter the leaves (totals per key can be had from them). When
-    ``distribute_by`` (a subset of ``keys`` with few leaves each) is given, the
-    leaves are placed by it once and the final aggregation needs no shuffle.
+    ``distribute_by`` (a subset of ``keys`` with a bounded number of rows each)
+    is given, the rows are placed by it instead, and neither the leaves nor the
+    final aggregation are shuffled: right where most rows are leaves of their
+    own, which combining would send as wider rows and then a second time. A task
+    then holds leaves and sets of its rows, so ``partitions`` should bound those.
     """
-    leaves = cube_leaves(df, keys, cube_cols, measures, averages)
+    rows = df
     if distribute_by:
-        leaves = leaves.repartition(*distribute_by)
+        rows = df.repartition(*([partitions] if partitions else []), *distribute_by)
+    leaves = cube_leaves(rows, keys, cube_cols, measures, averages)
     if on_leaves:
         leaves = on_leaves(leaves)
     return cube_of_leaves(leaves, keys, cube_cols, measures, averages, grouping_col)

@@ -31,6 +31,7 @@ from quotelake.operators import (
     zscore,
 )
 from quotelake.operators.cube import Measure
+from quotelake.session import partitions_for
 
 # Condition codes of the feed, class labels, the liquidity
 # threshold, and the greeks with the digits they are rounded to.
@@ -101,6 +102,8 @@ def _typed_trades(trades: DataFrame, split_multileg: bool, expiry: Column) -> Da
 
 
 CUBE_COLS = ["side", "option_tx_type"]
+# Trades whose leaves and grouping sets one task holds, in about a GB.
+TRADES_PER_TASK = 400_000
 
 
 def _measures() -> list[Measure]:
@@ -123,17 +126,19 @@ def _averages() -> list[WeightedAverage]:
 def _cube(typed: DataFrame, on_leaves: Callable[[DataFrame], DataFrame], strict: bool) -> DataFrame:
     """CUBE(side, transaction type) per contract, with subtotals labelled.
 
-    Contracts of one chain and day are few rows once reduced, so the leaves are
-    placed by (day, chain) and filter, cube and later pivots share that layout.
+    A chain is one contract, so its trades of a day are bounded. The typed
+    trades are placed by (day, chain) once, and leaves, filter, cube and later
+    pivots share that layout. Trades without day or chain are in no cube.
     """
     cubed = cube_agg(
-        typed,
+        typed.where(F.col(DAY).isNotNull() & F.col(CHAIN).isNotNull()),
         CONTRACT,
         CUBE_COLS,
         _measures(),
         _averages(),
         on_leaves=on_leaves,
         distribute_by=CHAIN_DAY,
+        partitions=partitions_for(typed, TRADES_PER_TASK),
         grouping_col="__gid",
     )
     return _label_subtotals(cubed, strict)
@@ -163,12 +168,8 @@ def option_trade_cube(trades: DataFrame, min_size: int = MIN_CHAIN_SIZE, strict:
         chain = Window.partitionBy(*CHAIN_DAY)
         size = F.sum("total_contracts").over(chain)
         interest = F.max("open_interest").over(chain)
-        return (
-            leaves.where(F.col(DAY).isNotNull() & F.col(CHAIN).isNotNull())
-            .withColumn("__liquid", (size >= min_size) | (interest >= min_size))
-            .where("__liquid")
-            .drop("__liquid")
-        )
+        liquid = leaves.withColumn("__liquid", (size >= min_size) | (interest >= min_size))
+        return liquid.where("__liquid").drop("__liquid")
 
     return _cube(_typed_trades(trades, True, F.col("expiry")), liquid, strict).drop("__gid")
 
