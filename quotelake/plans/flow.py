@@ -19,7 +19,7 @@ from quotelake.functions import (
 )
 from quotelake.operators import attach_group_stats, keep_matching, value_neighbours
 from quotelake.plans.jobs import PartitionedJob
-from quotelake.session import shared_folder
+from quotelake.session import shared_folder, shuffle_partitions
 from quotelake.sources.lake import PARTITION, drop_partitions, list_partitions, read_partitioned
 
 # Look-back in days, contract size, sides and their letters.
@@ -157,7 +157,9 @@ def contract_stats(leaves: DataFrame) -> DataFrame:
     first. What is left of a contract is bounded by the look-back period, so
     the window sums over it are small even for a contract that holds a third of
     all prints. The windows go from the finest group to the contract, each a
-    prefix of the one before, so one placement and one sort serve them all.
+    prefix of the one before, so one placement and one sort serve them all. That
+    placement keeps the session's number of partitions: the rows become several
+    times wider here than the bytes that run-time coalescing goes by.
     Totals per symbol and day span many contracts and are aggregated instead.
     """
     descriptive = DESCRIPTIVE
@@ -170,7 +172,7 @@ def contract_stats(leaves: DataFrame) -> DataFrame:
             "put_vol_i": F.sum(F.when(kind == "PUT", F.col("vol"))),
             "tot_vol_i": F.sum("vol"),
         },
-    ).repartition(*CONTRACT)
+    ).repartition(shuffle_partitions(leaves.sparkSession), *CONTRACT)
 
     contract_day = [*CONTRACT, "flow_imp_dt"]
     by_side = [*contract_day, "dtls_side"]
@@ -390,12 +392,15 @@ def flow_report(
 
 
 def refresh_leaves(spark: SparkSession, prints: str, store: str, rerun: Sequence[str] = ()) -> list[str]:
-    """Leaves of the days of ``prints`` (one folder a day) that ``store`` does not have; no other day is read."""
+    """Leaves of the days of ``prints`` (one folder a day) that ``store`` does not have; no other day is read.
+
+    Reports read a day's leaves whole, so these are not sorted: sampling the
+    ranges of a sort would compute the leaves a second time.
+    """
     days = PartitionedJob(
         {"prints": prints},
         lambda prints: flow_leaves(prints).withColumn(PARTITION, F.date_format("flow_date", "yyyyMMdd")),
         store,
-        sort_by=CONTRACT,
     )
     return days.run(spark, rerun)
 
