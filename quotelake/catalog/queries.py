@@ -37,7 +37,7 @@ from quotelake.operators import (
 )
 from quotelake.plans import feeds, flow, fundamentals, ingest, master, screener, summary, trades
 from quotelake.plans.jobs import BucketedJob, PartitionedJob, refresh_table
-from quotelake.session import shared_folder
+from quotelake.session import partitions_for, shared_folder
 from quotelake.sources import (
     BucketedTable,
     append_table,
@@ -92,11 +92,17 @@ def trade_cube_staged(spark: SparkSession, sf: str) -> DataFrame:
     return read_partitioned(spark, f"{base}/stage")
 
 
+# Distinct lines that one task of ``cube_distinct`` multiplies by the grouping sets.
+LINES_PER_TASK = 500_000
+
+
 def cube_distinct(spark: SparkSession, sf: str) -> DataFrame:
     """Distinct orders under CUBE: not additive, so Spark's own grouping sets."""
     keys = ["l_suppkey", "l_returnflag", "l_linestatus", "l_orderkey"]
-    # Reduced to distinct orders with a row count before the sets multiply them.
-    leaves = table(spark, sf, "lineitem").groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    lines = table(spark, sf, "lineitem").select(*keys)
+    # Reduced to distinct orders with a row count before the sets multiply them, as many in a task as its memory suits.
+    placed = lines.repartition(partitions_for(lines, LINES_PER_TASK), *keys)
+    leaves = placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     leaves.createOrReplaceTempView("cube_distinct_leaves")
     return spark.sql(
         """
