@@ -37,7 +37,7 @@ from quotelake.operators import (
 )
 from quotelake.plans import feeds, flow, fundamentals, ingest, master, screener, summary, trades
 from quotelake.plans.jobs import BucketedJob, PartitionedJob, refresh_table
-from quotelake.session import partitions_for, shared_folder
+from quotelake.session import compile_wide_rows, partitions_for, shared_folder
 from quotelake.sources import (
     BucketedTable,
     append_table,
@@ -346,6 +346,7 @@ def flow_prints_after_close(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def flow_contract_stats(spark: SparkSession, sf: str) -> DataFrame:
+    compile_wide_rows(spark)
     clean = flow.flow_prints_clean(roles.flow_prints(spark, sf), _as_of())
     return doubles(flow.flow_contract_stats(clean))
 
@@ -356,6 +357,7 @@ def open_interest_history(spark: SparkSession, sf: str) -> DataFrame:
 
 def flow_store(spark: SparkSession, sf: str) -> tuple[str, datetime]:
     """Leaves kept by day, the last three days of prints delivered after the others."""
+    compile_wide_rows(spark)
     base = shared_folder(spark, "flow")
     prints = roles.flow_prints(spark, sf)
     day = F.date_format(F.to_date("flow_imp_dt", "MM/dd/yyyy"), "yyyyMMdd")
@@ -386,6 +388,7 @@ def daily_ticker_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def flow_stats(spark: SparkSession, sf: str) -> DataFrame:
+    compile_wide_rows(spark)
     values = roles.attribute_values(table(spark, sf, "supplier"), "s_suppkey", "S")
     about = summary.daily_ticker_summary(
         values, roles.attributes(spark), roles.companies(spark, sf, "supplier")
