@@ -133,7 +133,9 @@ def strike_details(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chain_analytics(spark: SparkSession, sf: str) -> DataFrame:
-    return trades.chain_analytics(option_trades_by_chain(spark, sf), chain_base(spark, sf))
+    # No more contracts than trades, which are counted from stored Parquet without reading a column.
+    partitions = partitions_for(roles.option_trades(spark, sf), trades.TRADES_PER_TASK)
+    return trades.chain_analytics(option_trades_by_chain(spark, sf), chain_base(spark, sf), partitions=partitions)
 
 
 def chain_zscores(spark: SparkSession, sf: str) -> DataFrame:
@@ -156,7 +158,7 @@ def chain_store(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
         "trades": (roles.option_trades(spark, sf), trades.chain_leaves),
         "oi_changes": (roles.oi_changes(spark, sf), trades.keyed_chain_base),
     }
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets = partitions_for(raw["trades"][0], trades.TRADES_PER_BUCKET)
     stored = []
     for name, (rows, transform) in raw.items():
         table_name = f"{name}_{base.rpartition('-')[2]}"
@@ -172,9 +174,11 @@ def chain_store(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 def chain_zscores_bucketed(spark: SparkSession, sf: str) -> DataFrame:
     """Cube, analytics and z-scores from the bucketed stage tables."""
+    compile_wide_rows(spark)
     leaves, base = chain_store(spark, sf)
     cube = trades.option_trades_of_leaves(leaves, base)
-    return trades.chain_zscores(trades.chain_analytics(cube, base, trades.CHAIN_KEY))
+    partitions = partitions_for(base, trades.CONTRACTS_PER_TASK)
+    return trades.chain_zscores(trades.chain_analytics(cube, base, trades.CHAIN_KEY, partitions))
 
 
 def contract_pivot(spark: SparkSession, sf: str) -> DataFrame:

@@ -104,6 +104,8 @@ def _typed_trades(trades: DataFrame, split_multileg: bool, expiry: Column) -> Da
 CUBE_COLS = ["side", "option_tx_type"]
 # Trades whose leaves and grouping sets one task holds, in about a GB.
 TRADES_PER_TASK = 400_000
+# The same for a bucket of stage tables, whose scan also holds the analytics of its contracts.
+TRADES_PER_BUCKET = 200_000
 
 
 def _measures() -> list[Measure]:
@@ -343,13 +345,21 @@ BASE_COLUMNS = [
 ]
 
 
-def chain_analytics(cube: DataFrame, base: DataFrame, key: str | None = None) -> DataFrame:
+# Contracts whose rows one task sorts for the windows over an expiry, in about 100 MB.
+CONTRACTS_PER_TASK = 100_000
+
+
+def chain_analytics(
+    cube: DataFrame, base: DataFrame, key: str | None = None, partitions: int | None = None
+) -> DataFrame:
     """One row per contract: open interest, cube pivot and its strike's totals.
 
     The contract pivot and the strike sums come from the same aggregation; a
     strike's totals are then window sums over its few contracts, so the cube is
     neither read again nor joined to its own derivatives. ``key`` names the
-    column that stands for day and chain where both frames have one.
+    column that stands for day and chain where both frames have one, and
+    ``partitions`` bounds what a task of those windows sorts: run-time coalescing
+    goes by compressed bytes, and the session's number need not grow with the rows.
     """
     chain = [key] if key else CHAIN_DAY
     base_chain = [key] if key else [DAY, F.col("option_symbol").alias(CHAIN)]
@@ -367,7 +377,7 @@ def chain_analytics(cube: DataFrame, base: DataFrame, key: str | None = None) ->
     per_strike = Window.partitionBy(*STRIKE)
     joined = (
         contracts.join(facts, chain)
-        .repartition(DAY, "underlying_symbol", "expiry")
+        .repartition(*([partitions] if partitions else []), DAY, "underlying_symbol", "expiry")
         .withColumns({c: F.sum(c).over(per_strike) for c in STRIKE_COLUMNS})
         .withColumn("net_strike_prem", F.col("bull_strike_prem") - F.col("bear_strike_prem"))
     )

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quotelake.catalog import roles
-from quotelake.catalog.queries import cube_distinct
+from quotelake.catalog.queries import chain_zscores, chain_zscores_bucketed, cube_distinct
 from quotelake.operators import count_rows, cube_agg
 from quotelake.plans import flow, summary, trades
 from quotelake.session import partitions_for
@@ -63,3 +63,19 @@ def test_placements_that_widen_rows_are_not_coalesced(spark):
     stats = flow.flow_contract_stats(flow.flow_prints_clean(roles.flow_prints(spark, SF), as_of))
     for df in (stats, cube_distinct(spark, SF)):
         assert any("REPARTITION_BY_NUM" in s for s in shuffles(df))
+
+
+def test_buckets_and_windows_of_the_chains_follow_the_rows(spark, monkeypatch):
+    n = roles.option_trades(spark, SF).count()
+    monkeypatch.setattr(trades, "TRADES_PER_BUCKET", -(-n // 11))
+    monkeypatch.setattr(trades, "CONTRACTS_PER_TASK", 10**9)
+    plan = chain_zscores_bucketed(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert set(re.findall(r"SelectedBucketsCount: (\d+) out of \d+", plan)) == {"11"}
+    # The windows are placed by number, so their tasks are not merged by compressed bytes.
+    assert re.search(r"hashpartitioning\(file_version_date\S+ underlying_symbol\S+ expiry\S+ 4\), REPARTITION_BY_NUM", plan)
+
+
+def test_windows_over_an_expiry_hold_a_bounded_number_of_trades(spark, monkeypatch):
+    n = roles.option_trades(spark, SF).count()
+    monkeypatch.setattr(trades, "TRADES_PER_TASK", -(-n // 13))
+    assert any("expiry" in s and "13), REPARTITION_BY_NUM" in s for s in shuffles(chain_zscores(spark, SF)))
