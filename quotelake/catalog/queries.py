@@ -88,7 +88,7 @@ def trade_cube_staged(spark: SparkSession, sf: str) -> DataFrame:
     write_partitions(roles.option_trades(spark, sf), f"{base}/raw")
     PartitionedJob(
         {"trades": f"{base}/raw"}, trades.option_trade_cube, f"{base}/stage", sort_by=trades.STAGE_ORDER
-    ).run(spark)
+    ).run_whole(spark)
     return read_partitioned(spark, f"{base}/stage")
 
 
@@ -167,7 +167,7 @@ def chain_store(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
         early = F.col("file_version_date") < "19970101"
         for delivery in (early, ~early):
             write_partitions(rows.where(delivery), f"{base}/raw/{name}")
-            job.run(spark)
+            job.run_whole(spark)
         stored.append(staged.read(spark))
     return tuple(stored)
 

@@ -402,7 +402,7 @@ def refresh_leaves(spark: SparkSession, prints: str, store: str, rerun: Sequence
         lambda prints: flow_leaves(prints).withColumn(PARTITION, F.date_format("flow_date", "yyyyMMdd")),
         store,
     )
-    return days.run(spark, rerun)
+    return days.run_whole(spark, rerun)
 
 
 def stored_leaves(spark: SparkSession, store: str, as_of: datetime, after_close: bool = False) -> DataFrame:

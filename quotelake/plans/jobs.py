@@ -49,6 +49,7 @@ class _DatedJob:
     compression: str = "snappy"
     sort_by: Sequence[str] = ()
     failed: list[str] = field(default_factory=list)
+    errors: list[Exception] = field(default_factory=list)
     writes: int = 0
 
     def _available(self, spark: SparkSession) -> Sequence[str]:
@@ -82,6 +83,7 @@ class _DatedJob:
             if len(values) == 1:
                 log.error("partition %s failed: %s", values[0], error)
                 self.failed += values
+                self.errors.append(error)
                 return []
             log.warning("%d partitions failed together, halving them", len(values))
         half = len(values) // 2
@@ -89,13 +91,20 @@ class _DatedJob:
 
     def run(self, spark: SparkSession, rerun: Sequence[str] = ()) -> list[str]:
         """Process what is pending (or ``rerun``); returns the values processed."""
-        self.failed, self.writes = [], 0
+        self.failed, self.errors, self.writes = [], [], 0
         done = processed_values(spark, self._ledger, self.partition_col)
         if self.ledger is None:
             done |= set(list_partitions(spark, self.target, self.partition_col))
         todo = pending_values(self._available(spark), done, rerun)
         return self._attempt(spark, todo) if todo else []
 
+    def run_whole(self, spark: SparkSession, rerun: Sequence[str] = ()) -> list[str]:
+        """``run`` for callers that read the target as a whole: raises when a date failed, after the others are done."""
+        processed = self.run(spark, rerun)
+        if self.failed:
+            raise RuntimeError(f"{self.target} lacks {', '.join(self.failed)}") from self.errors[0]
+        return processed
+
 
 @dataclass
 class PartitionedJob(_DatedJob):
@@ -198,7 +207,7 @@ class FileFeedJob(_DatedJob):
 
     def run(self, spark: SparkSession, rerun: Sequence[str] = ()) -> list[str]:
         """Process what is pending (or ``rerun``); returns the values processed."""
-        self.failed, self.writes, self._last_run = [], 0, 0
+        self.failed, self.errors, self.writes, self._last_run = [], [], 0, 0
         self._files: dict[str, list[Row]] = defaultdict(list)
         # One row per file of a pending date.
         for row in self._pending(spark, rerun).collect():

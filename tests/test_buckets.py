@@ -2,7 +2,10 @@
 
 import uuid
 
+import pytest
+
 from quotelake import sources as src
+from quotelake.catalog import queries, roles
 from quotelake.plans import trades
 from quotelake.plans.jobs import BucketedJob
 from tests.conftest import rows
@@ -92,3 +95,15 @@ def test_buckets_are_one_file_a_date_and_open_again_under_another_name(spark, tm
     again = src.BucketedTable("again_" + uuid.uuid4().hex, leaves.path, leaves.by, leaves.buckets)
     again.create(spark, leaves.read(spark).schema)
     assert again.read(spark).count() == leaves.read(spark).count()
+
+
+@pytest.mark.parametrize("bad_size", ["60", "many"])
+def test_a_date_that_fails_is_not_left_out_of_the_zscores(spark, monkeypatch, bad_size):
+    late = trade(CHAINS[0], size=bad_size, file_version_date="20250308")
+    monkeypatch.setattr(roles, "option_trades", lambda *_: trade_rows(spark).union(trade_frame(spark, late)))
+    monkeypatch.setattr(roles, "oi_changes", lambda *_: oi_rows(spark))
+    if bad_size == "60":
+        assert queries.chain_zscores_bucketed(spark, "").count() == 2 * len(CHAINS)
+    else:
+        with pytest.raises(RuntimeError, match="20250308"):
+            queries.chain_zscores_bucketed(spark, "")
