@@ -139,6 +139,43 @@ def test_packing_cuts_at_boundaries():
     assert long[-1] == 5000 and max(np.diff([0, *long])) <= packing.WINDOW
 
 
+def test_packing_takes_every_sentence_end():
+    closes = np.array([False, True])
+    ids = np.tile([0, 0, 1], 700)
+    places, penalties = packing.boundaries(ids, np.array([10, 2000, 2100]), closes)
+    assert places.tolist() == sorted({0, 10, 2000, *range(3, 2101, 3)})
+    assert {p for p, cost in zip(places.tolist(), penalties.tolist(), strict=True) if cost == 0} == {10, 2000, 2100}
+    # 1024 ids end right at a sentence's end, which shares its 32 ids with a later one.
+    ids = np.zeros(3000, np.int64)
+    ids[[1023, 1030, 2047, 2054]] = 1
+    assert packing.best_cuts(*packing.boundaries(ids, np.array([3000]), closes))[:2] == [1024, 2048]
+
+
+@pytest.mark.parametrize("gap", [3, 40, 300, 1000])
+def test_packing_cuts_cost_least(gap):
+    rng, window = np.random.default_rng(gap), packing.WINDOW
+    for _ in range(20):
+        inside = np.cumsum(rng.integers(1, gap + 1, 4000 // gap))
+        # A last document of a window leaves nothing for the end of the run to split.
+        places = np.concatenate([[0], inside, inside[-1:] + window])
+        penalties = np.concatenate([rng.choice([0, 1, 4], len(places) - 2), [0, 0]])
+        least = [0] * len(places)
+        for j in range(1, len(places)):
+            found = []
+            for i in range(j):
+                length = int(places[j] - places[i])
+                more = (length - 1) // window
+                if more < packing.QUEUES:
+                    cost = packing.padding(length) if not more and length >= 16 else (more + 1) * window - length
+                    found.append(least[i] + cost + more * packing.INNER_CUT + (more + 1) * packing.SEQUENCE)
+            least[j] = min(found) + int(penalties[j])
+        cuts = packing.best_cuts(places, penalties)
+        known = dict(zip(places.tolist(), penalties.tolist(), strict=True))
+        cost = sum(known.get(c, packing.INNER_CUT) + packing.SEQUENCE for c in cuts)
+        cost += sum(packing.padding(b - a) for a, b in zip([0, *cuts], cuts, strict=False))
+        assert cost <= least[-1]
+
+
 def test_token_shards_round_trip(docs, no_docs, tokenizer, tmp_path):
     found = sorted((tuple(r) for r in token_store.token_digest(docs, BPE, 2, str(tmp_path / "a")).collect()), key=lambda r: r[1])
     ids = [r[0] for r in found]
