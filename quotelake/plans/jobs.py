@@ -16,6 +16,7 @@ from quotelake.sources.files import file_manifest
 from quotelake.sources.lake import (
     PARTITION,
     list_partitions,
+    partition_bytes,
     path_exists,
     pending_values,
     processed_values,
@@ -25,6 +26,9 @@ from quotelake.sources.lake import (
     write_table,
 )
 
+# Stored source files whose dates go through one Spark job. Its shuffle files, several times as many bytes, go when it ends.
+BYTES_AT_ONCE = 512 << 20
+
 log = logging.getLogger(__name__)
 
 FILE_FIELDS = "source string, file string, length bigint, modified timestamp"
@@ -32,9 +36,9 @@ FILE_FIELDS = "source string, file string, length bigint, modified timestamp"
 
 @dataclass
 class _DatedJob:
-    """Dates that are pending go through one Spark job.
+    """Dates that are pending go through one Spark job, or a few where their sources are large.
 
-    Only when that fails are the dates halved until the bad ones are found;
+    Only when one fails are its dates halved until the bad ones are found;
     those are logged and skipped. A date counts as done once it is in the
     ledger, with or without result rows (or, for targets older than their
     ledger, once it has a folder). A date that is written anew and has no rows
@@ -55,6 +59,10 @@ class _DatedJob:
     def _available(self, spark: SparkSession) -> Sequence[str]:
         raise NotImplementedError
 
+    def _bytes(self, spark: SparkSession, value: str) -> int:
+        """Length of the source files of a date."""
+        raise NotImplementedError
+
     def _load(self, spark: SparkSession, name: str, values: Sequence[str]) -> DataFrame:
         raise NotImplementedError
 
@@ -89,6 +97,18 @@ class _DatedJob:
         half = len(values) // 2
         return self._attempt(spark, values[:half]) + self._attempt(spark, values[half:])
 
+    def _in_turn(self, spark: SparkSession, todo: Sequence[str]) -> list[str]:
+        """All of ``todo``, as many dates at a time as have ``BYTES_AT_ONCE`` of source files; one at least."""
+        processed, group, held = [], [], 0
+        for value in todo:
+            size = self._bytes(spark, value)
+            if group and held + size > BYTES_AT_ONCE:
+                processed += self._attempt(spark, group)
+                group, held = [], 0
+            group.append(value)
+            held += size
+        return processed + self._attempt(spark, group) if group else processed
+
     def run(self, spark: SparkSession, rerun: Sequence[str] = ()) -> list[str]:
         """Process what is pending (or ``rerun``); returns the values processed."""
         self.failed, self.errors, self.writes = [], [], 0
@@ -96,7 +116,7 @@ class _DatedJob:
         if self.ledger is None:
             done |= set(list_partitions(spark, self.target, self.partition_col))
         todo = pending_values(self._available(spark), done, rerun)
-        return self._attempt(spark, todo) if todo else []
+        return self._in_turn(spark, todo)
 
     def run_whole(self, spark: SparkSession, rerun: Sequence[str] = ()) -> list[str]:
         """``run`` for callers that read the target as a whole: raises when a date failed, after the others are done."""
@@ -117,6 +137,9 @@ class PartitionedJob(_DatedJob):
     def _available(self, spark: SparkSession) -> Sequence[str]:
         return list_partitions(spark, next(iter(self.sources.values())), self.partition_col)
 
+    def _bytes(self, spark: SparkSession, value: str) -> int:
+        return sum(partition_bytes(spark, path, value, self.partition_col) for path in self.sources.values())
+
     def _load(self, spark: SparkSession, name: str, values: Sequence[str]) -> DataFrame:
         return read_partitioned(spark, self.sources[name], self.partition_col, values)
 
@@ -205,6 +228,9 @@ class FileFeedJob(_DatedJob):
     def _available(self, spark: SparkSession) -> Sequence[str]:
         return sorted(self._files)
 
+    def _bytes(self, spark: SparkSession, value: str) -> int:
+        return sum(r["length"] for r in self._files[value])
+
     def run(self, spark: SparkSession, rerun: Sequence[str] = ()) -> list[str]:
         """Process what is pending (or ``rerun``); returns the values processed."""
         self.failed, self.errors, self.writes, self._last_run = [], [], 0, 0
@@ -213,7 +239,7 @@ class FileFeedJob(_DatedJob):
         for row in self._pending(spark, rerun).collect():
             self._files[row[self.partition_col]].append(row)
         todo = list(self._available(spark))
-        return self._attempt(spark, todo) if todo else []
+        return self._in_turn(spark, todo)
 
     def _load(self, spark: SparkSession, name: str, values: Sequence[str]) -> DataFrame | None:
         """None where a source has no file of these dates."""

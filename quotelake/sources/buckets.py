@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from quotelake.session import shuffles_end_with_writes
 from quotelake.sources.lake import PARTITION, path_exists, replace_partitions
 
 
@@ -53,7 +54,8 @@ class BucketedTable:
         def insert(rows: DataFrame) -> None:
             columns = [c for c in rows.columns if c != self.partition]
             placed = rows.repartition(self.buckets, self.by).select(*columns, self.partition)
-            placed.write.mode("overwrite").insertInto(self.name)
+            with shuffles_end_with_writes(spark):
+                placed.write.mode("overwrite").insertInto(self.name)
 
         replace_partitions(df, self.path, values, self.partition, write=insert)
         spark.catalog.refreshTable(self.name)

@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quotelake.session import shuffles_end_with_writes
+
 PARTITION = "file_version_date"
 
 
@@ -44,6 +46,13 @@ def list_partitions(spark: SparkSession, path: str, partition_col: str = PARTITI
     return sorted(n[len(prefix) :] for n in names if n.startswith(prefix))
 
 
+def partition_bytes(spark: SparkSession, path: str, value: str, partition_col: str = PARTITION) -> int:
+    """Length of the files of a partition value, by the listing; 0 without a folder."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path, f"{partition_col}={value}")
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getContentSummary(folder).getLength() if fs.exists(folder) else 0
+
+
 def latest_partition(spark: SparkSession, path: str, partition_col: str = PARTITION) -> str | None:
     """Greatest 'YYYYMMDD' value; anything else is not a date."""
     dates = [v for v in list_partitions(spark, path, partition_col) if len(v) == 8 and v.isdigit()]
@@ -99,7 +108,8 @@ def write_partitions(
         rows = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
         rows = rows.sortWithinPartitions(*order)
     writer = rows.write.mode(mode).option("partitionOverwriteMode", "dynamic").option("compression", compression)
-    writer.partitionBy(col).parquet(path)
+    with shuffles_end_with_writes(df.sparkSession):
+        writer.partitionBy(col).parquet(path)
 
 
 def drop_partitions(spark: SparkSession, path: str, values: Iterable[str], col: str = PARTITION) -> None:
