@@ -134,15 +134,19 @@ def flow_leaves(prints: DataFrame) -> DataFrame:
 
     They hang on no date of asking and a day's rows come from that day's prints
     alone, so they can be kept per day. ``multi_leg`` rows count for open
-    interest only, as does ``all_vol``, which takes in repeated prints.
+    interest only, as does ``all_vol``, which takes in repeated prints. Prints
+    are placed by the leaf they belong to, once: repeated ones collapse there,
+    and the leaves are then not shuffled. A leaf's prints are those of one
+    contract, day and side, a bounded number.
     """
-    typed = _dated(prints).select(
-        "flow_date", "exp_date", _multi_leg().alias("multi_leg"), F.col("opts_vol").alias("__vol"), *_typed()
-    )
-    # Repeated prints collapse here, with map-side combining.
-    once = typed.groupBy(*[c for c in typed.columns if c != "__vol"]).agg(F.sum("__vol").alias("__vol"))
-    keys = [*CONTRACT_DAY, "flow_date", "exp_date", *DESCRIPTIVE, "moneyness", "multi_leg"]
-    return once.groupBy(*keys).agg(*_measures(), F.sum("__vol").alias("all_vol"))
+    typed = prints.select(_multi_leg().alias("multi_leg"), F.col("opts_vol").alias("__vol"), *_typed())
+    keys = [*CONTRACT_DAY, *DESCRIPTIVE, "moneyness", "multi_leg"]
+    # Not by columns that may be the same in all prints: Spark takes such out of a grouping and would shuffle again.
+    placed = _dated(typed.repartition(*CONTRACT_DAY, "dtls_side", "moneyness"))
+    once = placed.groupBy(*[c for c in placed.columns if c != "__vol"]).agg(F.sum("__vol").alias("__vol"))
+    leaves = once.groupBy(*keys, "flow_date", "exp_date").agg(*_measures(), F.sum("__vol").alias("all_vol"))
+    dates = ["flow_date", "exp_date"]
+    return leaves.select(*CONTRACT_DAY, *dates, *[c for c in leaves.columns if c not in {*CONTRACT_DAY, *dates}])
 
 
 def flow_contract_stats(clean: DataFrame) -> DataFrame:

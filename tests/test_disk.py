@@ -1,13 +1,15 @@
-"""What the steps of a job leave on disk."""
+"""What the steps of a job leave on disk, and how often wide rows are shuffled."""
 
+import re
 import time
 
 from pyspark.sql import functions as F
 
 from quotelake import sources as src
-from quotelake.plans import jobs
+from quotelake.catalog import roles
+from quotelake.plans import flow, jobs
 from quotelake.plans.jobs import PartitionedJob
-from tests.conftest import rows
+from tests.conftest import SF, rows
 
 
 def shuffle_files(spark):
@@ -50,3 +52,13 @@ def test_large_dates_go_one_after_the_other(spark, tmp_path, monkeypatch):
     assert [r["v"] for r in rows(src.read_partitioned(spark, str(tmp_path / "stage")), "v")] == [0, 1, 2, 3, 5]
     monkeypatch.setattr(jobs, "BYTES_AT_ONCE", 1)
     assert job.run(spark, rerun=days[:3]) == days[:3] and job.writes == 3
+
+
+def shuffles(df):
+    return re.findall(r"Exchange \w*partitioning\(.*", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_prints_are_shuffled_once_for_their_leaves(spark, tmp_path):
+    roles.flow_prints(spark, SF).write.parquet(str(tmp_path / "prints"))
+    assert len(shuffles(flow.flow_leaves(spark.read.parquet(str(tmp_path / "prints"))))) == 1
+    assert len(shuffles(flow.flow_leaves(roles.flow_prints(spark, SF)))) == 1
