@@ -19,7 +19,7 @@ from quotelake.functions import (
 )
 from quotelake.operators import attach_group_stats, keep_matching, value_neighbours
 from quotelake.plans.jobs import PartitionedJob
-from quotelake.session import shared_folder, shuffle_partitions
+from quotelake.session import partitions_for, shared_folder, shuffle_partitions, shuffles_end_with_writes
 from quotelake.sources.lake import PARTITION, drop_partitions, list_partitions, read_partitioned
 
 # Look-back in days, contract size, sides and their letters.
@@ -154,8 +154,10 @@ def flow_contract_stats(clean: DataFrame) -> DataFrame:
     return contract_stats(clean.groupBy(*CONTRACT_DAY, *DESCRIPTIVE, "moneyness").agg(*_measures()))
 
 
-def contract_stats(leaves: DataFrame) -> DataFrame:
-    """The same of leaves.
+def contract_stats(
+    leaves: DataFrame, by: Sequence[str] = tuple(CONTRACT), partitions: int | None = None, keep: Sequence[str] = ()
+) -> DataFrame:
+    """The same of leaves, placed by some columns of the contract; ``keep`` names columns that follow from contract and day.
 
     The prints are reduced to one row per contract, day, side and moneyness
     first. What is left of a contract is bounded by the look-back period, so
@@ -176,7 +178,7 @@ def contract_stats(leaves: DataFrame) -> DataFrame:
             "put_vol_i": F.sum(F.when(kind == "PUT", F.col("vol"))),
             "tot_vol_i": F.sum("vol"),
         },
-    ).repartition(shuffle_partitions(leaves.sparkSession), *CONTRACT)
+    ).repartition(partitions or shuffle_partitions(leaves.sparkSession), *by)
 
     contract_day = [*CONTRACT, "flow_imp_dt"]
     by_side = [*contract_day, "dtls_side"]
@@ -205,9 +207,10 @@ def contract_stats(leaves: DataFrame) -> DataFrame:
     parts = [(scope, m, f"{side}_{m}_{scope}") for scope, m in whole for side in SIDES]
     # Rows that differ in moneyness alone and agree in their sums are one row.
     sums_only = [*amounts, "__iv", "__n", "__vol_tse", "__prem_tse", *[name for _, _, name in parts]]
-    return rows.select(*CONTRACT_DAY, *descriptive, *sums_only).distinct().select(
+    return rows.select(*CONTRACT_DAY, *descriptive, *keep, *sums_only).distinct().select(
         *CONTRACT_DAY,
         *descriptive,
+        *keep,
         *[(F.col(a) / 100.0).alias(a) for a in amounts],
         round_stable(F.col("__iv") / 100.0 / F.nullif(F.col("__n").cast("double"), F.lit(0.0)), 4).alias("opts_iv_imp_dt"),
         *[(F.coalesce(F.col(name), F.lit(0)) / 100.0).alias(name) for _, _, name in parts],
@@ -304,9 +307,20 @@ def _summary_columns(summary: DataFrame, as_of: Column) -> DataFrame:
     )
 
 
-def _signals(stats: DataFrame, history: DataFrame) -> DataFrame:
-    oi = history.select(*CONTRACT_DAY, "prev_oi", "nextday_oi", "last_oi").distinct()
-    rows = stats.join(oi, CONTRACT_DAY, "left")
+# Where the rows of the report lie: all strikes listed for one expiry, whose number is bounded.
+EXPIRY = ["tick_symb", "opts_exp"]
+# Leaves whose statistics, several times as wide, one task holds in about 150 MB.
+LEAVES_PER_TASK = 200_000
+
+
+def _with_interest(leaves: DataFrame, history: DataFrame) -> DataFrame:
+    """The leaves with the open interest before, after and at last of their contract's day: ``oi`` lists what the history has."""
+    known = F.collect_set(F.struct("prev_oi", "nextday_oi", "last_oi")).alias("oi")
+    return leaves.join(history.groupBy(*CONTRACT_DAY).agg(known), CONTRACT_DAY, "left")
+
+
+def _signals(stats: DataFrame) -> DataFrame:
+    rows = stats.select(*[c for c in stats.columns if c != "oi"], F.inline_outer("oi"))
     total, calls, puts = F.col("tot_vol_i"), F.col("call_vol_i"), F.col("put_vol_i")
     call_share = (
         F.when(total == calls, F.lit(1.0))
@@ -351,7 +365,8 @@ def flow_stats(
     leaves = flow_leaves(recent(_dated(prints), as_of, after_close))
     # Every branch below reads the leaves; the prints are read once.
     path = shared_folder(prints.sparkSession, "flow_leaves")
-    leaves.write.parquet(path)
+    with shuffles_end_with_writes(prints.sparkSession):
+        leaves.write.parquet(path)
     return flow_report(prints.sparkSession.read.schema(leaves.schema).parquet(path), summary, as_of, after_close)
 
 
@@ -360,25 +375,26 @@ def flow_report(
 ) -> DataFrame:
     """The flow report of stored leaves, of which only recent ones are looked at."""
     moment = _as_of(as_of)
+    partitions = partitions_for(leaves, LEAVES_PER_TASK)
     leaves = recent(leaves.where(F.col("tick_symb").isNotNull() & F.col("opts_exp").isNotNull()), moment, after_close)
     about = _summary_columns(summary, moment).distinct()
-    single_leg = keep_matching(leaves.where(~F.col("multi_leg")), about, ["tick_symb"])
+    single_leg = leaves.where(~F.col("multi_leg"))
+    expiries = keep_matching(single_leg.groupBy(*EXPIRY).agg(F.max("flow_date").alias("__newest")), about, ["tick_symb"])
     this_week = week_end(F.date_add(moment.cast("date"), 1))
     expiry_week = week_end(calendar_text_date("opts_exp"))
     listed = (
-        single_leg.select("tick_symb", "opts_exp")
-        .distinct()
+        expiries.drop("__newest")
         .withColumn("exp_wk_nbr", (F.floor(days_between(expiry_week, this_week) / 7) + 1).cast("int"))
         .withColumn("exp_wk_rownbr", F.dense_rank().over(Window.partitionBy("tick_symb").orderBy("exp_wk_nbr")))
     )
-    newest = single_leg.agg(F.max("flow_date")).scalar()
+    newest = expiries.agg(F.max("__newest")).scalar()
 
-    # What the report shows of the signals is made distinct while the rows lie
-    # by contract and day; the columns joined afterwards follow from those.
-    signals = _signals(contract_stats(leaves.where(~F.col("multi_leg"))), _interest(leaves))
+    # The wide rows are made, reduced to what the report shows and joined where the narrow leaves were placed, by symbol
+    # and expiry: what follows from a contract's day comes to the leaves, what follows from a symbol to its expiries.
+    stats = contract_stats(_with_interest(single_leg, _interest(leaves)), EXPIRY, partitions, keep=["oi"])
     side = F.when(F.col("dtls_side") == "A", "Ask").when(F.col("dtls_side") == "B", "Bid").otherwise("Mid")
-    shown = signals.drop("er_date", "tick_indstry").withColumn("dtls_side", side).distinct()
-    rows = shown.join(about, "tick_symb").join(listed, ["tick_symb", "opts_exp"])
+    shown = _signals(stats).drop("er_date", "tick_indstry").withColumn("dtls_side", side).distinct()
+    rows = shown.join(listed.join(about, "tick_symb"), EXPIRY)
     flow_date = calendar_text_date("flow_imp_dt")
     bullish = F.col("bull_side") == "Bullish"
     return rows.select(

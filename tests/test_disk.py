@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quotelake import sources as src
 from quotelake.catalog import roles
-from quotelake.plans import flow, jobs
+from quotelake.plans import flow, jobs, summary
 from quotelake.plans.jobs import PartitionedJob
 from tests.conftest import SF, rows
 
@@ -62,3 +62,24 @@ def test_prints_are_shuffled_once_for_their_leaves(spark, tmp_path):
     roles.flow_prints(spark, SF).write.parquet(str(tmp_path / "prints"))
     assert len(shuffles(flow.flow_leaves(spark.read.parquet(str(tmp_path / "prints"))))) == 1
     assert len(shuffles(flow.flow_leaves(roles.flow_prints(spark, SF)))) == 1
+
+
+def test_rows_of_the_flow_report_are_not_shuffled_once_they_are_wide(spark):
+    values = roles.attribute_values(roles.table(spark, SF, "supplier"), "s_suppkey", "S")
+    about = summary.daily_ticker_summary(values, roles.attributes(spark), roles.companies(spark, SF, "supplier"))
+    as_of = F.lit(roles.AS_OF).cast("timestamp_ntz")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        report = flow.flow_stats(roles.flow_prints(spark, SF), about, as_of)
+        plan = report._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    lines = plan.splitlines()
+    at = next(i for i, line in enumerate(lines) if re.search(r"\+- Window .*ask_vol_tse", line))
+    above, depth = [], lines[at].index("Window")
+    for line in reversed(lines[:at]):
+        if (found := re.search(r"[A-Z]", line)).start() < depth:
+            above.append(line)
+            depth = found.start()
+    assert sum("SortMergeJoin" in line for line in above) == 1 and not any("Exchange" in line for line in above)
