@@ -154,23 +154,17 @@ def flow_contract_stats(clean: DataFrame) -> DataFrame:
     return contract_stats(clean.groupBy(*CONTRACT_DAY, *DESCRIPTIVE, "moneyness").agg(*_measures()))
 
 
-def contract_stats(
-    leaves: DataFrame, by: Sequence[str] = tuple(CONTRACT), partitions: int | None = None, keep: Sequence[str] = ()
-) -> DataFrame:
-    """The same of leaves, placed by some columns of the contract; ``keep`` names columns that follow from contract and day.
+def contract_stats(leaves: DataFrame) -> DataFrame:
+    """The same of leaves.
 
-    The prints are reduced to one row per contract, day, side and moneyness
-    first. What is left of a contract is bounded by the look-back period, so
-    the window sums over it are small even for a contract that holds a third of
-    all prints. The windows go from the finest group to the contract, each a
-    prefix of the one before, so one placement and one sort serve them all. That
-    placement keeps the session's number of partitions: the rows become several
-    times wider here than the bytes that run-time coalescing goes by.
-    Totals per symbol and day span many contracts and are aggregated instead.
+    Totals per symbol and day span many contracts and are aggregated.
     """
-    descriptive = DESCRIPTIVE
+    return _contract_windows(_with_day_totals(leaves), CONTRACT, shuffle_partitions(leaves.sparkSession))
+
+
+def _with_day_totals(leaves: DataFrame) -> DataFrame:
     kind = F.col("opts_typ")
-    leaves = attach_group_stats(
+    return attach_group_stats(
         leaves,
         ["tick_symb", "flow_imp_dt"],
         {
@@ -178,7 +172,23 @@ def contract_stats(
             "put_vol_i": F.sum(F.when(kind == "PUT", F.col("vol"))),
             "tot_vol_i": F.sum("vol"),
         },
-    ).repartition(partitions or shuffle_partitions(leaves.sparkSession), *by)
+    )
+
+
+def _contract_windows(leaves: DataFrame, by: Sequence[str], partitions: int, keep: Sequence[str] = ()) -> DataFrame:
+    """Sums and shares of leaves that have the day's totals; ``keep`` names columns that follow from contract and day.
+
+    The prints are reduced to one row per contract, day, side and moneyness
+    first. What is left of a contract is bounded by the look-back period, so
+    the window sums over it are small even for a contract that holds a third of
+    all prints. The windows go from the finest group to the contract, each a
+    prefix of the one before, so one placement, by some columns of the contract,
+    and one sort serve them all. That placement has a number of partitions of
+    its own: the rows become several times wider here than the bytes that
+    run-time coalescing goes by.
+    """
+    descriptive = DESCRIPTIVE
+    leaves = leaves.repartition(partitions, *by)
 
     contract_day = [*CONTRACT, "flow_imp_dt"]
     by_side = [*contract_day, "dtls_side"]
@@ -349,6 +359,15 @@ def _signals(stats: DataFrame) -> DataFrame:
     ).drop("call_vol_i", "put_vol_i", "tot_vol_i")
 
 
+def _kept(df: DataFrame, purpose: str) -> DataFrame:
+    """Write to the shared folder and read back."""
+    spark = df.sparkSession
+    path = shared_folder(spark, purpose)
+    with shuffles_end_with_writes(spark):
+        df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def flow_stats(
     prints: DataFrame,
     summary: DataFrame,
@@ -364,10 +383,7 @@ def flow_stats(
     prints = prints.where(F.col("tick_symb").isNotNull() & F.col("opts_exp").isNotNull())
     leaves = flow_leaves(recent(_dated(prints), as_of, after_close))
     # Every branch below reads the leaves; the prints are read once.
-    path = shared_folder(prints.sparkSession, "flow_leaves")
-    with shuffles_end_with_writes(prints.sparkSession):
-        leaves.write.parquet(path)
-    return flow_report(prints.sparkSession.read.schema(leaves.schema).parquet(path), summary, as_of, after_close)
+    return flow_report(_kept(leaves, "flow_leaves"), summary, as_of, after_close)
 
 
 def flow_report(
@@ -391,7 +407,9 @@ def flow_report(
 
     # The wide rows are made, reduced to what the report shows and joined where the narrow leaves were placed, by symbol
     # and expiry: what follows from a contract's day comes to the leaves, what follows from a symbol to its expiries.
-    stats = contract_stats(_with_interest(single_leg, _interest(leaves)), EXPIRY, partitions, keep=["oi"])
+    # The leaves are written after each join, so that its shuffle files go before the next ones come.
+    single_leg = _kept(_with_interest(single_leg, _interest(leaves)), "flow_interest")
+    stats = _contract_windows(_kept(_with_day_totals(single_leg), "flow_totals"), EXPIRY, partitions, keep=["oi"])
     side = F.when(F.col("dtls_side") == "A", "Ask").when(F.col("dtls_side") == "B", "Bid").otherwise("Mid")
     shown = _signals(stats).drop("er_date", "tick_indstry").withColumn("dtls_side", side).distinct()
     rows = shown.join(listed.join(about, "tick_symb"), EXPIRY)
